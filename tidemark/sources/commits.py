@@ -3,45 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import SchemaError
 from tidemark.functions.identity import MANIFEST_NAME, MARKER_NAME
 from tidemark.schema import MANIFEST, MARKER
 
-_BAD = "_bad"
+_MANIFEST_DOCUMENT = T.StructType([*MANIFEST.fields, T.StructField("document", T.IntegerType())])
 
 
 def _documents(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
-    """JSON control documents; one that is not an object of this schema is an error."""
-    reader = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]))
-        .option("columnNameOfCorruptRecord", _BAD)
-        .option("recursiveFileLookup", "false")
-    )
-    documents = reader.json(location)
-    bad = documents.select(_BAD).filter(F.col(_BAD).isNotNull()).limit(1).collect()
-    if bad:
-        raise SchemaError(f"control document is not valid: {bad[0][0][:200]}")
-    return documents.drop(_BAD)
+    """JSON control documents; one that does not parse as this schema fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(location)
 
 
-def scan_markers(spark: SparkSession, root: str, source: str) -> DataFrame:
+def scan_markers(spark: SparkSession, root: str, source: str, name: str = MARKER_NAME) -> DataFrame:
     """Commit records of all runs of a source."""
-    return _documents(spark, f"{root}/{source}/extract_date=*/run_id=*/{MARKER_NAME}", MARKER)
+    return _documents(spark, f"{root}/{source}/extract_date=*/run_id=*/{name}", MARKER)
 
 
 def scan_manifests(spark: SparkSession, root: str, source: str) -> DataFrame:
     """Manifest documents of all attempts of a source, won or lost."""
     return _documents(
-        spark, f"{root}/{source}/extract_date=*/run_id=*/attempt_id=*/{MANIFEST_NAME}",
-        T.StructType([*MANIFEST.fields, T.StructField("document", T.IntegerType())]),
+        spark, f"{root}/{source}/extract_date=*/run_id=*/attempt_id=*/{MANIFEST_NAME}", _MANIFEST_DOCUMENT
     )
 
 
 def read_manifest(spark: SparkSession, root: str, manifest_key: str) -> DataFrame:
-    return _documents(
-        spark, f"{root}/{manifest_key}",
-        T.StructType([*MANIFEST.fields, T.StructField("document", T.IntegerType())]),
-    )
+    return _documents(spark, f"{root}/{manifest_key}", _MANIFEST_DOCUMENT)
