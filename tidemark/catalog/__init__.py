@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("scans", "writes")
+_MODULES = ("scans", "writes", "marts", "times", "incremental")
 
 
 def all_queries() -> tuple[dict, dict]:

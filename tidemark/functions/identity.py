@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 RUN_NAME_PREFIX = "tidemark:"
 
-# The leading dot or underscore keeps control files out of Spark's data listing.
+# Folders with a leading underscore stay out of Spark's data listing, while the files
+# inside them can be read when their folder is named.
 MANIFEST_NAME = "_manifest.json"
-MARKER_NAME = "_SUCCESS.json"
+MARKER_NAME = "_commit/success.json"
 
 
 def _col(value: Column | str) -> Column:

@@ -74,21 +74,22 @@ def stop_page(
     """
     require_page_cap(max_pages)
     capped = F.lit(False) if max_pages is None else F.col(page) >= max_pages
-    reason = (
-        F.when(F.col("returned") == 0, F.struct(F.lit(1).alias("rank"), F.lit("empty_page").alias("reason")))
-        .when(F.col("newest_t") < start, F.struct(F.lit(2), F.lit("too_old")))
-        .when(F.col("total_seen") >= F.col(declared), F.struct(F.lit(3), F.lit("all_seen")))
-        .when(capped, F.struct(F.lit(4), F.lit("page_cap")))
+    # Checked in this order on each page; the first two leave the page out.
+    ending = (
+        F.when(F.col("returned") == 0, "1 empty_page")
+        .when(F.col("newest_t") < start, "2 too_old")
+        .when(F.col("total_seen") >= F.col(declared), "3 all_seen")
+        .when(capped, "4 page_cap")
     )
-    ended = stats.select(F.col(page).alias("page"), reason.alias("why"))
-    first = F.min(F.when(F.col("why").isNotNull(), F.struct("page", "why")))
-    return ended.agg(first.alias("stop"), F.max("page").alias("final")).select(
+    ends = stats.select(F.col(page).alias("page"), ending.alias("ending"))
+    first = F.min(F.when(F.col("ending").isNotNull(), F.struct("page", "ending")))
+    return ends.agg(first.alias("stop"), F.max("page").alias("final")).select(
         F.col("stop.page").alias("stop_page"),
         F.when(F.col("stop").isNull(), F.col("final"))
-        .when(F.col("stop.why.rank") <= 2, F.col("stop.page") - 1)
+        .when(F.col("stop.ending") < "3", F.col("stop.page") - 1)
         .otherwise(F.col("stop.page"))
         .alias("last_page"),
-        F.coalesce("stop.why.reason", F.lit("exhausted")).alias("reason"),
+        F.coalesce(F.substring("stop.ending", 3, 20), F.lit("exhausted")).alias("reason"),
     )
 
 

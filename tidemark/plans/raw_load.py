@@ -45,9 +45,13 @@ def run_id_of(source: str, logical_date: date) -> str:
     return uuid.uuid5(uuid.NAMESPACE_URL, name).hex
 
 
-def marker_location(root: str, source: str, logical_date: date) -> str:
+def run_folder(root: str, source: str, logical_date: date) -> str:
     run = run_id_of(source, logical_date)
-    return f"{root}/{source}/extract_date={logical_date}/run_id={run}/{identity.MARKER_NAME}"
+    return f"{root}/{source}/extract_date={logical_date}/run_id={run}"
+
+
+def marker_location(root: str, source: str, logical_date: date) -> str:
+    return f"{run_folder(root, source, logical_date)}/{identity.MARKER_NAME}"
 
 
 def window_of(store: TableStore, source: Source, batch_end: datetime):
@@ -125,8 +129,7 @@ def load_raw(
     started = datetime.now(UTC)
     window = window_of(store, source, end)
     start_at, end_at = window.extract_start.astimezone(UTC), window.extract_end.astimezone(UTC)
-    run_folder = marker_path.rsplit("/", 1)[0]
-    folder = f"{run_folder}/attempt_id={attempt}"
+    folder = f"{run_folder(raw_root, source.name, label)}/attempt_id={attempt}"
     inside = window_filter(records, spec.event_time, start_at, end_at)
     written = landing.land_parts(inside, folder, spec.event_time, spec.key)
     objects = landing.inventory(spark, folder, raw_root)
