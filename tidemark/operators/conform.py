@@ -6,6 +6,8 @@ number, so the stored JSON type decides before the value is taken.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,12 @@ from pyspark.sql import types as T
 from tidemark.errors import SchemaError
 from tidemark.schema import shaped
 
-# JSON types (as named by schema_of_variant) a column of each kind may come from.
-_TEXT = "^STRING$"
-_NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
-_TEXT_LIST = "^ARRAY<(STRING|VOID)>$"
+# JSON types (as named by schema_of_variant) accepted for text, numbers and lists of
+# text; decimals carry their precision in the name.
+_TEXT = ("STRING",)
+_NUMBER = ("BIGINT", "DOUBLE", "FLOAT")
+_DECIMAL = "DECIMAL("
+_TEXT_LIST = ("ARRAY<STRING>", "ARRAY<VOID>")
 
 
 def _variant_at(record: str, name: str) -> Column:
@@ -28,20 +32,25 @@ def json_type(record: str, name: str) -> Column:
     return F.schema_of_variant(_variant_at(record, name))
 
 
+def _is_number(kind: Column) -> Column:
+    return kind.isin(*_NUMBER) | kind.startswith(_DECIMAL)
+
+
 def is_usable_time(record: str, name: str) -> Column:
     """Whether the event time is a JSON number. Text, booleans, null and absence are
     not usable.
     """
-    return F.coalesce(json_type(record, name).rlike(_NUMBER), F.lit(False))
+    return F.coalesce(_is_number(json_type(record, name)), F.lit(False))
 
 
-def _accepted(kind: T.DataType) -> tuple[str, str]:
+def _target(kind: T.DataType) -> tuple[Callable[[Column], Column], str]:
+    """Test of the JSON type, and the type to extract, for a column type."""
     if isinstance(kind, T.StringType):
-        return _TEXT, "string"
+        return lambda found: found.isin(*_TEXT), "string"
     if isinstance(kind, T.LongType):
-        return _NUMBER, "bigint"
+        return _is_number, "bigint"
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
-        return _TEXT_LIST, "array<string>"
+        return lambda found: found.isin(*_TEXT_LIST), "array<string>"
     raise SchemaError(f"no conversion from JSON to {kind.simpleString()}")
 
 
@@ -54,16 +63,20 @@ def conform_records(df: DataFrame, record: str, schema: T.StructType) -> DataFra
     record. Null in a required column is left to the quality gate.
     """
     carried = [name for name in df.columns if name != record]
+    names = schema.fieldNames()
+    # One projection per step, so that each field and its type are looked up once.
+    fields = df.select(*carried, *[_variant_at(record, n).alias(f"_f_{n}") for n in names])
+    kinds = fields.select("*", *[F.schema_of_variant(f"_f_{n}").alias(f"_k_{n}") for n in names])
     typed, wrong = [], []
     for field in schema.fields:
-        pattern, target = _accepted(field.dataType)
-        found = json_type(record, field.name)
-        value = F.try_variant_get(record, f"$.{field.name}", target)
-        absent = found.isNull() | (found == "VOID")
-        fits = found.rlike(pattern)
-        typed.append(F.when(fits, value).alias(field.name))
-        wrong.append(F.when(~absent & (~fits | value.isNull()), F.lit(field.name)))
-    return df.select(*carried, *typed, F.array_compact(F.array(*wrong)).alias("violations"))
+        accepts, target = _target(field.dataType)
+        found = F.col(f"_k_{field.name}")
+        value = F.when(accepts(found), F.try_variant_get(f"_f_{field.name}", "$", target))
+        typed.append(value.alias(field.name))
+        present = found.isNotNull() & (found != "VOID")
+        wrong.append(F.when(present & F.col(field.name).isNull(), F.lit(field.name)))
+    values = kinds.select(*carried, *[f"_k_{n}" for n in names], *typed)
+    return values.select(*carried, *names, F.array_compact(F.array(*wrong)).alias("violations"))
 
 
 def require_conformed(df: DataFrame) -> DataFrame:
