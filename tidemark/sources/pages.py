@@ -19,8 +19,7 @@ def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> Da
     ``one_per_file`` every file is one document, and its name may give the page
     number. Malformed JSON gives a null ``doc``, which the shape check reports.
     """
-    reader = spark.read.option("wholetext", one_per_file)
-    raw = reader.text(path).select(
+    raw = spark.read.text(path, wholetext=one_per_file).select(
         F.try_parse_json("value").alias("doc"), F.col("_metadata.file_name").alias("file_name")
     )
     from_name = F.try_to_number(
