@@ -9,7 +9,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tests", spark__sql__shuffle__partitions="4")
+    session = local_session(
+        8, "tests", spark__sql__shuffle__partitions="4", spark__sql__maxMetadataStringLength="2000"
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

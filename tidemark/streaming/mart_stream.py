@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import instant
+from tidemark.operators.ranking import materialise
 from tidemark.plans.mart_load import merge_batch
 from tidemark.sinks.tables import TableStore
 from tidemark.spec import FeedSpec
@@ -42,15 +43,19 @@ def start_mart_stream(
     """Merge every micro-batch of staged rows into the mart.
 
     The number of a micro-batch is published with its tables, so one that is delivered
-    again after a failure is recognised and skipped.
+    again after a failure is recognised and skipped. ``name`` belongs to the checkpoint:
+    a stream started over with a new checkpoint needs a new name.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        # Written once: the load reads its rows several times, and state has to be
+        # updated in all partitions even when the batch turns out to be done already.
+        rows = materialise(batch, "micro-batch")
         done = int(store.snapshot().properties.get(APPLIED + name, "-1"))
-        if batch_id <= done or batch.isEmpty():
+        if batch_id <= done or rows.isEmpty():
             return
         merge_batch(
-            store, batch, f"{name}-{batch_id}", spec, source, {APPLIED + name: str(batch_id)}
+            store, rows, f"{name}-{batch_id}", spec, source, {APPLIED + name: str(batch_id)}
         )
 
     return (
