@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranking
-from tidemark.operators.joins import hot_keys, salted_join
+from tidemark.operators.joins import fits, hot_keys, skew_join
 from tidemark.spec import FeedSpec
 
 SPEC = FeedSpec("k", "t", ("v",), ("id",))
@@ -23,14 +23,15 @@ def skewed(spark, n=3000, seed=1):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_the_plain_join(spark, how):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_skew_join_equals_the_plain_join(spark, how, broadcast_rows):
     left, _ = skewed(spark)
     right = spark.createDataFrame(
         [("hot", 1), ("hot", 2), (None, 9)] + [(f"k{i}", i) for i in range(0, 200, 2)], "k string, r int"
     )
     hot = hot_keys(left, ["k"], hot_rows=100)
     assert {r.k: r._splits for r in hot.collect()}["hot"] >= 10
-    got = salted_join(left, right, ["k"], how, ["id"], hot)
+    got = skew_join(left, right, ["k"], how, ["id"], None, 100, broadcast_rows)
     wanted = left.join(right, "k", how)
     assert sorted(map(str, got.select("id", "k", "t", "r").collect())) == sorted(
         map(str, wanted.select("id", "k", "t", "r").collect())
@@ -40,16 +41,21 @@ def test_salted_join_equals_the_plain_join(spark, how):
 def test_hot_key_is_spread_over_salts(spark):
     left, _ = skewed(spark)
     right = spark.createDataFrame([("hot", 1)], "k string, r int")
-    joined = salted_join(left, right, ["k"], "inner", ["id"], hot_rows=100)
+    joined = skew_join(left, right, ["k"], "inner", ["id"], hot_rows=100, broadcast_rows=0)
     text = joined._jdf.queryExecution().toString()
     assert "_salt" in text and "Cartesian" not in text
+    assert "_salt" not in skew_join(left, right, ["k"], "inner", ["id"])._jdf.queryExecution().toString()
     assert joined.count() == left.filter("k = 'hot'").count()
 
 
+def test_size_check(spark):
+    assert fits(spark.range(10), 10) and not fits(spark.range(11), 10) and not fits(spark.range(0), 0)
+
+
 def test_other_join_types_are_refused(spark):
     left, _ = skewed(spark, 10)
     with pytest.raises(ValueError):
-        salted_join(left, left, ["k"], "full_outer", ["id"])
+        skew_join(left, left, ["k"], "full_outer", ["id"])
 
 
 def test_latest_puts_missing_times_last(spark):

@@ -202,17 +202,18 @@ def test_failed_mart_gate_publishes_nothing(spark, store, feed, monkeypatch):
     from tidemark.plans import mart_load
 
     staged = staged_rows(spark, [(0, product("a", hour(0, 1))), (0, product("b", hour(0, 2)))])
-    monkeypatch.setattr(mart_load.merge, "lookup_surrogates", lambda events, dim, spec, **_: events.join(dim, "code").filter("code <> 'b'"))
+    monkeypatch.setattr(mart_load.merge, "lookup_surrogates", lambda events, dim, *_: events.join(dim, "code").filter("code <> 'b'"))
     before = store.snapshot()
     with pytest.raises(GateError, match="Mart fact reconciliation failed: 1"):
         merge_batch(store, staged, "x", PRODUCTS, "src")
     assert store.snapshot() == before and store.read("dimension").count() == 0
 
 
-def test_hot_code_in_the_mart(spark, store):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_hot_code_in_the_mart(spark, store, broadcast_rows):
     rows = [(0, product("hot", hour(0, 0) + timedelta(seconds=i), f"n{i}")) for i in range(120)]
     rows += [(0, product(f"c{i}", hour(0, 1))) for i in range(40)]
-    done = merge_batch(store, staged_rows(spark, rows), "x", PRODUCTS, "src", hot_rows=10)
+    done = merge_batch(store, staged_rows(spark, rows), "x", PRODUCTS, "src", hot_rows=10, broadcast_rows=broadcast_rows)
     assert (done.dimension_changed, done.facts_inserted) == (41, 160)
     assert dims(store)["hot"][0] == "n119"
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from datetime import UTC, date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
@@ -19,7 +20,8 @@ def dimension(spark, rows):
     return spark.createDataFrame([(i + 1, c, v, t, THEN, THEN) for i, (c, v, t) in enumerate(rows)], DIM)
 
 
-def test_update_rule(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_update_rule(spark, broadcast_rows):
     old = dimension(spark, [
         ("newer", "o", 1), ("same", "o", 5), ("older", "o", 9), ("untimed source", "o", 5),
         ("untimed target", "o", None), ("both untimed", "o", None), ("absent", "o", 1),
@@ -29,7 +31,8 @@ def test_update_rule(spark):
          ("untimed target", 5, "n"), ("both untimed", None, "n"), ("added", 5, "n"), ("added untimed", None, "n")],
         "code string, t bigint, v string",
     )
-    rows = {r.code: r for r in merge.merge_type1(old, latest, SPEC, NOW).collect()}
+    merged = merge.merge_type1(old, latest, SPEC, NOW, None, broadcast_rows)
+    rows = {r.code: r for r in merged.collect()}
     assert {c: r.action for c, r in rows.items()} == {
         "newer": "U", "same": "K", "older": "K", "untimed source": "K", "untimed target": "U",
         "both untimed": "U", "absent": "K", "added": "I", "added untimed": "I",
@@ -40,14 +43,15 @@ def test_update_rule(spark):
     assert newer.product_key == 1 and stamp(newer.created_at) == THEN and stamp(newer.updated_at) == NOW
     assert added.product_key is None and stamp(added.created_at) == stamp(added.updated_at) == NOW
     assert stamp(kept.updated_at) == THEN
-    counts = merge.change_counts(merge.merge_type1(old, latest, SPEC, NOW))
+    counts = merge.change_counts(merged)
     assert {r.action: r.rows for r in counts.collect()} == {"I": 2, "U": 3, "K": 4}
 
 
-def test_new_rows_take_their_numbers(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_new_rows_take_their_numbers(spark, broadcast_rows):
     latest = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "code string, t bigint, v string")
     numbers = spark.createDataFrame([("b", 7)], "code string, product_key bigint")
-    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers)
+    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers, broadcast_rows)
     assert {r.code: r.product_key for r in got.collect()} == {"a": 1, "b": 7}
 
 
@@ -121,7 +125,7 @@ def test_lookup_with_a_hot_code(spark):
     staged = spark.createDataFrame(history(), STAGED)
     events = merge.distinct_events(staged, SPEC)
     dim = staged.select("code").distinct().withColumn("product_key", F.abs(F.xxhash64("code")))
-    got = merge.lookup_surrogates(events, dim, SPEC, hot_from=staged, hot_rows=50)
+    got = merge.lookup_surrogates(events, dim, SPEC, hot_from=staged, hot_rows=50, broadcast_rows=0)
     assert got.count() == events.count()
     assert sorted(map(str, got.select("code", "t", "product_key").collect())) == sorted(
         map(str, events.join(dim, "code").select("code", "t", "product_key").collect())

@@ -86,14 +86,12 @@ def test_assigned_windows_match_brute_force(spark):
         "name", F.timestamp_seconds("s").alias("extract_start"), F.timestamp_seconds("e").alias("extract_end")
     )
     feed = spark.createDataFrame(events, "id bigint, t bigint")
-    from tidemark.operators.joins import hot_keys
-
-    cells = feed.withColumn("_cell", F.floor(F.col("t") / 50))
-    hot = hot_keys(cells, ["_cell"], hot_rows=60)
-    assert hot.count() > 0
-    got = windows.assign_windows(feed, windowed, "t", ["id"], cell_seconds=50, hot=hot)
     expected = sorted((i, n) for i, t in events for n, s, e in spans if t is not None and s <= t < e)
-    assert sorted((r.id, r.name) for r in got.collect()) == expected
+    for broadcast_rows in (0, 1000):
+        got = windows.assign_windows(
+            feed, windowed, "t", ["id"], cell_seconds=50, hot_rows=60, broadcast_rows=broadcast_rows
+        )
+        assert sorted((r.id, r.name) for r in got.collect()) == expected
 
 
 def test_daily_batches_cover_day_and_lookback(spark):

@@ -104,7 +104,7 @@ def merged_feed(spark, sf_dir):
         F.col("last_modified_t").alias("source_last_modified_t"),
         stamp.alias("created_at"), stamp.alias("updated_at"),
     )
-    latest = ranking.latest_per_key(rows.filter(~old), FEED)
+    latest = ranking.materialise(ranking.latest_per_key(rows.filter(~old), FEED), "latest")
     return merge.merge_type1(dimension, latest, FEED, F.timestamp_seconds(F.lit(2000)))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A side with at most this many rows is broadcast; callers select the columns they need.
+BROADCAST_ROWS = 100_000
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 2_000_000
 # Upper bound of the list of hot keys, which is broadcast. A key beyond the largest
@@ -14,6 +16,11 @@ HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 100_000
 
 
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; looks at one row more than that."""
+    return rows > 0 and df.limit(rows + 1).count() <= rows
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys of ``df`` with more than ``hot_rows`` rows and their number of splits.
 
@@ -29,27 +36,31 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
-def salted_join(
+def skew_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str,
     spread: Sequence[str],
-    hot: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for an inner or left join with hot left keys.
 
-    Left rows of a hot key are spread over its splits by a hash of the ``spread``
-    columns, and the matching right rows are repeated once per split; all other keys
-    join as usual. Left rows with a null key match nothing and are spread as well.
-    ``hot`` may be counted on a cheaper frame than ``left``, such as its base table.
-    No row is dropped and none is added.
+    A right side of at most ``broadcast_rows`` rows is broadcast and nothing is
+    shuffled. Otherwise left rows of a hot key are spread over its splits by a hash of
+    the ``spread`` columns, and the matching right rows are repeated once per split;
+    all other keys join as usual. Left rows with a null key match nothing and are
+    spread as well. ``hot_from`` may be a cheaper frame than ``left`` to count keys on,
+    such as its base table. No row is dropped and none is added.
     """
     if how not in ("inner", "left"):
-        raise ValueError("salted_join does inner and left joins only")
+        raise ValueError("skew_join does inner and left joins only")
     keys = list(keys)
-    hot = F.broadcast(hot if hot is not None else hot_keys(left, keys, hot_rows))
+    if fits(right, broadcast_rows):
+        return left.join(F.broadcast(right), keys, how)
+    hot = F.broadcast(hot_keys(hot_from if hot_from is not None else left, keys, hot_rows))
     place = F.xxhash64(*[F.col(name) for name in spread])
     null_key = F.lit(False)
     for name in keys:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import HOT_ROWS, hot_keys, salted_join
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits, skew_join
 from tidemark.spec import FeedSpec
 
 INSERT, UPDATE, KEEP = "I", "U", "K"
@@ -20,32 +20,60 @@ def is_newer(target_time: Column, source_time: Column) -> Column:
     return target_time.isNull() | F.coalesce(source_time > target_time, F.lit(False))
 
 
+def unknown_keys(
+    latest: DataFrame, dimension: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Keys of a batch the dimension does not have yet.
+
+    For a small batch the dimension is only scanned: its rows are reduced to the keys
+    of the batch where they lie. A large batch is joined by shuffling both key columns.
+    """
+    keys, known = latest.select(key), dimension.select(key)
+    if fits(keys, broadcast_rows):
+        known = F.broadcast(known.join(F.broadcast(keys), key, "left_semi"))
+    return keys.join(known, key, "left_anti")
+
+
 def merge_type1(
     dimension: DataFrame,
     latest: DataFrame,
     spec: FeedSpec,
     load_ts: datetime | Column,
     new_keys: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The dimension after merging one row per key, plus an ``action`` column.
 
     Matched and newer rows take the new attributes but keep surrogate and
     ``created_at``; unknown keys are added, with their surrogate from ``new_keys``
-    (key, surrogate) or null. Both sides hold a key once, so the join has no hot key.
+    (key, surrogate) or null. A small batch is broadcast and the dimension stays where
+    it is; otherwise both sides are shuffled by key, which each holds once.
     """
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
     incoming = latest.select(
         spec.key,
         F.struct(*spec.attributes, F.col(spec.event_time).alias("t")).alias("_new"),
     )
-    if new_keys is not None:
-        incoming = incoming.join(
-            new_keys.select(spec.key, F.col(spec.surrogate).alias("_number")), spec.key, "left"
+    target = dimension.withColumn("_known", F.lit(True))
+    if fits(incoming.select(spec.key), broadcast_rows):
+        if new_keys is None:
+            new_keys = unknown_keys(latest, dimension, spec.key, broadcast_rows).withColumn(
+                spec.surrogate, F.lit(None).cast("long")
+            )
+        added = incoming.join(
+            F.broadcast(new_keys.select(spec.key, F.col(spec.surrogate).alias("_number"))), spec.key
+        )
+        joined = target.join(F.broadcast(incoming), spec.key, "left").unionByName(
+            added, allowMissingColumns=True
         )
     else:
-        incoming = incoming.withColumn("_number", F.lit(None).cast("long"))
-    target = dimension.withColumn("_known", F.lit(True))
-    joined = target.join(incoming, spec.key, "full_outer")
+        if new_keys is None:
+            incoming = incoming.withColumn("_number", F.lit(None).cast("long"))
+        else:
+            incoming = incoming.join(
+                new_keys.select(spec.key, F.col(spec.surrogate).alias("_number")), spec.key, "left"
+            )
+        joined = target.join(incoming, spec.key, "full_outer")
     action = (
         F.when(F.col("_known").isNull(), INSERT)
         .when(
@@ -74,11 +102,6 @@ def change_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy("action").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def unknown_keys(latest: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Keys of a batch the dimension does not have yet."""
-    return latest.select(key).join(dimension.select(key), key, "left_anti")
-
-
 def distinct_events(staged: DataFrame, spec: FeedSpec, batch: str = "batch_date") -> DataFrame:
     """One row per (key, event time), with the first batch that holds it.
 
@@ -98,16 +121,18 @@ def lookup_surrogates(
     how: str = "inner",
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the surrogate key of each event's business key."""
-    hot = hot_keys(hot_from if hot_from is not None else events, [spec.key], hot_rows)
-    return salted_join(
+    return skew_join(
         events,
         dimension.select(spec.key, spec.surrogate),
         [spec.key],
         how,
         [spec.event_time],
-        hot,
+        hot_from,
+        hot_rows,
+        broadcast_rows,
     )
 
 

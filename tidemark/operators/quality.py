@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import GateError
-from tidemark.operators.joins import HOT_ROWS, hot_keys, salted_join
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, skew_join
 from tidemark.schema import UNIQUE_KEYS
 from tidemark.spec import FeedSpec
 
@@ -137,6 +137,7 @@ def mart_counts(
     facts: DataFrame,
     spec: FeedSpec,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per batch: staging rows without a dimension row, and staging events without a
     fact row.
@@ -145,13 +146,15 @@ def mart_counts(
     """
     key, time = spec.key, spec.event_time
     events = staged.groupBy("batch_date", key, time).agg(F.count(F.lit(1)).alias("_rows"))
-    keyed = salted_join(
+    keyed = skew_join(
         events,
         dimension.select(key, spec.surrogate),
         [key],
         "left",
         [time, "batch_date"],
-        hot_keys(staged, [key], hot_rows),
+        staged,
+        hot_rows,
+        broadcast_rows,
     )
     # Surrogates are positive: rows without one get a negative stand-in, which matches
     # nothing and spreads them over the tasks of the join.
@@ -181,9 +184,10 @@ def mart_gate(
     spec: FeedSpec,
     source: str,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     return metric_rows(
-        mart_counts(staged, dimension, facts, spec, hot_rows),
+        mart_counts(staged, dimension, facts, spec, hot_rows, broadcast_rows),
         source,
         "mart",
         {"missing_dimension_count": F.lit(0), "missing_fact_count": F.lit(0)},

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import WindowError
 from tidemark.functions.times import DAY_SECONDS, epoch_of, require_aware
-from tidemark.operators.joins import salted_join
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, skew_join
 
 WINDOW_COLUMNS = (
     "source_name",
@@ -86,14 +86,16 @@ def assign_windows(
     spread: Sequence[str],
     by: Sequence[str] = (),
     cell_seconds: int = DAY_SECONDS,
-    hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Pair every row with every window that holds it.
 
     A range join turned into an equi-join: time is cut into cells, each window is
     listed under the cells it touches, and rows meet windows of their own cell only.
     ``windows`` needs extract_start and extract_end next to the ``by`` columns; its
-    other columns are carried. A busy cell is split like any hot key.
+    other columns are carried. A short list of windows is broadcast; with a long one
+    the rows of a busy cell are split like any hot key.
     """
     first = F.ceil(F.unix_micros("extract_start") / 1_000_000).cast("long")
     last = F.ceil(F.unix_micros("extract_end") / 1_000_000).cast("long")
@@ -114,7 +116,9 @@ def assign_windows(
     placed = feed.filter(F.col(event_time).isNotNull()).withColumn(
         "_cell", F.floor(F.col(event_time) / cell_seconds)
     )
-    joined = salted_join(placed, cells, [*by, "_cell"], "inner", spread, hot)
+    joined = skew_join(
+        placed, cells, [*by, "_cell"], "inner", spread, hot_rows=hot_rows, broadcast_rows=broadcast_rows
+    )
     return joined.filter(
         (F.col(event_time) >= F.col("_start")) & (F.col(event_time) < F.col("_end"))
     ).drop("_cell", "_start", "_end")
