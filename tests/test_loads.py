@@ -1,22 +1,25 @@
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import UTC, date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.errors import GateError, PublishConflict, TidemarkError, WindowError
+from tidemark.errors import GateError, PublishConflict, SchemaError, TidemarkError, WindowError
 from tidemark.functions.times import epoch_of
 from tidemark.plans import raw_load
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import load_mart, merge_batch
+from tidemark.plans.page_load import page_reader, stop_of
 from tidemark.plans.raw_load import Source, load_raw, marker_location
 from tidemark.plans.staging_load import load_staging
 from tidemark.schema import RAW, RAW_COLUMNS, relaxed
 from tidemark.session import scratch_path
 from tidemark.sinks import files, landing, staging
 from tidemark.sources import commits
+from tidemark.sources.pages import read_pages
 from tidemark.spec import PRODUCTS
 from tidemark.streaming.mart_stream import APPLIED, drop_rereads, read_staged, start_mart_stream
 
@@ -143,7 +146,7 @@ def test_empty_window_commits(store, root, feed):
 
 
 def test_capped_scan_does_not_commit(spark, store, root, feed):
-    run = load_raw(store, root, SOURCE, end(1), feed, complete=False)
+    run = load_raw(store, root, SOURCE, end(1), lambda start, stop: (feed, False))
     assert run.rows == 3 and not run.committed
     assert watermark(store) is None and not files.exists(spark, marker_location(root, "src", run.logical_date))
 
@@ -244,6 +247,78 @@ def test_out_of_order_batch_keeps_the_first_fact(spark, store):
     assert [f[2] for f in facts(store)] == ["2026-08-09"]
 
 
+# --- page documents ----------------------------------------------------------------
+
+
+def documents(spark, *pages):
+    folder = scratch_path(spark, "docs")
+    lines = [(p if isinstance(p, str) else json.dumps(p),) for p in pages]
+    spark.createDataFrame(lines, "value string").write.text(folder)
+    return read_pages(spark, folder)
+
+
+def page(number, *records, count=999):
+    products = [
+        {"code": code, "product_name": name, "last_modified_t": epoch_of(t) if isinstance(t, datetime) else t}
+        for code, t, name in records
+    ]
+    return {"page": number, "count": count, "products": products}
+
+
+def test_pages_end_to_end(spark, store, root):
+    inside = epoch_of(hour(0, 4)) + 0.5
+    docs = documents(
+        spark,
+        page(1, ("z", hour(3, 0), "future"), ("bad", "7", "text time"), (5, True, "boolean time")),
+        page(2, ("a", hour(0, 20), "a1"), ("b", inside, "b1")),
+        page(3, ("a", hour(0, 2), "a0"), (7, hour(-1, 0), "bad code outside the window")),
+        page(4, ("old", hour(-2, 0), "too old")),
+        page(5, ("c", hour(0, 9), "after the stop")),
+    )
+    reader = page_reader(docs, PRODUCTS)
+    done = load_day(store, root, SOURCE, end(1), reader, page="page_number")
+    assert (done.raw.rows, done.staged_rows) == (3, 3)
+    assert {c: n for c, (n, _) in dims(store).items()} == {"a": "a1", "b": "b1"}
+    assert (2, epoch_of(hour(0, 4)), "2026-08-02") in facts(store)
+    assert watermark(store) == end(1)
+
+
+def test_declared_count_ends_the_scan(spark):
+    docs = documents(spark, page(1, ("a", hour(0, 1), "x"), count=1), page(2, ("b", hour(0, 1), "y"), count=1))
+    stop = stop_of(docs, PRODUCTS, START, None)
+    assert (stop.stop_page, stop.last_page, stop.reason) == (1, 1, "all_seen")
+
+
+def test_empty_page_ends_the_scan(spark):
+    docs = documents(spark, page(1, ("a", None, "x")), page(2), page(3, ("b", hour(0, 1), "y")))
+    stop = stop_of(docs, PRODUCTS, START, None)
+    assert (stop.stop_page, stop.last_page, stop.reason) == (2, 1, "empty_page")
+
+
+def test_page_cap_leaves_the_run_open(spark, store, root):
+    docs = documents(spark, page(1, ("a", hour(0, 3), "x")), page(2, ("b", hour(0, 2), "y")))
+    run = load_raw(store, root, SOURCE, end(1), page_reader(docs, PRODUCTS, max_pages=1), "page_number")
+    assert run.rows == 1 and not run.committed and watermark(store) is None
+    run = load_raw(store, root, SOURCE, end(1), page_reader(docs, PRODUCTS), "page_number")
+    assert run.rows == 2 and run.committed
+    with pytest.raises(ValueError, match="max_pages"):
+        page_reader(docs, PRODUCTS, max_pages=0)
+
+
+def test_bad_pages_leave_nothing(spark, store, root):
+    for docs, error, message in (
+        (documents(spark, page(1, ("a", hour(0, 1), "x")), "[]"), SchemaError, "wrong shape"),
+        (documents(spark, page(1, (5, hour(0, 1), "x"))), SchemaError, "do not fit the schema"),
+        (documents(spark, page(1, ("a", hour(0, 1), "x"), ("a", hour(0, 2), "y"))), GateError, "Duplicate keys"),
+        (documents(spark, page(1, (None, hour(0, 1), "x"))), GateError, "null keys"),
+    ):
+        with pytest.raises(error, match=message):
+            load_raw(store, root, SOURCE, end(1), page_reader(docs, PRODUCTS), "page_number")
+    assert watermark(store) is None
+    fine = documents(spark, page(1, ("a", hour(0, 2), "x")), page(2, ("a", hour(0, 1), "y")))
+    assert load_raw(store, root, SOURCE, end(1), page_reader(fine, PRODUCTS), "page_number").rows == 2
+
+
 # --- store -------------------------------------------------------------------------
 
 

@@ -20,14 +20,16 @@ from tidemark.catalog.feeds import (
 from tidemark.catalog.registry import query
 from tidemark.catalog.scans import RAW_SQL, flat
 from tidemark.functions.times import hours
-from tidemark.operators import control, merge, windows
+from tidemark.operators import control, merge, pages, windows
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import merge_batch
+from tidemark.plans.page_load import page_reader
 from tidemark.plans.raw_load import Source, load_raw
 from tidemark.plans.staging_load import load_staging
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import TableStore
 from tidemark.sources import commits, tables
+from tidemark.sources.pages import read_pages
 from tidemark.spec import PRODUCTS
 from tidemark.streaming.mart_stream import drop_rereads, read_staged, start_mart_stream
 
@@ -354,6 +356,30 @@ def raw_load(spark, sf_dir):
     return flat(tables.scan_raw(spark, *keys))
 
 
+@query(
+    "page_load",
+    f"""WITH {FEED_SQL}
+    SELECT code || '-' || event_id AS code, product_name, last_modified_t FROM feed
+    WHERE last_modified_t IS NOT NULL""",
+)
+def page_load(spark, sf_dir):
+    """The feed as newest-first page documents, loaded from page scan to commit."""
+    store, root, inbox = new_store(spark), scratch_path(spark, "raw-root"), scratch_path(spark, "pages")
+    rows = feed(spark, sf_dir).withColumn("code", F.concat_ws("-", "code", "event_id"))
+    order = pages.newest_first(FEED.event_time, FEED.tie_break)
+    record = F.struct("page_position", "code", "product_name", "categories_tags_en", "last_modified_t")
+    documents = pages.paginate(rows, order).groupBy("page_number").agg(
+        F.array_sort(F.collect_list(record)).alias("products")
+    )
+    documents.select(
+        F.to_json(F.struct(F.col("page_number").alias("page"), "products")).alias("value")
+    ).write.text(inbox)
+    source, _, end = whole_source(spark, sf_dir)
+    run = load_raw(store, root, source, end, page_reader(read_pages(spark, inbox), PRODUCTS), "page_number")
+    load_staging(store, root, source, run.logical_date)
+    return store.read("staging").select("code", "product_name", "last_modified_t")
+
+
 @query(
     "staging_load",
     f"""WITH {FEED_SQL}

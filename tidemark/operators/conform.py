@@ -32,7 +32,8 @@ def json_type(record: str, name: str) -> Column:
     return F.schema_of_variant(_variant_at(record, name))
 
 
-def _is_number(kind: Column) -> Column:
+def is_number(kind: Column) -> Column:
+    """Whether a JSON type name is a number's."""
     return kind.isin(*_NUMBER) | kind.startswith(_DECIMAL)
 
 
@@ -40,7 +41,7 @@ def is_usable_time(record: str, name: str) -> Column:
     """Whether the event time is a JSON number. Text, booleans, null and absence are
     not usable.
     """
-    return F.coalesce(_is_number(json_type(record, name)), F.lit(False))
+    return F.coalesce(is_number(json_type(record, name)), F.lit(False))
 
 
 def _target(kind: T.DataType) -> tuple[Callable[[Column], Column], str]:
@@ -48,7 +49,7 @@ def _target(kind: T.DataType) -> tuple[Callable[[Column], Column], str]:
     if isinstance(kind, T.StringType):
         return lambda found: found.isin(*_TEXT), "string"
     if isinstance(kind, T.LongType):
-        return _is_number, "bigint"
+        return is_number, "bigint"
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
         return lambda found: found.isin(*_TEXT_LIST), "array<string>"
     raise SchemaError(f"no conversion from JSON to {kind.simpleString()}")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge, quality
 from tidemark.operators.ranking import materialise, surrogate_keys
 from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, load_mart
-from tidemark.plans.raw_load import RawRun, Source, load_raw
+from tidemark.plans.raw_load import RawRun, Reader, Source, load_raw
 from tidemark.plans.staging_load import load_staging, metric_slot, write_metrics
 from tidemark.sinks.tables import WHOLE, TableStore
 from tidemark.spec import FeedSpec
@@ -29,7 +29,7 @@ def load_day(
     raw_root: str,
     source: Source,
     batch_end: datetime,
-    records: DataFrame,
+    records: DataFrame | Reader,
     page: str | None = None,
 ) -> DailyLoad:
     """Raw, staging and mart for one batch end; scheduling stays with the caller."""

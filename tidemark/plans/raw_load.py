@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
 
@@ -18,6 +19,10 @@ from tidemark.sinks.tables import WHOLE, TableStore
 from tidemark.spec import PRODUCTS, FeedSpec
 
 
+# Gives the records of a window, and whether the scan of the source was complete.
+Reader = Callable[[datetime, datetime], tuple[DataFrame, bool]]
+
+
 @dataclass(frozen=True)
 class Source:
     """A source and where its extraction starts."""
@@ -103,16 +108,17 @@ def load_raw(
     raw_root: str,
     source: Source,
     batch_end: datetime,
-    records: DataFrame,
+    records: DataFrame | Reader,
     page: str | None = None,
-    complete: bool = True,
 ) -> RawRun:
     """Land the records of one batch and commit them once.
 
-    ``records`` is the conformed source; the window filter is applied here and reaches
-    its scan. With ``page`` the keys must be unique inside each page; the column is
-    landed with the data for that check. An incomplete scan (page cap reached) is
-    landed but neither committed nor counted in the watermark.
+    ``records`` is the conformed source, or a function of the window's bounds giving
+    it; the window filter is applied here and reaches its scan. With ``page`` the keys
+    must be unique inside each page; the column is landed with the data for that check.
+    A scan the reader calls incomplete (page cap reached) is landed but neither
+    committed nor counted in the watermark. A run that is committed already is not
+    read again.
     """
     spark: SparkSession = store.spark
     spec = source.spec
@@ -130,7 +136,8 @@ def load_raw(
     window = window_of(store, source, end)
     start_at, end_at = window.extract_start.astimezone(UTC), window.extract_end.astimezone(UTC)
     folder = f"{run_folder(raw_root, source.name, label)}/attempt_id={attempt}"
-    inside = window_filter(records, spec.event_time, start_at, end_at)
+    rows, complete = (records, True) if isinstance(records, DataFrame) else records(start_at, end_at)
+    inside = window_filter(rows, spec.event_time, start_at, end_at)
     written = landing.land_parts(inside, folder, spec.event_time, spec.key)
     objects = landing.inventory(spark, folder, raw_root)
     landing.verify_landing(objects, written)

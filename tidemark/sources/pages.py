@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.conform import require_page_shape
+from tidemark.operators.conform import is_number, require_page_shape
 
 # Fixed value: the page number in a file name such as page-00012.json.
 PAGE_FILE_PATTERN = r"page-(\d+)"
@@ -43,6 +43,29 @@ def page_records(pages: DataFrame, items: str = "products") -> DataFrame:
     )
 
 
+def page_times(pages: DataFrame, event_time: str, items: str = "products") -> DataFrame:
+    """Per page: records returned, newest and oldest usable event time, declared count.
+
+    A document is a whole page, so this needs no shuffle; an empty page has a row.
+    """
+    listed = F.try_variant_get("doc", f"$.{items}", "array<variant>")
+    with_list = pages.select("page_number", "declared_count", listed.alias("_items"))
+    usable = F.transform(
+        "_items",
+        lambda record: F.when(
+            is_number(F.schema_of_variant(F.try_variant_get(record, f"$.{event_time}", "variant"))),
+            F.try_variant_get(record, f"$.{event_time}", "bigint"),
+        ),
+    )
+    return with_list.select("page_number", "declared_count", F.size("_items").alias("_n"), usable.alias("_times")).select(
+        "page_number",
+        "declared_count",
+        F.greatest("_n", F.lit(0)).cast("long").alias("returned"),
+        F.array_max("_times").alias("newest_t"),
+        F.array_min("_times").alias("oldest_t"),
+    )
+
+
 def scan_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Records of all pages, after checking the shape of every document."""
     return page_records(require_page_shape(read_pages(spark, path, one_per_file)))
