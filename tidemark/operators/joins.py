@@ -17,8 +17,12 @@ MAX_HOT_KEYS = 100_000
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; looks at one row more than that."""
-    return rows > 0 and df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.
+
+    A distributed count, which on files reads no column; a limit would instead send
+    that many rows of every partition to one task.
+    """
+    return rows > 0 and df.count() <= rows
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -59,10 +59,10 @@ def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source:
     events = merge.lookup_surrogates(
         merge.facts_closed_form(staged, spec), dimension, spec, hot_from=staged
     ).withColumnRenamed(spec.event_time, spec.target_time)
-    facts = events.hint("rebalance").withColumn(
+    facts = events.withColumn(
         FACT_KEY, F.monotonically_increasing_id() + 1
     ).withColumn("loaded_at", F.lit(now))
-    fact_folder = store.write("fact", facts, rebalance=False)
+    fact_folder = store.write("fact", facts)
     written = store.open("fact", [fact_folder])
     checked = quality.enforce(quality.mart_gate(staged, dimension, written, spec, source))
     metrics = write_metrics(store, base, metric_slot("mart", "backfill"), checked, now)

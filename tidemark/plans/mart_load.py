@@ -52,10 +52,10 @@ def insert_facts(
     # Unique and increasing: the write computes each number once per row, and a
     # retried task replaces its own output.
     start = int(base.properties.get(FACT_HIGH, "0")) + 1
-    numbered = fresh.hint("rebalance").withColumn(
+    numbered = fresh.withColumn(
         FACT_KEY, F.monotonically_increasing_id() + F.lit(start)
     ).withColumn("loaded_at", F.lit(now))
-    folder = store.write("fact", numbered, rebalance=False)
+    folder = store.write("fact", numbered)
     row = store.open("fact", [folder]).agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
     return folder, row[0], row[1] or start - 1
 

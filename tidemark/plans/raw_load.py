@@ -10,9 +10,11 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.errors import WindowError
 from tidemark.functions import identity, times
 from tidemark.operators import control, quality
-from tidemark.operators.windows import build_windows, require_windows, window_filter
+from tidemark.operators.ranking import materialise
+from tidemark.operators.windows import build_windows, window_filter
 from tidemark.schema import WATERMARKS
 from tidemark.sinks import files, landing
 from tidemark.sinks.tables import WHOLE, TableStore
@@ -61,34 +63,33 @@ def marker_location(root: str, source: str, logical_date: date) -> str:
 
 def window_of(store: TableStore, source: Source, batch_end: datetime):
     """The extraction window row of one source, from the published watermarks."""
-    spark = store.spark
-    sources = spark.range(1).select(
+    sources = store.spark.range(1).select(
         F.lit(source.name).alias("source_name"),
         F.lit(times.require_aware(source.initial_watermark, "initial_watermark")).alias("initial_watermark"),
         F.lit(times.require_aware(batch_end, "batch_end")).alias("batch_end"),
         F.lit(source.lookback).alias("lookback"),
     )
-    return require_windows(build_windows(sources, store.read("watermarks"))).first()
-
-
-def save_watermarks(store: TableStore, base, result: DataFrame) -> None:
-    """Publish an advanced watermark table; nothing is written when nothing changed."""
-    changed = result.filter("changed").limit(1).count()
-    if changed:
-        path = store.write("watermarks", result.select(*WATERMARKS.fieldNames()))
-        store.publish(base, {"watermarks": {WHOLE: [path]}})
+    window = build_windows(sources, store.read("watermarks")).first()
+    if window.error:
+        raise WindowError(f"{source.name}: {window.error}")
+    return window
 
 
 def recover(store: TableStore, marker: dict) -> None:
     """Finish the watermark update of a committed run; a no-op when it is done."""
     base = store.snapshot()
     commit = store.spark.range(1).select(
-        F.lit(marker["source"]).alias("source"),
+        F.lit(marker["source"]).alias("source_name"),
+        F.lit(datetime.fromisoformat(marker["next_watermark"])).alias("watermark_ts"),
         F.lit(marker["run_id"]).alias("run_id"),
-        F.lit(datetime.fromisoformat(marker["next_watermark"])).alias("next_watermark"),
     )
-    stored = store.read("watermarks", snapshot=base)
-    save_watermarks(store, base, control.recover_watermarks(stored, commit, F.current_timestamp()))
+    result = materialise(
+        control.advance_watermarks(store.read("watermarks", snapshot=base), commit, F.current_timestamp()),
+        "watermarks",
+    )
+    if not result.filter("changed").isEmpty():
+        path = store.write("watermarks", result.select(*WATERMARKS.fieldNames()))
+        store.publish(base, {"watermarks": {WHOLE: [path]}})
 
 
 def _result(marker: dict, attempt: str) -> RawRun:
@@ -139,8 +140,8 @@ def load_raw(
     rows, complete = (records, True) if isinstance(records, DataFrame) else records(start_at, end_at)
     inside = window_filter(rows, spec.event_time, start_at, end_at)
     written = landing.land_parts(inside, folder, spec.event_time, spec.key)
-    objects = landing.inventory(spark, folder, raw_root)
-    landing.verify_landing(objects, written)
+    objects = materialise(landing.inventory(spark, folder, raw_root), "objects")
+    totals = landing.verify_landing(objects, written)
     if written:
         landed = spark.read.parquet(folder)
         if page is None:
@@ -158,9 +159,6 @@ def load_raw(
     run = {"source": source.name, "logical_date": label, "run_id": run_id_of(source.name, label), "attempt_id": attempt}
     described = objects.select(*[F.lit(v).alias(k) for k, v in run.items()], "*")
     documents = control.build_manifests(described)
-    totals = objects.agg(
-        F.count(F.lit(1)).alias("objects"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")
-    ).first()
     manifest = control.manifest_json(F.lit(started), F.current_timestamp())
     documents.select(manifest.alias("value")).write.text(f"{folder}/{identity.MANIFEST_NAME}")
     payload = {

@@ -58,15 +58,14 @@ class TableStore:
             return empty(self.spark, schema)
         return self.spark.read.schema(relaxed(schema)).parquet(*[f"{self.root}/{p}" for p in paths])
 
-    def write(self, table: str, df: DataFrame, rebalance: bool = True) -> str:
+    def write(self, table: str, df: DataFrame) -> str:
         """Write rows to a new folder and return it; nothing is visible yet.
 
-        Partitions are evened out before the write: small ones are merged, large ones
-        split, whatever the keys look like.
+        No shuffle is added: scans pack small files together and adaptive execution
+        sizes the output of joins, so files keep a sensible size over many versions.
         """
         folder = f"{table}/{uuid.uuid4().hex}"
         rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()})
-        rows = rows.hint("rebalance") if rebalance else rows
         rows.write.parquet(f"{self.root}/{folder}")
         return folder
 
