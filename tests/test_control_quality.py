@@ -165,7 +165,7 @@ def test_mart_gate(spark, dim, facts, message):
     numbers = {"a": 1, "b": 2}
     dimension = spark.createDataFrame([(c, numbers[c]) for c in dim], "code string, product_key bigint")
     fact = spark.createDataFrame([(numbers[c], 5) for c in facts], "product_key bigint, source_t bigint")
-    metrics = quality.mart_gate(staged(spark, ["a", "b"]), dimension, fact, SPEC, "src", hot_rows=1, broadcast_rows=0)
+    metrics = quality.mart_gate(staged(spark, ["a", "b"]), dimension, fact, SPEC, "src", hot_rows=1, small=False)
     if message is None:
         assert len(quality.enforce(metrics)) == 2
     else:
@@ -178,7 +178,7 @@ def test_mart_counts_rows_not_keys(spark):
     frame = spark.createDataFrame(rows, "batch_date date, code string, t bigint")
     dimension = spark.createDataFrame([("a", 1)], "code string, product_key bigint")
     facts = spark.createDataFrame([(1, 5)], "product_key bigint, source_t bigint")
-    for limits in ((5, 0), (10_000, 0), (5, 1000)):
+    for limits in ((5, False), (10_000, False), (5, True)):
         row = quality.mart_counts(frame, dimension, facts, SPEC, *limits).first()
         assert (row.missing_dimension_count, row.missing_fact_count) == (50, 31)
 

@@ -23,15 +23,15 @@ def skewed(spark, n=3000, seed=1):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_skew_join_equals_the_plain_join(spark, how, broadcast_rows):
+@pytest.mark.parametrize("small", [False, True])
+def test_skew_join_equals_the_plain_join(spark, how, small):
     left, _ = skewed(spark)
     right = spark.createDataFrame(
         [("hot", 1), ("hot", 2), (None, 9)] + [(f"k{i}", i) for i in range(0, 200, 2)], "k string, r int"
     )
     hot = hot_keys(left, ["k"], hot_rows=100)
     assert {r.k: r._splits for r in hot.collect()}["hot"] >= 10
-    got = skew_join(left, right, ["k"], how, ["id"], None, 100, broadcast_rows)
+    got = skew_join(left, right, ["k"], how, ["id"], None, 100, small)
     wanted = left.join(right, "k", how)
     assert sorted(map(str, got.select("id", "k", "t", "r").collect())) == sorted(
         map(str, wanted.select("id", "k", "t", "r").collect())
@@ -41,7 +41,7 @@ def test_skew_join_equals_the_plain_join(spark, how, broadcast_rows):
 def test_hot_key_is_spread_over_salts(spark):
     left, _ = skewed(spark)
     right = spark.createDataFrame([("hot", 1)], "k string, r int")
-    joined = skew_join(left, right, ["k"], "inner", ["id"], hot_rows=100, broadcast_rows=0)
+    joined = skew_join(left, right, ["k"], "inner", ["id"], hot_rows=100, small=False)
     text = joined._jdf.queryExecution().toString()
     assert "_salt" in text and "Cartesian" not in text
     assert "_salt" not in skew_join(left, right, ["k"], "inner", ["id"])._jdf.queryExecution().toString()

@@ -20,8 +20,8 @@ def dimension(spark, rows):
     return spark.createDataFrame([(i + 1, c, v, t, THEN, THEN) for i, (c, v, t) in enumerate(rows)], DIM)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_update_rule(spark, broadcast_rows):
+@pytest.mark.parametrize("small", [False, True])
+def test_update_rule(spark, small):
     old = dimension(spark, [
         ("newer", "o", 1), ("same", "o", 5), ("older", "o", 9), ("untimed source", "o", 5),
         ("untimed target", "o", None), ("both untimed", "o", None), ("absent", "o", 1),
@@ -31,7 +31,7 @@ def test_update_rule(spark, broadcast_rows):
          ("untimed target", 5, "n"), ("both untimed", None, "n"), ("added", 5, "n"), ("added untimed", None, "n")],
         "code string, t bigint, v string",
     )
-    merged = merge.merge_type1(old, latest, SPEC, NOW, None, broadcast_rows)
+    merged = merge.merge_type1(old, latest, SPEC, NOW, None, small)
     rows = {r.code: r for r in merged.collect()}
     assert {c: r.action for c, r in rows.items()} == {
         "newer": "U", "same": "K", "older": "K", "untimed source": "K", "untimed target": "U",
@@ -47,11 +47,11 @@ def test_update_rule(spark, broadcast_rows):
     assert {r.action: r.rows for r in counts.collect()} == {"I": 2, "U": 3, "K": 4}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_new_rows_take_their_numbers(spark, broadcast_rows):
+@pytest.mark.parametrize("small", [False, True])
+def test_new_rows_take_their_numbers(spark, small):
     latest = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "code string, t bigint, v string")
     numbers = spark.createDataFrame([("b", 7)], "code string, product_key bigint")
-    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers, broadcast_rows)
+    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers, small)
     assert {r.code: r.product_key for r in got.collect()} == {"a": 1, "b": 7}
 
 
@@ -125,7 +125,7 @@ def test_lookup_with_a_hot_code(spark):
     staged = spark.createDataFrame(history(), STAGED)
     events = merge.distinct_events(staged, SPEC)
     dim = staged.select("code").distinct().withColumn("product_key", F.abs(F.xxhash64("code")))
-    got = merge.lookup_surrogates(events, dim, SPEC, hot_from=staged, hot_rows=50, broadcast_rows=0)
+    got = merge.lookup_surrogates(events, dim, SPEC, hot_from=staged, hot_rows=50, small=False)
     assert got.count() == events.count()
     assert sorted(map(str, got.select("code", "t", "product_key").collect())) == sorted(
         map(str, events.join(dim, "code").select("code", "t", "product_key").collect())

@@ -87,9 +87,9 @@ def test_assigned_windows_match_brute_force(spark):
     )
     feed = spark.createDataFrame(events, "id bigint, t bigint")
     expected = sorted((i, n) for i, t in events for n, s, e in spans if t is not None and s <= t < e)
-    for broadcast_rows in (0, 1000):
+    for small in (False, True):
         got = windows.assign_windows(
-            feed, windowed, "t", ["id"], cell_seconds=50, hot_rows=60, broadcast_rows=broadcast_rows
+            feed, windowed, "t", ["id"], cell_seconds=50, hot_rows=60, small=small
         )
         assert sorted((r.id, r.name) for r in got.collect()) == expected
 

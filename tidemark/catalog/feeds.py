@@ -12,9 +12,11 @@ from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.times import epoch_seconds
 from tidemark.operators.control import with_run_id
+from tidemark.operators.ranking import materialise
 from tidemark.operators.windows import daily_batches
 from tidemark.spec import FeedSpec
 
@@ -31,8 +33,15 @@ SHIPMENTS = FeedSpec(
 WINDOW = (datetime(2024, 1, 15, tzinfo=UTC), datetime(2024, 1, 16, tzinfo=UTC))
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A shared table; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +81,10 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed objects: one per event type, day and quarter of the day."""
+    """Landed objects: one per event type, day and quarter of the day.
+
+    Events are counted once; everything else about runs comes from the written result.
+    """
     counted = (
         table(spark, sf_dir, "events")
         .groupBy(
@@ -85,18 +97,17 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.length("props")).alias("size_bytes"),
         )
     )
-    return with_run_id(counted)
+    return materialise(with_run_id(counted), "objects")
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def runs(landed: DataFrame) -> DataFrame:
     return (
-        objects(spark, sf_dir)
-        .groupBy("source", "logical_date", "run_id")
+        landed.groupBy("source", "logical_date", "run_id")
         .agg(F.count(F.lit(1)).alias("object_count"), F.sum("row_count").alias("row_count"))
     )
 
 
-def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attempts(landed: DataFrame) -> DataFrame:
     """Attempts of the runs: a second, faster one every third day, none every seventh.
 
     The first attempt declares one row too many every tenth day.
@@ -115,7 +126,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tries = F.when(day % 3 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
-        runs(spark, sf_dir)
+        runs(landed)
         .filter(day % 7 != 0)
         .withColumn("_try", F.explode(tries))
         .select("source", "logical_date", "run_id", "object_count", "row_count", "_try.*")

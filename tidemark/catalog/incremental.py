@@ -14,6 +14,7 @@ from tidemark.catalog.feeds import (
     STAGED_SQL,
     attempts,
     feed,
+    objects,
     staged,
     table,
 )
@@ -164,13 +165,13 @@ def watermark_reconcile(spark, sf_dir):
 )
 def watermark_recover(spark, sf_dir):
     """Watermarks one batch in, one source without any, brought up to the commits."""
-    won = control.winning_attempts(attempts(spark, sf_dir)).withColumn(
+    landed = objects(spark, sf_dir)
+    won = control.winning_attempts(attempts(landed)).withColumn(
         "next_watermark", F.col("logical_date").cast("timestamp")
     )
     stored = (
-        attempts(spark, sf_dir).select("source").distinct()
-        .join(table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source"))
-              .agg(F.date_add(F.to_date(F.min("ts")), 1).cast("timestamp").alias("watermark_ts")), "source")
+        landed.groupBy("source")
+        .agg(F.min("logical_date").cast("timestamp").alias("watermark_ts"))
         .filter("source <> 'click'")
         .select(
             F.col("source").alias("source_name"), "watermark_ts",

@@ -133,21 +133,20 @@ def raw_scan(spark, sf_dir):
     return flat(tables.scan_raw(spark, *paths))
 
 
-def object_table(spark, sf_dir):
+def object_table(landed):
     """Objects of every attempt, with their keys."""
-    tried = attempts(spark, sf_dir).select("run_id", "attempt_id", "committed_at", "declared")
+    tried = attempts(landed).select("run_id", "attempt_id", "committed_at", "declared")
     prefix = identity.attempt_prefix("source", "logical_date", "run_id", "attempt_id")
     return (
-        objects(spark, sf_dir)
-        .join(tried, "run_id")
+        landed.join(tried, "run_id")
         .withColumn("object_key", identity.part_key(prefix, "part_number"))
     )
 
 
-def manifest_table(spark, sf_dir):
+def manifest_table(landed):
     """Manifest documents of every attempt, with the declared rows as told."""
-    listed = object_table(spark, sf_dir)
-    declared = attempts(spark, sf_dir).select("run_id", "attempt_id", "declared")
+    listed = object_table(landed)
+    declared = attempts(landed).select("run_id", "attempt_id", "declared")
     return (
         control.build_manifests(listed)
         .join(declared, ["run_id", "attempt_id"])
@@ -167,8 +166,9 @@ def manifest_table(spark, sf_dir):
     FROM winners w JOIN objects o USING (run_id)""",
 )
 def committed_objects(spark, sf_dir):
-    winners = control.winning_attempts(attempts(spark, sf_dir))
-    return control.committed_objects(winners, manifest_table(spark, sf_dir))
+    landed = objects(spark, sf_dir)
+    winners = control.winning_attempts(attempts(landed))
+    return control.committed_objects(winners, manifest_table(landed))
 
 
 @query(
@@ -181,7 +181,7 @@ def committed_objects(spark, sf_dir):
 def commit_log_scan(spark, sf_dir):
     """Commit records are written per run folder and scanned back as one table."""
     root = scratch_path(spark, "commit-log")
-    won = control.winning_attempts(attempts(spark, sf_dir)).select(
+    won = control.winning_attempts(attempts(objects(spark, sf_dir))).select(
         "source", "run_id", "attempt_id", "object_count", "row_count", "logical_date",
         F.col("logical_date").alias("extract_date"),
         F.col("run_id").alias("run"),
@@ -215,8 +215,9 @@ def commit_log_scan(spark, sf_dir):
     FROM runs""",
 )
 def pending_runs(spark, sf_dir):
-    wanted = runs(spark, sf_dir).select("source", "logical_date", "run_id")
-    won = control.winning_attempts(attempts(spark, sf_dir))
+    landed = objects(spark, sf_dir)
+    wanted = runs(landed).select("source", "logical_date", "run_id")
+    won = control.winning_attempts(attempts(landed))
     pending = control.pending_runs(wanted, won).withColumn("state", F.lit("pending"))
     done = control.done_runs(wanted, won).withColumn("state", F.lit("done"))
     return pending.unionByName(done)

@@ -172,9 +172,10 @@ def manifest_build(spark, sf_dir):
     FROM attempts""",
 )
 def commit_record(spark, sf_dir):
-    totals = control.run_totals(object_table(spark, sf_dir))
+    landed = objects(spark, sf_dir)
+    totals = control.run_totals(object_table(landed))
     end = F.col("logical_date").cast("timestamp")
-    spans = runs(spark, sf_dir).select(
+    spans = runs(landed).select(
         F.col("source").alias("source_name"),
         "logical_date",
         (end - F.expr("interval 30 hours")).alias("extract_start"),
@@ -196,7 +197,7 @@ def commit_record(spark, sf_dir):
     f"WITH {CONTROL_SQL} SELECT source, logical_date, run_id, attempt_id, row_count, committed_t FROM winners",
 )
 def winning_attempt(spark, sf_dir):
-    return control.winning_attempts(attempts(spark, sf_dir)).select(
+    return control.winning_attempts(attempts(objects(spark, sf_dir))).select(
         "source", "logical_date", "run_id", "attempt_id", "row_count",
         F.unix_timestamp("committed_at").alias("committed_t"),
     )
@@ -207,7 +208,7 @@ def winning_attempt(spark, sf_dir):
            CAST(sum(o.row_count) AS BIGINT) AS row_count
     FROM objects o JOIN attempts t USING (run_id) GROUP BY 1, 2, 3, 4""")
 def run_totals(spark, sf_dir):
-    return control.run_totals(object_table(spark, sf_dir))
+    return control.run_totals(object_table(objects(spark, sf_dir)))
 
 
 @query(
@@ -218,7 +219,7 @@ def run_totals(spark, sf_dir):
     FROM attempts""",
 )
 def manifest_reconcile(spark, sf_dir):
-    return control.reconcile_manifests(manifest_table(spark, sf_dir))
+    return control.reconcile_manifests(manifest_table(objects(spark, sf_dir)))
 
 
 @query(

@@ -48,12 +48,13 @@ def skew_join(
     spread: Sequence[str],
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for an inner or left join with hot left keys.
 
-    A right side of at most ``broadcast_rows`` rows is broadcast and nothing is
-    shuffled. Otherwise left rows of a hot key are spread over its splits by a hash of
+    A right side of at most ``BROADCAST_ROWS`` rows is broadcast and nothing is
+    shuffled; ``small`` tells whether it is, and without it the rows are counted.
+    Otherwise left rows of a hot key are spread over its splits by a hash of
     the ``spread`` columns, and the matching right rows are repeated once per split;
     all other keys join as usual. Left rows with a null key match nothing and are
     spread as well. ``hot_from`` may be a cheaper frame than ``left`` to count keys on,
@@ -62,7 +63,7 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError("skew_join does inner and left joins only")
     keys = list(keys)
-    if fits(right, broadcast_rows):
+    if fits(right) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
     hot = F.broadcast(hot_keys(hot_from if hot_from is not None else left, keys, hot_rows))
     place = F.xxhash64(*[F.col(name) for name in spread])

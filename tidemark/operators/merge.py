@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits, skew_join
+from tidemark.operators.joins import HOT_ROWS, fits, skew_join
 from tidemark.spec import FeedSpec
 
 INSERT, UPDATE, KEEP = "I", "U", "K"
@@ -21,7 +21,7 @@ def is_newer(target_time: Column, source_time: Column) -> Column:
 
 
 def unknown_keys(
-    latest: DataFrame, dimension: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+    latest: DataFrame, dimension: DataFrame, key: str, small: bool | None = None
 ) -> DataFrame:
     """Keys of a batch the dimension does not have yet.
 
@@ -29,7 +29,7 @@ def unknown_keys(
     of the batch where they lie. A large batch is joined by shuffling both key columns.
     """
     keys, known = latest.select(key), dimension.select(key)
-    if fits(keys, broadcast_rows):
+    if fits(keys) if small is None else small:
         known = F.broadcast(known.join(F.broadcast(keys), key, "left_semi"))
     return keys.join(known, key, "left_anti")
 
@@ -40,13 +40,13 @@ def merge_type1(
     spec: FeedSpec,
     load_ts: datetime | Column,
     new_keys: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """The dimension after merging one row per key, plus an ``action`` column.
 
     Matched and newer rows take the new attributes but keep surrogate and
     ``created_at``; unknown keys are added, with their surrogate from ``new_keys``
-    (key, surrogate) or null. A small batch is broadcast and the dimension stays where
+    (key, surrogate) or null. A small batch (counted unless told) is broadcast and the dimension stays where
     it is; otherwise both sides are shuffled by key, which each holds once.
     """
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
@@ -55,9 +55,11 @@ def merge_type1(
         F.struct(*spec.attributes, F.col(spec.event_time).alias("t")).alias("_new"),
     )
     target = dimension.withColumn("_known", F.lit(True))
-    if fits(incoming.select(spec.key), broadcast_rows):
+    if small is None:
+        small = fits(incoming.select(spec.key))
+    if small:
         if new_keys is None:
-            new_keys = unknown_keys(latest, dimension, spec.key, broadcast_rows).withColumn(
+            new_keys = unknown_keys(latest, dimension, spec.key, small).withColumn(
                 spec.surrogate, F.lit(None).cast("long")
             )
         added = incoming.join(
@@ -121,7 +123,7 @@ def lookup_surrogates(
     how: str = "inner",
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add the surrogate key of each event's business key."""
     return skew_join(
@@ -132,7 +134,7 @@ def lookup_surrogates(
         [spec.event_time],
         hot_from,
         hot_rows,
-        broadcast_rows,
+        small,
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import GateError
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, skew_join
+from tidemark.operators.joins import HOT_ROWS, skew_join
 from tidemark.schema import UNIQUE_KEYS
 from tidemark.spec import FeedSpec
 
@@ -137,12 +137,13 @@ def mart_counts(
     facts: DataFrame,
     spec: FeedSpec,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Per batch: staging rows without a dimension row, and staging events without a
     fact row.
 
     Staging shrinks to one row per batch, key and event time before the joins.
+    ``small`` tells whether the dimension can be broadcast (see ``skew_join``).
     """
     key, time = spec.key, spec.event_time
     events = staged.groupBy("batch_date", key, time).agg(F.count(F.lit(1)).alias("_rows"))
@@ -154,7 +155,7 @@ def mart_counts(
         [time, "batch_date"],
         staged,
         hot_rows,
-        broadcast_rows,
+        small,
     )
     # Surrogates are positive: rows without one get a negative stand-in, which matches
     # nothing and spreads them over the tasks of the join.
@@ -184,10 +185,10 @@ def mart_gate(
     spec: FeedSpec,
     source: str,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     return metric_rows(
-        mart_counts(staged, dimension, facts, spec, hot_rows, broadcast_rows),
+        mart_counts(staged, dimension, facts, spec, hot_rows, small),
         source,
         "mart",
         {"missing_dimension_count": F.lit(0), "missing_fact_count": F.lit(0)},
@@ -199,7 +200,7 @@ def enforce(metrics: DataFrame) -> list:
 
     A gate has two metrics per batch, so they may come to the driver.
     """
-    rows = metrics.orderBy("batch_date", "metric_name").collect()
+    rows = sorted(metrics.collect(), key=lambda row: (row.batch_date, row.metric_name))
     failed = {row.metric_name: row for row in reversed(rows) if not row.passed}
     for name, message in FAILURES.items():
         if name in failed:

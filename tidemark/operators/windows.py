@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import WindowError
 from tidemark.functions.times import DAY_SECONDS, epoch_of, require_aware
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, skew_join
+from tidemark.operators.joins import HOT_ROWS, skew_join
 
 WINDOW_COLUMNS = (
     "source_name",
@@ -87,7 +87,7 @@ def assign_windows(
     by: Sequence[str] = (),
     cell_seconds: int = DAY_SECONDS,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Pair every row with every window that holds it.
 
@@ -117,7 +117,7 @@ def assign_windows(
         "_cell", F.floor(F.col(event_time) / cell_seconds)
     )
     joined = skew_join(
-        placed, cells, [*by, "_cell"], "inner", spread, hot_rows=hot_rows, broadcast_rows=broadcast_rows
+        placed, cells, [*by, "_cell"], "inner", spread, hot_rows=hot_rows, small=small
     )
     return joined.filter(
         (F.col(event_time) >= F.col("_start")) & (F.col(event_time) < F.col("_end"))

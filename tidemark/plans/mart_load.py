@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge, quality
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
 from tidemark.plans.staging_load import metric_slot, write_metrics
 from tidemark.sinks.tables import WHOLE, Snapshot, TableStore
@@ -37,7 +37,7 @@ def insert_facts(
     spec: FeedSpec,
     now: datetime,
     hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> tuple[str, int, int]:
     """Write the facts a batch adds to a new folder.
 
@@ -46,7 +46,7 @@ def insert_facts(
     bounds = staged.agg(F.min(spec.event_time), F.max(spec.event_time)).first()
     known = store.read("fact", snapshot=base)
     events = merge.lookup_surrogates(
-        merge.distinct_events(staged, spec), dimension, spec, "inner", staged, hot_rows, broadcast_rows
+        merge.distinct_events(staged, spec), dimension, spec, "inner", staged, hot_rows, small
     )
     fresh = merge.new_facts(events, known, spec, tuple(bounds) if bounds[0] is not None else None)
     # Unique and increasing: the write computes each number once per row, and a
@@ -76,26 +76,30 @@ def merge_batch(
     dimension = store.read("dimension", snapshot=base)
 
     latest = materialise(latest_per_key(staged, spec), "latest")
+    small_batch = fits(latest, broadcast_rows)
     new_keys = surrogate_keys(
-        merge.unknown_keys(latest, dimension, spec.key, broadcast_rows),
+        merge.unknown_keys(latest, dimension, spec.key, small_batch),
         spec.key,
         spec.surrogate,
         int(base.properties.get(DIMENSION_HIGH, "0")) + 1,
     )
-    merged = merge.merge_type1(dimension, latest, spec, now, new_keys, broadcast_rows)
+    merged = merge.merge_type1(dimension, latest, spec, now, new_keys, small_batch)
     dim_folder = store.write("dimension", merged)
     written = store.open("dimension", [dim_folder])
-    changed, highest = written.agg(
-        F.count_if(F.col("updated_at") == F.lit(now)), F.coalesce(F.max(spec.surrogate), F.lit(0))
+    size, changed, highest = written.agg(
+        F.count(F.lit(1)),
+        F.count_if(F.col("updated_at") == F.lit(now)),
+        F.coalesce(F.max(spec.surrogate), F.lit(0)),
     ).first()
+    small_dimension = size <= broadcast_rows
 
     fact_folder, inserted, highest_fact = insert_facts(
-        store, base, staged, written, spec, now, hot_rows, broadcast_rows
+        store, base, staged, written, spec, now, hot_rows, small_dimension
     )
     fact_folders = [*base.slots.get("fact", {}).get(label, []), *([fact_folder] if inserted else [])]
     all_facts = store.read("fact", snapshot=base).unionByName(store.open("fact", [fact_folder]))
     rows = quality.enforce(
-        quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, broadcast_rows)
+        quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension)
     )
     metrics = write_metrics(store, base, metric_slot("mart", label), rows, now)
     store.publish(

@@ -26,8 +26,9 @@ def write_metrics(store: TableStore, base: Snapshot, slot: str, rows: list, reco
     fresh = store.spark.createDataFrame(
         [(*row, recorded) for row in (tuple(r) for r in rows)], schema
     )
-    stored = store.read("dq_metrics", [slot], base)
-    path = store.write("dq_metrics", quality.upsert_metrics(stored, fresh))
+    if slot in base.slots.get("dq_metrics", {}):
+        fresh = quality.upsert_metrics(store.read("dq_metrics", [slot], base), fresh)
+    path = store.write("dq_metrics", fresh)
     return {"dq_metrics": {slot: [path]}}
 
 
