@@ -240,6 +240,27 @@ def test_backfill_equals_daily_loads(spark, store, root, feed):
         backfill_mart(other, store.read("staging"), PRODUCTS, "src")
 
 
+def test_only_touched_buckets_are_rewritten(spark):
+    from tidemark.sinks.tables import TableStore
+
+    store = TableStore(spark, scratch_path(spark, "test-store"))
+    store.bootstrap(dimension_buckets=8)
+    rows = [(0, product(f"c{i}", hour(0, 1), "old")) for i in range(60)]
+    for small, label in ((1000, "a"), (0, "b")):
+        merge_batch(store, staged_rows(spark, rows), label, PRODUCTS, "src", broadcast_rows=small)
+    before = store.snapshot()
+    assert len(before.slots["dimension"]) == 8
+    merge_batch(store, staged_rows(spark, [(0, product("c7", hour(0, 2), "new")), (0, product("x", hour(0, 1)))]), "c", PRODUCTS, "src")
+    after = store.snapshot()
+    changed = [b for b in before.slots["dimension"] if before.slots["dimension"][b] != after.slots["dimension"][b]]
+    assert 1 <= len(changed) <= 2
+    now = dims(store)
+    assert len(now) == 61 and now["c7"][0] == "new" and now["x"][1] == 61
+    assert sorted(key for _, key in now.values()) == list(range(1, 62))
+    with pytest.raises(PublishConflict, match="highest-key"):
+        store.publish(before, {}, {"highest-key:dimension": "99"})
+
+
 def test_out_of_order_batch_keeps_the_first_fact(spark, store):
     late = staged_rows(spark, [(0, product("a", hour(0, 1)))])
     merge_batch(store, late.withColumn("batch_date", F.lit(date(2026, 8, 9))), "9", PRODUCTS, "src")

@@ -13,7 +13,7 @@ from tidemark.operators.ranking import materialise, surrogate_keys
 from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, load_mart
 from tidemark.plans.raw_load import RawRun, Reader, Source, load_raw
 from tidemark.plans.staging_load import load_staging, metric_slot, write_metrics
-from tidemark.sinks.tables import WHOLE, TableStore
+from tidemark.sinks.tables import BUCKETS, TableStore
 from tidemark.spec import FeedSpec
 
 
@@ -54,8 +54,9 @@ def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source:
     numbered = rows.join(keys, spec.key).withColumns(
         {"created_at": F.lit(now), "updated_at": F.lit(now)}
     )
-    dim_folder = store.write("dimension", numbered)
-    dimension = store.open("dimension", [dim_folder])
+    buckets = int(base.properties.get(BUCKETS, "1"))
+    dim_slots = store.write_buckets("dimension", numbered, spec.key, buckets, gather=True)
+    dimension = store.open("dimension", [path for paths in dim_slots.values() for path in paths])
     events = merge.lookup_surrogates(
         merge.facts_closed_form(staged, spec), dimension, spec, hot_from=staged
     ).withColumnRenamed(spec.event_time, spec.target_time)
@@ -70,7 +71,7 @@ def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source:
     facts_in, highest_fact = written.agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
     store.publish(
         base,
-        {"dimension": {WHOLE: [dim_folder]}, "fact": {"backfill": [fact_folder]}, **metrics},
+        {"dimension": dim_slots, "fact": {"backfill": [fact_folder]}, **metrics},
         {DIMENSION_HIGH: str(highest or 0), FACT_HIGH: str(highest_fact or 0)},
     )
     return MartLoad(rows_in, facts_in)

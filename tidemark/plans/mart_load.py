@@ -12,7 +12,7 @@ from tidemark.operators import merge, quality
 from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
 from tidemark.plans.staging_load import metric_slot, write_metrics
-from tidemark.sinks.tables import WHOLE, Snapshot, TableStore
+from tidemark.sinks.tables import BUCKETS, Snapshot, TableStore, bucket_of
 from tidemark.spec import FeedSpec
 
 FACT_KEY = "product_update_key"
@@ -60,6 +60,14 @@ def insert_facts(
     return folder, row[0], row[1] or start - 1
 
 
+def touched_buckets(latest: DataFrame, key: str, buckets: int) -> list[str]:
+    """Dimension buckets the keys of a batch fall into; at most ``buckets`` values."""
+    if buckets == 1:
+        return ["0"]
+    rows = latest.select(bucket_of(key, buckets).alias("bucket")).distinct().collect()
+    return [str(row.bucket) for row in rows]
+
+
 def merge_batch(
     store: TableStore,
     staged: DataFrame,
@@ -73,19 +81,20 @@ def merge_batch(
     """Bring staged rows into the mart: dimension first, then facts, gate and publish."""
     now = datetime.now(UTC)
     base = store.snapshot()
-    dimension = store.read("dimension", snapshot=base)
-
     latest = materialise(latest_per_key(staged, spec), "latest")
     small_batch = fits(latest, broadcast_rows)
+    buckets = int(base.properties.get(BUCKETS, "1"))
+    dimension = store.read("dimension", touched_buckets(latest, spec.key, buckets), base)
+    key_start = int(base.properties.get(DIMENSION_HIGH, "0")) + 1
     new_keys = surrogate_keys(
         merge.unknown_keys(latest, dimension, spec.key, small_batch),
         spec.key,
         spec.surrogate,
-        int(base.properties.get(DIMENSION_HIGH, "0")) + 1,
+        key_start,
     )
     merged = merge.merge_type1(dimension, latest, spec, now, new_keys, small_batch)
-    dim_folder = store.write("dimension", merged)
-    written = store.open("dimension", [dim_folder])
+    dim_slots = store.write_buckets("dimension", merged, spec.key, buckets, gather=not small_batch)
+    written = store.open("dimension", [path for paths in dim_slots.values() for path in paths])
     size, changed, highest = written.agg(
         F.count(F.lit(1)),
         F.count_if(F.col("updated_at") == F.lit(now)),
@@ -104,8 +113,8 @@ def merge_batch(
     metrics = write_metrics(store, base, metric_slot("mart", label), rows, now)
     store.publish(
         base,
-        {"dimension": {WHOLE: [dim_folder]}, "fact": {label: fact_folders}, **metrics},
-        {DIMENSION_HIGH: str(highest), FACT_HIGH: str(highest_fact), **(properties or {})},
+        {"dimension": dim_slots, "fact": {label: fact_folders}, **metrics},
+        {DIMENSION_HIGH: str(max(highest, key_start - 1)), FACT_HIGH: str(highest_fact), **(properties or {})},
     )
     return MartLoad(changed, inserted)
 

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,13 @@ from tidemark.sinks import files
 
 WHOLE = "all"
 
+# Store property with the number of hash buckets the dimension is kept in.
+BUCKETS = "dimension-buckets"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -69,6 +76,22 @@ class TableStore:
         rows.write.parquet(f"{self.root}/{folder}")
         return folder
 
+    def write_buckets(
+        self, table: str, df: DataFrame, key: str, buckets: int, gather: bool
+    ) -> dict[str, list[str]]:
+        """Write rows by hash bucket of ``key``; returns the folder of each bucket.
+
+        ``gather`` brings the rows of a bucket together first. Without it they stay
+        where they are, which is right when they were read from bucket folders.
+        """
+        folder = f"{table}/{uuid.uuid4().hex}"
+        rows = shaped(df, self.schemas[table]).withColumn("bucket", bucket_of(key, buckets))
+        if gather and buckets > 1:
+            rows = rows.hint("rebalance", "bucket")
+        rows.write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+        found = files.names(self.spark, f"{self.root}/{folder}")
+        return {n.removeprefix("bucket="): [f"{folder}/{n}"] for n in found if n.startswith("bucket=")}
+
     def publish(
         self,
         base: Snapshot,
@@ -78,7 +101,8 @@ class TableStore:
         """Make new folders visible, all or none. ``slots`` replaces those it names.
 
         When another writer published in between but left the named slots alone, the
-        change is put on top of theirs; otherwise the publish fails.
+        change is put on top of theirs; otherwise the publish fails. The same goes for
+        the properties it sets, such as the highest key handed out.
         """
         current = base
         while True:
@@ -91,14 +115,23 @@ class TableStore:
             if files.create_json(self.spark, location, content):
                 return after
             current = self.snapshot()
+            for name in properties or {}:
+                if current.properties.get(name) != base.properties.get(name):
+                    raise PublishConflict(f"{name} was changed by another writer")
             for table, changed in slots.items():
                 for slot in changed:
                     if current.slots.get(table, {}).get(slot) != base.slots.get(table, {}).get(slot):
                         raise PublishConflict(f"{table}/{slot} was published by another writer")
 
-    def bootstrap(self) -> Snapshot:
-        """Publish empty tables unless there is a state already."""
+    def bootstrap(self, dimension_buckets: int = 1) -> Snapshot:
+        """Publish empty tables unless there is a state already.
+
+        A load rewrites only the dimension buckets its keys fall into, so a dimension
+        much larger than a batch should have many.
+        """
         base = self.snapshot()
         if base.version:
             return base
-        return self.publish(base, {table: {} for table in self.schemas})
+        return self.publish(
+            base, {table: {} for table in self.schemas}, {BUCKETS: str(dimension_buckets)}
+        )
