@@ -143,6 +143,7 @@ def test_empty_window_commits(store, root, feed):
     assert watermark(store) == end(1)
     assert load_staging(store, root, SOURCE, run.logical_date) == 0
     assert load_mart(store, run.logical_date, PRODUCTS, "src").facts_inserted == 0
+    assert sorted((m.metric_value, m.passed) for m in store.read("dq_metrics").collect()) == [(0, True)] * 4
 
 
 def test_capped_scan_does_not_commit(spark, store, root, feed):

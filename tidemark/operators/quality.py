@@ -186,9 +186,14 @@ def mart_gate(
     source: str,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
+    """Metrics per batch; with ``batches`` (batch_date) an empty one has metrics too."""
+    counts = mart_counts(staged, dimension, facts, spec, hot_rows, small)
+    if batches is not None:
+        counts = batches.join(counts, "batch_date", "left").na.fill(0)
     return metric_rows(
-        mart_counts(staged, dimension, facts, spec, hot_rows, small),
+        counts,
         source,
         "mart",
         {"missing_dimension_count": F.lit(0), "missing_fact_count": F.lit(0)},

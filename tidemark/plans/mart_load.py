@@ -77,6 +77,7 @@ def merge_batch(
     properties: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    batches: DataFrame | None = None,
 ) -> MartLoad:
     """Bring staged rows into the mart: dimension first, then facts, gate and publish."""
     now = datetime.now(UTC)
@@ -108,7 +109,7 @@ def merge_batch(
     fact_folders = [*base.slots.get("fact", {}).get(label, []), *([fact_folder] if inserted else [])]
     all_facts = store.read("fact", snapshot=base).unionByName(store.open("fact", [fact_folder]))
     rows = quality.enforce(
-        quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension)
+        quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches)
     )
     metrics = write_metrics(store, base, metric_slot("mart", label), rows, now)
     store.publish(
@@ -122,4 +123,5 @@ def merge_batch(
 def load_mart(store: TableStore, batch_date: date, spec: FeedSpec, source: str) -> MartLoad:
     """Load one staged batch; running it again changes nothing."""
     label = str(batch_date)
-    return merge_batch(store, store.read("staging", [label]), label, spec, source)
+    batches = store.spark.range(1).select(F.lit(batch_date).alias("batch_date"))
+    return merge_batch(store, store.read("staging", [label]), label, spec, source, batches=batches)
