@@ -89,6 +89,21 @@ def test_two_days(store, root, feed):
     assert len(metrics) == 8 and all(m.passed for m in metrics.values())
 
 
+def test_loads_leave_no_scratch_behind(spark, store, root, feed):
+    from tidemark.session import shared_dir, temporary
+
+    kinds = ("latest-", "placed-", "objects-", "watermarks-", "records-")
+    scratch = lambda: {n for n in files.names(spark, shared_dir(spark)) if n.startswith(kinds)}
+    before = scratch()
+    load_day(store, root, SOURCE, end(1), feed)
+    assert scratch() == before
+    with pytest.raises(RuntimeError), temporary(spark):
+        feed.write.parquet(scratch_path(spark, "latest"))
+        assert scratch() != before
+        raise RuntimeError
+    assert scratch() == before
+
+
 def test_replay_of_every_layer(store, root, feed):
     load_day(store, root, SOURCE, end(1), feed)
     before = dims(store), facts(store), store.read("staging").count()

@@ -13,6 +13,7 @@ from tidemark.operators.ranking import materialise, surrogate_keys
 from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, load_mart
 from tidemark.plans.raw_load import RawRun, Reader, Source, load_raw
 from tidemark.plans.staging_load import load_staging, metric_slot, write_metrics
+from tidemark.session import releases_scratch
 from tidemark.sinks.tables import BUCKETS, TableStore
 from tidemark.spec import FeedSpec
 
@@ -39,6 +40,7 @@ def load_day(
     return DailyLoad(raw, staged, mart)
 
 
+@releases_scratch
 def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source: str) -> MartLoad:
     """Fill an empty mart from many batches at once.
 

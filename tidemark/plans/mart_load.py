@@ -12,6 +12,7 @@ from tidemark.operators import merge, quality
 from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
 from tidemark.plans.staging_load import metric_slot, write_metrics
+from tidemark.session import releases_scratch
 from tidemark.sinks.tables import BUCKETS, Snapshot, TableStore, bucket_of
 from tidemark.spec import FeedSpec
 
@@ -68,6 +69,7 @@ def touched_buckets(latest: DataFrame, key: str, buckets: int) -> list[str]:
     return [str(row.bucket) for row in rows]
 
 
+@releases_scratch
 def merge_batch(
     store: TableStore,
     staged: DataFrame,

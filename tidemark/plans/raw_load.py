@@ -16,6 +16,7 @@ from tidemark.operators import control, quality
 from tidemark.operators.ranking import materialise
 from tidemark.operators.windows import build_windows, window_filter
 from tidemark.schema import WATERMARKS
+from tidemark.session import releases_scratch
 from tidemark.sinks import files, landing
 from tidemark.sinks.tables import WHOLE, TableStore
 from tidemark.spec import PRODUCTS, FeedSpec
@@ -104,6 +105,7 @@ def _result(marker: dict, attempt: str) -> RawRun:
     )
 
 
+@releases_scratch
 def load_raw(
     store: TableStore,
     raw_root: str,

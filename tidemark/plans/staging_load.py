@@ -10,6 +10,7 @@ from tidemark.errors import TidemarkError
 from tidemark.operators import control, quality
 from tidemark.plans.raw_load import Source, marker_location
 from tidemark.schema import RAW, empty
+from tidemark.session import releases_scratch
 from tidemark.sinks import files, staging
 from tidemark.sinks.tables import Snapshot, TableStore
 from tidemark.sources.commits import read_manifest
@@ -32,6 +33,7 @@ def write_metrics(store: TableStore, base: Snapshot, slot: str, rows: list, reco
     return {"dq_metrics": {slot: [path]}}
 
 
+@releases_scratch
 def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: date) -> int:
     """Reload staging for one batch and return the rows inserted.
 

@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
+from tidemark.sinks import files
+
+_open = threading.local()
+
 
 def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> SparkSession:
     """A session for tests and benches on one machine."""
@@ -55,4 +63,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders taken inside the block when it ends, failed or not."""
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _open.paths:
+            files.delete(spark, path)
+        _open.paths = outer
+
+
+def releases_scratch(load: Callable) -> Callable:
+    """For loads whose results are all in the store they get as first argument."""
+
+    @wraps(load)
+    def run(store, *args, **kwargs):
+        with temporary(store.spark):
+            return load(store, *args, **kwargs)
+
+    return run

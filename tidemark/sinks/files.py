@@ -23,6 +23,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return fs.exists(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate data; a missing one is fine."""
+    path, fs = _path(spark, folder)
+    fs.delete(path, True)
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     path, fs = _path(spark, folder)
     if not fs.exists(path):

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.times import instant
 from tidemark.operators.ranking import materialise
 from tidemark.plans.mart_load import merge_batch
+from tidemark.session import temporary
 from tidemark.sinks.tables import TableStore
 from tidemark.spec import FeedSpec
 
@@ -50,13 +51,13 @@ def start_mart_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Written once: the load reads its rows several times, and state has to be
         # updated in all partitions even when the batch turns out to be done already.
-        rows = materialise(batch, "micro-batch")
-        done = int(store.snapshot().properties.get(APPLIED + name, "-1"))
-        if batch_id <= done or rows.isEmpty():
-            return
-        merge_batch(
-            store, rows, f"{name}-{batch_id}", spec, source, {APPLIED + name: str(batch_id)}
-        )
+        with temporary(store.spark):
+            rows = materialise(batch, "micro-batch")
+            done = int(store.snapshot().properties.get(APPLIED + name, "-1"))
+            if batch_id > done and not rows.isEmpty():
+                merge_batch(
+                    store, rows, f"{name}-{batch_id}", spec, source, {APPLIED + name: str(batch_id)}
+                )
 
     return (
         stream.writeStream.foreachBatch(apply)
