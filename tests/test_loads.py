@@ -180,6 +180,15 @@ def test_failed_raw_gate_leaves_nothing(spark, store, root, feed):
     assert load_raw(store, root, SOURCE, end(1), pages, page="page_number").rows == 3
 
 
+def test_sources_have_their_own_watermark(store, root, feed):
+    other = Source("other", START)
+    load_raw(store, root, SOURCE, end(1), feed)
+    load_raw(store, root, other, end(2), feed)
+    load_raw(store, root, SOURCE, end(3), feed)
+    rows = {r.source_name: r.watermark_ts.astimezone(UTC) for r in store.read("watermarks").collect()}
+    assert rows == {"src": end(3), "other": end(2)}
+
+
 def test_older_batch_is_refused(store, root, feed):
     load_raw(store, root, SOURCE, end(3), feed)
     with pytest.raises(WindowError, match="batch_end must be later"):

@@ -438,7 +438,7 @@ def crash_before_advance(store: TableStore) -> None:
     rows = store.read("watermarks", snapshot=base).withColumn(
         "watermark_ts", F.col("watermark_ts") - F.make_dt_interval(F.lit(1))
     )
-    store.publish(base, {"watermarks": {"all": [store.write("watermarks", rows)]}})
+    store.publish(base, {"watermarks": {"feed": [store.write("watermarks", rows)]}})
 
 
 @query(

@@ -18,7 +18,7 @@ from tidemark.operators.windows import build_windows, window_filter
 from tidemark.schema import WATERMARKS
 from tidemark.session import releases_scratch
 from tidemark.sinks import files, landing
-from tidemark.sinks.tables import WHOLE, TableStore
+from tidemark.sinks.tables import TableStore
 from tidemark.spec import PRODUCTS, FeedSpec
 
 
@@ -70,27 +70,33 @@ def window_of(store: TableStore, source: Source, batch_end: datetime):
         F.lit(times.require_aware(batch_end, "batch_end")).alias("batch_end"),
         F.lit(source.lookback).alias("lookback"),
     )
-    window = build_windows(sources, store.read("watermarks")).first()
+    window = build_windows(sources, store.read("watermarks", [source.name])).first()
     if window.error:
         raise WindowError(f"{source.name}: {window.error}")
     return window
 
 
 def recover(store: TableStore, marker: dict) -> None:
-    """Finish the watermark update of a committed run; a no-op when it is done."""
+    """Finish the watermark update of a committed run; a no-op when it is done.
+
+    Every source has its own slot of the table, so sources do not wait for each other.
+    """
     base = store.snapshot()
+    name = marker["source"]
     commit = store.spark.range(1).select(
-        F.lit(marker["source"]).alias("source_name"),
+        F.lit(name).alias("source_name"),
         F.lit(datetime.fromisoformat(marker["next_watermark"])).alias("watermark_ts"),
         F.lit(marker["run_id"]).alias("run_id"),
     )
     result = materialise(
-        control.advance_watermarks(store.read("watermarks", snapshot=base), commit, F.current_timestamp()),
+        control.advance_watermarks(
+            store.read("watermarks", [name], base), commit, F.current_timestamp()
+        ),
         "watermarks",
     )
     if not result.filter("changed").isEmpty():
         path = store.write("watermarks", result.select(*WATERMARKS.fieldNames()))
-        store.publish(base, {"watermarks": {WHOLE: [path]}})
+        store.publish(base, {"watermarks": {name: [path]}})
 
 
 def _result(marker: dict, attempt: str) -> RawRun:
