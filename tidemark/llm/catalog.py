@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_counts, tokenize
+from tidemark.llm import chat, packing, quality, sharding, token_counts, tokenize, topk
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -45,6 +46,12 @@ def op1_bpe(spark, sf_dir):
     return tokenize.round_trip(table(spark, sf_dir, "documents"), tokenizer(RANKS))
 
 
+@query("op2_sharding")
+def op2_sharding(spark, sf_dir):
+    """All documents in 16 shards of near equal bytes, by virtual slots."""
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
+
+
 @query("op3_token_counts")
 def op3_token_counts(spark, sf_dir):
     """Tokens of every text of documents, counted by the compiled transducer."""
@@ -55,3 +62,61 @@ def op3_token_counts(spark, sf_dir):
 def op4_packing(spark, sf_dir):
     """All documents packed into windows of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(MERGES))
+
+
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    """Statistics and verdict of every document, robust outliers per language and source."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+# Derived from conversations: a user's turn calls the tool "reply", the turn after it answers.
+REPLY = {
+    "reply": {
+        "type": "object",
+        "properties": {
+            "prompt": {"type": "string", "minLength": 1},
+            "turn": {"type": "integer", "minimum": 0},
+            "words": {"type": "integer", "minimum": 0},
+        },
+        "required": ["prompt", "turn"],
+        "additionalProperties": False,
+    }
+}
+
+
+@query("op9_chat")
+def op9_chat(spark, sf_dir):
+    """Every user turn as a call, after the call two turns before, with the answer in the next turn."""
+    turns = table(spark, sf_dir, "conversations")
+    name = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    calls = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("conv"), name(F.col("turn")).alias("call"), F.lit("reply").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("prompt"), "turn", F.when(F.col("text").isNotNull(), words).alias("words"))).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).alias("after"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        F.col("conv_id").alias("conv"), name(F.col("turn") - 1).alias("call"), F.col("text").alias("content")
+    )
+    return chat.link_calls(calls, results, REPLY)
+
+
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 10
+"""
+
+
+@query("op10_topk", TOP_K_SQL)
+def op10_topk(spark, sf_dir):
+    """The ten best other vectors of every hundredth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
