@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, packing, quality, sharding, token_counts, tokenize, topk
+from tidemark.llm import chat, chunks, jaccard, packing, quality, sharding, token_counts, tokenize, topk
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -70,6 +70,12 @@ def op5_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op6_substring")
+def op6_substring(spark, sf_dir):
+    """Documents that repeat a passage of an earlier document, and what is left of them."""
+    return chunks.repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op8_jaccard")
 def op8_jaccard(spark, sf_dir):
     """Components of all documents under shingle similarity of 3/4 or more."""
