@@ -154,13 +154,18 @@ def grown(own: np.ndarray, other: np.ndarray, start: int, size: int, least: int)
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages that pairs of texts share, from the seeds of each pair."""
     names = ["doc", "mark", "start", "size", "keeper", "words"]
     for batch in batches:
         out = []
         for r in range(batch.num_rows):
-            doc, mark, start, size, keeper = (batch.column(i)[r].as_py() for i in range(5))
-            own, other = (np.frombuffer(batch.column(i)[r].as_buffer(), dtype=np.uint8) for i in (5, 6))
-            out += [(doc, mark, a, n, keeper, w) for a, n, w in grown(own, other, start, size, LEAST_WORDS)]
+            doc, mark, keeper, seeds = (batch.column(i)[r].as_py() for i in range(4))
+            own, other = (np.frombuffer(batch.column(i)[r].as_buffer(), dtype=np.uint8) for i in (4, 5))
+            found: list[tuple[int, int, int]] = []
+            for start, size in sorted((s["start"], s["size"]) for s in seeds):
+                if not any(a <= start and start + size <= a + n for a, n, _ in found):
+                    found += grown(own, other, start, size, LEAST_WORDS)
+            out += [(doc, mark, a, n, keeper, w) for a, n, w in dict.fromkeys(found)]
         columns = list(zip(*out, strict=True)) or [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -187,7 +192,9 @@ def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id")
     texts = stored(narrow_join(docs, ids, "doc_id", "left_semi").distinct(), "texts")
     own = texts.select(F.col("doc_id").alias("doc"), F.crc32(F.col("text").cast("binary")).alias("mark"), F.col("text").alias("own"))
     other = texts.select(F.col("doc_id").alias("keeper"), F.col("text").alias("other"))
-    met = seeds.join(own, ["doc", "mark"]).join(other, "keeper").select("doc", "mark", "start", "size", "keeper", "own", "other")
+    # One row per pair of texts, so that each text travels once for all seeds of the pair.
+    pairs = seeds.groupBy("doc", "mark", "keeper").agg(F.collect_list(F.struct("start", "size")).alias("seeds"))
+    met = pairs.join(own, ["doc", "mark"]).join(other, "keeper").select("doc", "mark", "keeper", "seeds", "own", "other")
     spans = met.mapInArrow(_grow, "doc bigint, mark bigint, start bigint, size bigint, keeper bigint, words bigint").distinct()
     return stored(spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "size", "keeper", "words")).alias("spans")), "spans")
 
