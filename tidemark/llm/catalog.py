@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, chunks, jaccard, packing, quality, sharding, token_counts, tokenize, topk
+from tidemark.llm import chat, chunks, jaccard, packing, quality, sharding, token_counts, tokenize, topk, toxicity
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -76,6 +76,13 @@ def op6_substring(spark, sf_dir):
     return chunks.repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op8_jaccard")
 def op8_jaccard(spark, sf_dir):
     """Components of all documents under shingle similarity of 3/4 or more."""
