@@ -10,8 +10,13 @@ enumerating costs less than scanning, from the counts of all set sizes.
 The order puts frequent shingles last. Frequencies come from a sketch of fixed size that
 all documents fill: it only decides which lists are scanned, never what is linked.
 
-Lists are scanned in two rounds. First every member of a list meets one pivot of that list,
-and candidates are checked on the texts. Members that are then in one component need not
+Entries carry their position in the order: sets of sizes m and n that are similar share a
+shingle that is among the first m - c + 1 of one and the first n - c + 1 of the other, so
+members of a list that stand later do not meet there.
+
+Lists are scanned in two rounds. First every member of a list meets the list's pivot, the
+member with the earliest position, which has the fewest shingles of its own; candidates
+are checked on the texts. Members that are then in one component need not
 meet any more; members of one list in different components all meet in the second round.
 So no link between components is lost, and groups of thousands of near copies need a
 number of checks in proportion to their size. Documents with equal sets are one node.
@@ -27,7 +32,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.joins import components, narrow_join, stored
@@ -160,7 +165,10 @@ def _subset_keys(one: np.ndarray, boundary: int) -> list[tuple[int, int]]:
 
 
 def _entries(docs: DataFrame, levels: bytes, boundary: int) -> DataFrame:
-    """(key, doc, cn) of every list entry; cn holds the subset size, 0 for prefixes, and the set size."""
+    """(key, doc, c, n) of every list entry.
+
+    ``c`` holds the subset size, 0 for prefixes, above the position; ``n`` is the set size.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,24 +188,28 @@ def _entries(docs: DataFrame, levels: bytes, boundary: int) -> DataFrame:
                     if n <= boundary:
                         for key, size in _subset_keys(one, boundary):
                             keys.append(np.array([key]))
-                            owners.append((document, 1))
-                            kinds.append(size << 32 | n)
+                            owners.append((document, n, 1))
+                            kinds.append(np.array([size << 32]))
                     if 4 * n >= 3 * (boundary + 1):
                         size = int(prefix_length(np.array(n)))
                         # Rank: level of the cell, then the hash; equal for all sets.
                         rank = level[_cells(one)].astype(np.uint64) << np.uint64(56) | mix(one) >> np.uint64(8)
-                        keys.append(one[np.argpartition(rank, size - 1)[:size]].astype(np.int64))
-                        owners.append((document, size))
-                        kinds.append(n)
+                        first = np.argpartition(rank, size - 1)[:size]
+                        keys.append(one[first[np.argsort(rank[first])]].astype(np.int64))
+                        owners.append((document, n, size))
+                        kinds.append(np.arange(size))
                 if not keys:
                     continue
-                counts = np.array([c for _, c in owners])
+                ids, sizes, counts = (np.array(x) for x in zip(*owners, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat([d for d, _ in owners], counts)), pa.array(np.repeat(kinds, counts))],
-                    ["key", "doc", "cn"],
+                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(ids, counts)), pa.array(np.concatenate(kinds)), pa.array(np.repeat(sizes, counts).astype(np.int32))],
+                    ["key", "doc", "c", "n"],
                 )
 
-    return docs.mapInArrow(run, "key bigint, doc bigint, cn bigint")
+    return docs.mapInArrow(run, "key bigint, doc bigint, c bigint, n int")
+
+
+_RUN = ("key", "doc", "c", "n", "pivot", "pivot_c", "pivot_n")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,30 +217,26 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Rows come sorted by list; a list may be of any length, only its pivot is held.
     """
-    held = None
+    held, sent = None, False
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc, cn = (batch.column(i).to_numpy() for i in range(3))
-        sent = False
+        columns = [batch.column(i).to_numpy() for i in range(4)]
         if held is not None:
-            key, doc, cn = np.r_[held[0], key], np.r_[held[1], doc], np.r_[held[2], cn]
-            sent = held[3]
-        begins = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cn[1:] >> 32 != cn[:-1] >> 32)])
+            columns = [np.r_[one, column] for one, column in zip(held, columns, strict=True)]
+        key, _, c, _ = columns
+        begins = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (c[1:] >> 32 != c[:-1] >> 32)])
         counts = np.diff(np.r_[begins, len(key)])
         pivot = np.repeat(begins, counts)
         many = np.repeat(counts > 1, counts)
         last = begins[-1]
-        held = (key[last], doc[last], cn[last], bool(counts[-1] > 1 or (last == 0 and sent)))
-        if sent:
+        if held is not None and sent:
             many[0] = False
-            many[1 : counts[0]] = True
+        sent = bool(counts[-1] > 1 or (last == 0 and sent))
+        held = [column[last : last + 1] for column in columns]
         at = np.flatnonzero(many)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[at]), pa.array(doc[at]), pa.array(cn[at] & 0xFFFFFFFF), pa.array(cn[at] >> 32),
-             pa.array(doc[pivot[at]]), pa.array(cn[pivot[at]] & 0xFFFFFFFF)],
-            ["key", "doc", "n", "c", "pivot", "pivot_n"],
-        )
+        arrays = [column[at] for column in columns] + [column[pivot[at]] for column in columns[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], list(_RUN))
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +267,13 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint").distinct(), "links")
 
 
+def _may_link(n: str, c: str, n2: str, c2: str) -> Column:
+    """Whether sets of these sizes may be similar and share, at these places, their first shingle."""
+    a, b = F.col(n).cast("bigint"), F.col(n2).cast("bigint")
+    common = F.floor((3 * (a + b) + 6) / 7).cast("bigint")
+    return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (F.col(c) <= a - common) & (F.col(c2) <= b - common)
+
+
 def _ordered(frame: DataFrame, x: str, y: str) -> DataFrame:
     return frame.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
@@ -290,15 +305,15 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     shared = members.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
     node = stored(shared.select("doc", "rep"), "nodes")
 
-    order = F.when(F.col("cn") >= 1 << 32, F.col("cn")).otherwise(F.xxhash64("doc", F.pmod("key", F.lit(PIVOTS))))
-    kind = F.shiftright("cn", 32)
-    listed = _entries(docs, levels, boundary).repartition("key").sortWithinPartitions("key", kind, order)
-    lists = stored(listed.select("key", "doc", "cn").mapInArrow(_runs, "key bigint, doc bigint, n bigint, c bigint, pivot bigint, pivot_n bigint"), "lists")
+    kind, place = F.shiftright("c", 32), F.col("c").bitwiseAND((1 << 32) - 1)
+    order = [F.when(kind > 0, F.col("n")).otherwise(place), F.xxhash64("doc", F.pmod("key", F.lit(PIVOTS)))]
+    listed = _entries(docs, levels, boundary).repartition("key").sortWithinPartitions("key", kind, *order)
+    schema = ", ".join(f"{c} {'int' if c.endswith('n') else 'bigint'}" for c in _RUN[:-1]) + ", pivot_n int"
+    lists = stored(listed.mapInArrow(_runs, schema), "lists")
 
-    sure = lists.where((F.col("c") > 0) & (3 * (F.col("n") + F.col("pivot_n")) <= 7 * F.col("c")))
-    fits = lambda x, y: 4 * F.least(x, y) >= 3 * F.greatest(x, y)
-    met = lists.where((F.col("c") == 0) & fits("n", "pivot_n"))
-    met = stored(_ordered(met, "doc", "pivot"), "met")
+    sure = lists.where((kind > 0) & (3 * (F.col("n") + F.col("pivot_n")) <= 7 * kind))
+    scanned = lists.where(kind == 0)
+    met = stored(_ordered(scanned.where(_may_link("n", "c", "pivot_n", "pivot_c")), "doc", "pivot"), "met")
     pairs = stored(_ordered(_to_nodes(met, node), "a", "b"), "pairs")
     known = _ordered(_to_nodes(_ordered(sure, "doc", "pivot"), node), "a", "b")
     known = known.unionByName(_ordered(shared, "rep", "other")).unionByName(_ordered(members.join(node.withColumnRenamed("rep", "own"), "doc"), "rep", "own"))
@@ -306,13 +321,13 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     label = stored(components(edges), "components")
 
     # Second round: lists whose members are in several components.
-    entries = narrow_join(lists.where("c = 0").select("key", "doc", "n"), node, "doc").select("key", F.col("rep").alias("node"), "n")
-    entries = narrow_join(entries, label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")).distinct()
+    entries = narrow_join(scanned.select("key", "doc", "c", "n"), node, "doc").select("key", F.col("rep").alias("node"), "c", "n")
+    entries = narrow_join(entries, label, "node", "left").select("key", "node", "c", "n", F.coalesce("component", "node").alias("component")).distinct()
     entries = stored(entries, "entries")
     mixed = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     open_ = stored(entries.join(mixed, "key", "left_semi"), "open")
-    other = open_.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    across = open_.join(other, "key").where((F.col("component") < F.col("component2")) & fits("n", "n2"))
+    other = open_.select("key", F.col("node").alias("node2"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
+    across = open_.join(other, "key").where((F.col("component") < F.col("component2")) & _may_link("n", "c", "n2", "c2"))
     left = stored(_ordered(across, "node", "node2").join(pairs, ["a", "b"], "left_anti"), "left")
     if left.limit(1).count():
         more = _verified(left, docs)
