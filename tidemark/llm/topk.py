@@ -66,7 +66,8 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
     if bound < _EXACT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return (a.astype(object) @ b.astype(object).T).astype(np.int64)
+    # Beyond a long only where a query meets itself, which is no result.
+    return np.clip(a.astype(object) @ b.astype(object).T, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 def _query_blocks(queries: DataFrame, width: int, path: str) -> None:
@@ -182,7 +183,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
 
     Vectors are null-free and finite or take no part; ties go to the smaller id. A query
     is not its own result; rows that repeat id and vector count once. Vectors of unequal
-    length meet on the components both have. Queries with fewer others return all of
+    length meet on the components both have; an inner product has to fit a long. Queries
+    with fewer others return all of
     them; an empty table returns no row.
     """
     spark = vectors.sparkSession
