@@ -18,10 +18,19 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 MERGES = "byte_bpe_50k.json"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of the library, and batches to Python of a size that few texts fill.
+
+    The default batch of 64 MB is held several times over, by the JVM and by a worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return configure(spark)
+
+
 def query(name: str, sql: str | None = None):
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(configure(spark), sf_dir)
+            return function(prepare(spark), sf_dir)
 
         run.__name__, run.__doc__ = name, function.__doc__
         QUERIES[name] = run

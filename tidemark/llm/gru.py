@@ -18,7 +18,7 @@ WINDOW = 24
 STRIDE = 12
 BUCKETS = 1 << 18
 PIECES = (3, 6)
-LEAST_DOCUMENTS = 4
+LEAST_DOCUMENTS = 6
 WORD_SIZE = CHAR_SIZE = 8
 STATE = 8
 _EDGE = np.array([not chr(b).isalnum() and b < 128 for b in range(256)])

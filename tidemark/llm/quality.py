@@ -103,11 +103,12 @@ def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: s
         for batch in batches:
             for rows, data, offsets in pieces(batch):
                 counts = text_statistics(data, offsets)
-                arrays = [rows.column(0), rows.column(2), rows.column(3), *(pa.array(counts[c].astype(np.int64)) for c in _COUNTS)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "source", *_COUNTS])
+                arrays = [rows.column(0), rows.column(2), rows.column(3), rows.column(4), *(pa.array(counts[c].astype(np.int64)) for c in _COUNTS)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "source", "mark", *_COUNTS])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    kinds = f"lang {key_type(docs, lang)}, source {key_type(docs, source)}, " + ", ".join(f"{c} bigint" for c in _COUNTS)
+    mark = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("mark")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"), mark)
+    kinds = f"lang {key_type(docs, lang)}, source {key_type(docs, source)}, mark bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
     counted = rows.mapInArrow(run, f"doc_id {key_type(docs, key)}, {kinds}")
     rate = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     vector = F.array(
@@ -215,6 +216,8 @@ def estimates(rows: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
     """Counts, base rule, distance and verdict ``kept`` of every row.
 
+    ``mark`` is the CRC-32 of the text, which tells rows apart that share an id.
+
     A null text has no words and fails the base rule, as do texts of under 20 words or
     mostly repeated windows. Null language and source are a language and a source.
     Without LEAST_ROWS usable documents anywhere nothing is judged by distance, which
@@ -229,5 +232,5 @@ def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str =
     distance = F.when(F.col("m").isNotNull(), F.sqrt(F.greatest(_distance(len(FLOORS)), F.lit(0.0))))
     return judged.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"), "distance", "lang", "source",
+        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"), "distance", "lang", "source", "mark",
     )
