@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import catalog, chunks, jaccard, packing, quality, toxicity
 from tidemark.llm.joins import BROADCAST_ROWS, stored
-from tidemark.session import configure, scratch_path
+from tidemark.session import scratch_path
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -28,15 +28,15 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; learnt from the labels that are not held out."""
+    catalog.prepare(spark)
     model = toxicity.fit(docs, catalog.table(spark, sf_dir, "labels"))
     return toxicity.drop_toxic(docs, model)
 
 
 def drop_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule, or lie far from their language and source, go."""
-    marked = docs.select("doc_id", "text", "lang", "source")
-    judged = quality.judge(marked, mark=True)
-    return _without(docs, judged.where("NOT kept"))
+    catalog.prepare(spark)
+    return _without(docs, quality.judge(docs).where("NOT kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without words are linked with nothing and stay, as do those without an id.
     """
+    catalog.prepare(spark)
     found = jaccard.join_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
     found = stored(found, "copies")
     kept = docs.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, docs["doc_id"] == found["_id"], "left_anti")
@@ -59,11 +60,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in an earlier document are cut out of later ones."""
+    catalog.prepare(spark)
     return chunks.dedup(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into windows of 1024 tokens."""
+    catalog.prepare(spark)
     return packing.pack(docs, catalog.tokenizer(catalog.MERGES))
 
 
@@ -81,7 +84,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again by the next."""
-    configure(spark)
     docs = catalog.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
