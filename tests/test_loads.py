@@ -82,13 +82,65 @@ def test_two_days(store, root, feed):
     assert dims(store) == {"a": ("a3", 1), "b": ("b1", 2), "c": ("c1", 3)}
     assert len(facts(store)) == len(set(f[:2] for f in facts(store))) == 5
     assert {f[2] for f in facts(store)} == {"2026-08-02", "2026-08-03"}
-    assert store.read("staging", ["2026-08-03"]).count() == 3
+    assert store.read("staging", ["src/2026-08-03"]).count() == 3
     keys = [r.product_update_key for r in store.read("fact").collect()]
     assert len(set(keys)) == 5 and min(keys) >= 1
     metrics = {(r.pipeline_layer, str(r.batch_date), r.metric_name): r for r in store.read("dq_metrics").collect()}
     assert len(metrics) == 8 and all(m.passed for m in metrics.values())
 
 
+def test_sources_load_the_same_date(store, root, feed):
+    other = Source("other", START)
+    load_day(store, root, SOURCE, end(1), feed)
+    done = load_day(store, root, other, end(1), feed.withColumn("product_name", F.lit("o")))
+    assert (done.raw.rows, done.staged_rows) == (3, 3)
+    # The same versions again, from another source: nothing is newer, no event is new.
+    assert (done.mart.dimension_changed, done.mart.facts_inserted) == (0, 0)
+    third = load_day(store, root, Source("third", START), end(1), records(store.spark, product("z", hour(0, 2)), product("a", hour(0, 22), "z2")))
+    assert (third.mart.dimension_changed, third.mart.facts_inserted) == (2, 2)
+    assert set(store.snapshot().slots["staging"]) == {f"{name}/2026-08-02" for name in ("src", "other", "third")}
+    keys = [(r.source_name, r.pipeline_layer, r.batch_date, r.metric_name) for r in store.read("dq_metrics").collect()]
+    assert len(keys) == len(set(keys)) == 12
+
+
+def test_a_failing_source_leaves_the_others_alone(spark, store, root, feed):
+    load_day(store, root, SOURCE, end(1), feed)
+    before = dims(store), facts(store)
+    with pytest.raises(GateError):
+        load_day(store, root, Source("bad", START), end(1), records(spark, product(None, hour(0, 1))))
+    assert (dims(store), facts(store)) == before
+    load_day(store, root, Source("bad", START), end(1), records(spark, product("q", hour(0, 1))))
+    assert set(dims(store)) == {"a", "b", "q"}
+
+
+@pytest.mark.parametrize("change", ["code", "categories_tags_en", "last_modified_t"])
+def test_a_table_of_other_types_is_not_committed(spark, store, root, feed, change):
+    kinds = {"code": F.lit(7), "categories_tags_en": F.lit("text"), "last_modified_t": F.lit("2026-08-01")}
+    with pytest.raises(SchemaError, match=change):
+        load_raw(store, root, SOURCE, end(1), feed.withColumn(change, kinds[change]))
+    assert not files.exists(spark, marker_location(root, "src", date(2026, 8, 2)))
+    assert watermark(store) is None
+    wide = feed.withColumn("extra", F.lit(1)).drop("brands")
+    assert load_raw(store, root, SOURCE, end(1), wide).committed
+    assert load_staging(store, root, SOURCE, date(2026, 8, 2)) == 3
+
+
+def test_constraints_block_a_mart_load(store, feed, monkeypatch):
+    from tidemark.plans import mart_load
+
+    rows = staged_rows(store.spark, [(0, product("a", hour(0, 1))), (0, product("b", hour(0, 2)))])
+    before = store.snapshot()
+    real = mart_load.merge.merge_type1
+    doubled = lambda *a: (lambda m: m.unionByName(m))(real(*a))
+    unkeyed = lambda *a: real(*a).withColumn("product_key", F.lit(None).cast("long"))
+    for broken, message in ((doubled, "not unique"), (unkeyed, "null in required column")):
+        monkeypatch.setattr(mart_load.merge, "merge_type1", broken)
+        monkeypatch.setattr(mart_load.quality, "enforce", lambda metrics: metrics.collect())
+        with pytest.raises(Exception, match=message):
+            merge_batch(store, rows, "x", PRODUCTS, "src")
+        assert store.snapshot() == before
+
+
 def test_loads_leave_no_scratch_behind(spark, store, root, feed):
     from tidemark.session import shared_dir, temporary
 
@@ -204,7 +256,7 @@ def test_rows_of_an_unlisted_object_fail_the_staging_gate(store, root, feed):
     load_raw(store, root, SOURCE, end(1), feed)
     base = store.snapshot()
     stale = staging.with_lineage(feed.withColumn("raw_object_key", F.lit("old/part")), date(2026, 8, 2), F.current_timestamp())
-    store.publish(base, {"staging": {"2026-08-02": [store.write("staging", stale)]}})
+    store.publish(base, {"staging": {"src/2026-08-02": [store.write("staging", stale)]}})
     with pytest.raises(GateError, match="row-count mismatch") as failure:
         load_staging(store, root, SOURCE, date(2026, 8, 2))
     assert {m.metric_name: m.passed for m in failure.value.metrics} == {"row_count": False, "null_code_count": True}
@@ -418,7 +470,7 @@ def test_stream_skips_a_batch_it_has_published(spark, store):
         ).awaitTermination()
     snapshot = store.snapshot()
     assert snapshot.properties[APPLIED + "s"] == "0"
-    assert list(snapshot.slots["fact"]) == ["s-0"]
+    assert list(snapshot.slots["fact"]) == ["src/s"]
     assert dims(store) == {"a": ("first", 1)}
 
 
@@ -431,3 +483,43 @@ def test_stream_goes_on_from_its_checkpoint(spark, store):
         start_mart_stream(read_staged(store, inbox), store, PRODUCTS, "src", checkpoint, "s").awaitTermination()
     assert dims(store)["a"] == ("n1", 1)
     assert len(facts(store)) == 4
+
+
+# --- control files -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("step", ["_write", "_publish"])
+def test_a_crash_leaves_no_torn_control_file(spark, monkeypatch, step):
+    folder = scratch_path(spark, "control")
+    location = f"{folder}/marker.json"
+    real = getattr(files, step)
+
+    def crash(*args):
+        if step == "_write":
+            args[0].create(args[1], False).close()
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(files, step, crash)
+    with pytest.raises(RuntimeError):
+        files.create_json(spark, location, {"a": 1})
+    assert not files.exists(spark, location)
+    monkeypatch.setattr(files, step, real)
+    assert files.create_json(spark, location, {"a": 1})
+    assert files.read_json(spark, location) == {"a": 1}
+
+
+def test_the_first_control_file_stays_and_is_whole_when_seen(spark, monkeypatch):
+    location = f"{scratch_path(spark, 'control')}/marker.json"
+    real, seen = files._write, []
+
+    def slow(fs, path, content):
+        real(fs, path, content)
+        seen.append(files.exists(spark, location))
+        # Another writer is faster.
+        if len(seen) == 1:
+            assert files.create_json(spark, location, {"a": "rival"})
+
+    monkeypatch.setattr(files, "_write", slow)
+    assert not files.create_json(spark, location, {"a": "own"})
+    assert seen == [False, False] and files.read_json(spark, location) == {"a": "rival"}
+    assert files.names(spark, location.rpartition("/")[0]) == ["marker.json"]

@@ -20,8 +20,27 @@ def dimension(spark, rows):
     return spark.createDataFrame([(i + 1, c, v, t, THEN, THEN) for i, (c, v, t) in enumerate(rows)], DIM)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_update_rule(spark, small):
+@pytest.fixture(params=["-1", "10m"])
+def broadcast(spark, request):
+    """Without and with sides small enough to be sent to all tasks."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, kept)
+
+
+def test_a_null_key_is_an_error_in_a_batch_of_any_size(spark, broadcast):
+    latest = spark.createDataFrame([("a", 1, "x"), (None, 1, "y")], "code string, t bigint, v string")
+    for merged in (
+        merge.merge_type1(dimension(spark, [("b", "o", 1)]), latest, SPEC, NOW),
+        merge.unknown_keys(latest, dimension(spark, [("b", "o", 1)]), "code"),
+    ):
+        with pytest.raises(Exception, match="null in key column code"):
+            merged.collect()
+
+
+def test_update_rule(spark, broadcast):
     old = dimension(spark, [
         ("newer", "o", 1), ("same", "o", 5), ("older", "o", 9), ("untimed source", "o", 5),
         ("untimed target", "o", None), ("both untimed", "o", None), ("absent", "o", 1),
@@ -31,7 +50,7 @@ def test_update_rule(spark, small):
          ("untimed target", 5, "n"), ("both untimed", None, "n"), ("added", 5, "n"), ("added untimed", None, "n")],
         "code string, t bigint, v string",
     )
-    merged = merge.merge_type1(old, latest, SPEC, NOW, None, small)
+    merged = merge.merge_type1(old, latest, SPEC, NOW)
     rows = {r.code: r for r in merged.collect()}
     assert {c: r.action for c, r in rows.items()} == {
         "newer": "U", "same": "K", "older": "K", "untimed source": "K", "untimed target": "U",
@@ -47,11 +66,10 @@ def test_update_rule(spark, small):
     assert {r.action: r.rows for r in counts.collect()} == {"I": 2, "U": 3, "K": 4}
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_new_rows_take_their_numbers(spark, small):
+def test_new_rows_take_their_numbers(spark, broadcast):
     latest = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "code string, t bigint, v string")
     numbers = spark.createDataFrame([("b", 7)], "code string, product_key bigint")
-    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers, small)
+    got = merge.merge_type1(dimension(spark, [("a", "o", None)]), latest, SPEC, NOW, numbers)
     assert {r.code: r.product_key for r in got.collect()} == {"a": 1, "b": 7}
 
 

@@ -432,6 +432,57 @@ def daily_load(spark, sf_dir):
     return with_fact_counts(store)
 
 
+def source_days(spark, sf_dir):
+    """Event types as sources of their own: (type, source) with one first day, and the end."""
+    whole, first, end = whole_source(spark, sf_dir)
+    kinds = [r.product_name for r in feed(spark, sf_dir).select("product_name").distinct().orderBy("product_name").collect()]
+    return [(kind, Source(f"feed-{kind}", first, whole.lookback, PRODUCTS)) for kind in kinds], end
+
+
+@query(
+    "multi_source_daily_load",
+    f"""WITH {FEED_SQL},
+    timed AS (SELECT *, CAST((SELECT max(CAST(ts AS DATE)) + 1 FROM events) AS DATE) AS batch_date
+              FROM feed WHERE last_modified_t IS NOT NULL),
+    {FACT_COUNTS_SQL.format(rows='timed')}
+    SELECT code, {DIM_SQL}, updates, first_batch FROM (
+      SELECT *, row_number() OVER (PARTITION BY code ORDER BY last_modified_t DESC, product_name,
+        brands DESC, nutrition_grades DESC NULLS LAST) AS n FROM timed)
+    JOIN facts USING (code) WHERE n = 1""",
+)
+def multi_source_daily_load(spark, sf_dir):
+    """Every event type as a source: all load the same date, with codes in common.
+
+    The first source to bring an event keeps it; of equally new versions the one loaded
+    first stays.
+    """
+    store, root = new_store(spark), scratch_path(spark, "raw-root")
+    kinds, end = source_days(spark, sf_dir)
+    records = tables.project_raw(feed(spark, sf_dir))
+    for kind, source in kinds:
+        load_day(store, root, source, end, records.where(F.col("product_name") == kind))
+    return with_fact_counts(store)
+
+
+@query(
+    "metric_keys_unique",
+    f"""WITH {STAGED_SQL}
+    SELECT batch_date, metric_name, CAST(1 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS metric_value
+    FROM (SELECT DISTINCT batch_date FROM staged)
+    CROSS JOIN (VALUES ('missing_dimension_count'), ('missing_fact_count')) AS m(metric_name)""",
+)
+def metric_keys_unique(spark, sf_dir):
+    """Metrics after a backfill of all dates and loads of some dates under other labels."""
+    store, rows = new_store(spark), staged(spark, sf_dir)
+    backfill_mart(store, rows, FEED, "feed")
+    last = rows.agg(F.max("batch_date")).first()[0]
+    for label in ("micro-batch", "again"):
+        merge_batch(store, rows.where(F.col("batch_date") >= F.lit(last - timedelta(days=1))), label, FEED, "feed")
+    return store.read("dq_metrics").groupBy("batch_date", "metric_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("metric_value").alias("metric_value")
+    )
+
+
 def crash_before_advance(store: TableStore) -> None:
     """Put the watermark back to where it was before the latest commit."""
     base = store.snapshot()

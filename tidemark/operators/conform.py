@@ -96,6 +96,26 @@ def conform_table(df: DataFrame, schema: T.StructType) -> DataFrame:
     return shaped(df, schema)
 
 
+_WIDER = {"bigint": {"int", "smallint", "tinyint"}, "int": {"smallint", "tinyint"}, "double": {"float"}}
+
+
+def require_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The input, if its columns have the types of ``schema`` or narrower ones.
+
+    No value is turned into another kind: a number in place of a text, or a text in
+    place of a list, is an error before anything is read. A missing column is one only
+    if the schema requires it.
+    """
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for field in schema.fields:
+        wanted, kind = field.dataType.simpleString(), found.get(field.name)
+        if kind is None and not field.nullable:
+            raise SchemaError(f"column {field.name} is missing")
+        if kind not in (None, wanted, "void") and kind not in _WIDER.get(wanted, ()):
+            raise SchemaError(f"column {field.name} has type {kind} instead of {wanted}")
+    return df
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise SchemaError("No records to convert.")

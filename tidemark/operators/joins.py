@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 2_000_000
-# Upper bound of the list of hot keys, which is broadcast. A key beyond the largest
-# 100,000 holds less than one row in 100,000, so it needs no splitting.
-MAX_HOT_KEYS = 100_000
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -28,14 +25,13 @@ def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys of ``df`` with more than ``hot_rows`` rows and their number of splits.
 
-    Reads the key columns only, and combines before its shuffle.
+    Reads the key columns only, and combines before its shuffle. There are fewer such
+    keys than rows over ``hot_rows``.
     """
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_splits"))
     )
 
@@ -65,7 +61,7 @@ def skew_join(
     keys = list(keys)
     if fits(right) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
-    hot = F.broadcast(hot_keys(hot_from if hot_from is not None else left, keys, hot_rows))
+    hot = hot_keys(hot_from if hot_from is not None else left, keys, hot_rows)
     place = F.xxhash64(*[F.col(name) for name in spread])
     null_key = F.lit(False)
     for name in keys:
@@ -74,7 +70,7 @@ def skew_join(
         left = left.filter(~null_key)
     salted_left = left.join(hot, keys, "left").withColumn(
         "_salt",
-        F.when(null_key, F.pmod(place, F.lit(4096)))
+        F.when(null_key, F.pmod(place, F.lit((1 << 31) - 1)))
         .when(F.col("_splits").isNotNull(), F.pmod(place, F.col("_splits").cast("long")))
         .otherwise(F.lit(0))
         .cast("int"),

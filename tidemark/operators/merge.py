@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import HOT_ROWS, fits, skew_join
+from tidemark.operators.joins import HOT_ROWS, skew_join
 from tidemark.spec import FeedSpec
 
 INSERT, UPDATE, KEEP = "I", "U", "K"
@@ -20,17 +20,19 @@ def is_newer(target_time: Column, source_time: Column) -> Column:
     return target_time.isNull() | F.coalesce(source_time > target_time, F.lit(False))
 
 
-def unknown_keys(
-    latest: DataFrame, dimension: DataFrame, key: str, small: bool | None = None
-) -> DataFrame:
+def required_key(key: str) -> Column:
+    """The business key; a row without one is an error, in a batch of any size."""
+    return F.coalesce(F.col(key), F.raise_error(F.lit(f"null in key column {key}"))).alias(key)
+
+
+def unknown_keys(latest: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Keys of a batch the dimension does not have yet.
 
-    For a small batch the dimension is only scanned: its rows are reduced to the keys
-    of the batch where they lie. A large batch is joined by shuffling both key columns.
+    The dimension is reduced to the keys of the batch first. Whether a side is sent to
+    all tasks is left to Spark, which goes by bytes; the result is the same either way.
     """
-    keys, known = latest.select(key), dimension.select(key)
-    if fits(keys) if small is None else small:
-        known = F.broadcast(known.join(F.broadcast(keys), key, "left_semi"))
+    keys = latest.select(required_key(key))
+    known = dimension.select(key).join(keys, key, "left_semi")
     return keys.join(known, key, "left_anti")
 
 
@@ -40,42 +42,24 @@ def merge_type1(
     spec: FeedSpec,
     load_ts: datetime | Column,
     new_keys: DataFrame | None = None,
-    small: bool | None = None,
 ) -> DataFrame:
     """The dimension after merging one row per key, plus an ``action`` column.
 
     Matched and newer rows take the new attributes but keep surrogate and
     ``created_at``; unknown keys are added, with their surrogate from ``new_keys``
-    (key, surrogate) or null. A small batch (counted unless told) is broadcast and the dimension stays where
-    it is; otherwise both sides are shuffled by key, which each holds once.
+    (key, surrogate) or null. A null key in the batch is an error. Spark decides by
+    bytes whether the batch is sent to the dimension's tasks or both are shuffled.
     """
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
     incoming = latest.select(
-        spec.key,
+        required_key(spec.key),
         F.struct(*spec.attributes, F.col(spec.event_time).alias("t")).alias("_new"),
     )
     target = dimension.withColumn("_known", F.lit(True))
-    if small is None:
-        small = fits(incoming.select(spec.key))
-    if small:
-        if new_keys is None:
-            new_keys = unknown_keys(latest, dimension, spec.key, small).withColumn(
-                spec.surrogate, F.lit(None).cast("long")
-            )
-        added = incoming.join(
-            F.broadcast(new_keys.select(spec.key, F.col(spec.surrogate).alias("_number"))), spec.key
-        )
-        joined = target.join(F.broadcast(incoming), spec.key, "left").unionByName(
-            added, allowMissingColumns=True
-        )
-    else:
-        if new_keys is None:
-            incoming = incoming.withColumn("_number", F.lit(None).cast("long"))
-        else:
-            incoming = incoming.join(
-                new_keys.select(spec.key, F.col(spec.surrogate).alias("_number")), spec.key, "left"
-            )
-        joined = target.join(incoming, spec.key, "full_outer")
+    if new_keys is None:
+        new_keys = unknown_keys(latest, dimension, spec.key).withColumn(spec.surrogate, F.lit(None).cast("long"))
+    added = incoming.join(new_keys.select(spec.key, F.col(spec.surrogate).alias("_number")), spec.key)
+    joined = target.join(incoming, spec.key, "left").unionByName(added, allowMissingColumns=True)
     action = (
         F.when(F.col("_known").isNull(), INSERT)
         .when(

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import merge, quality
 from tidemark.operators.ranking import materialise, surrogate_keys
-from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, load_mart
+from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, check_mart, load_mart
 from tidemark.plans.raw_load import RawRun, Reader, Source, load_raw
-from tidemark.plans.staging_load import load_staging, metric_slot, write_metrics
+from tidemark.plans.staging_load import load_staging, slot_of, write_metrics
 from tidemark.session import releases_scratch
 from tidemark.sinks.tables import BUCKETS, TableStore
 from tidemark.spec import FeedSpec
@@ -68,12 +68,13 @@ def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source:
     fact_folder = store.write("fact", facts)
     written = store.open("fact", [fact_folder])
     checked = quality.enforce(quality.mart_gate(staged, dimension, written, spec, source))
-    metrics = write_metrics(store, base, metric_slot("mart", "backfill"), checked, now)
+    check_mart(store, dimension, written, spec)
+    metrics = write_metrics(store, base, "mart", source, checked, now)
     rows_in, highest = dimension.agg(F.count(F.lit(1)), F.max(spec.surrogate)).first()
     facts_in, highest_fact = written.agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
     store.publish(
         base,
-        {"dimension": dim_slots, "fact": {"backfill": [fact_folder]}, **metrics},
+        {"dimension": dim_slots, "fact": {slot_of(source, "backfill"): [fact_folder]}, **metrics},
         {DIMENSION_HIGH: str(highest or 0), FACT_HIGH: str(highest_fact or 0)},
     )
     return MartLoad(rows_in, facts_in)

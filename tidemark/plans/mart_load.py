@@ -8,11 +8,13 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.errors import GateError
 from tidemark.operators import merge, quality
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
-from tidemark.plans.staging_load import metric_slot, write_metrics
+from tidemark.plans.staging_load import slot_of, write_metrics
 from tidemark.session import releases_scratch
+from tidemark.schema import UNIQUE_KEYS, required_columns
 from tidemark.sinks.tables import BUCKETS, Snapshot, TableStore, bucket_of
 from tidemark.spec import FeedSpec
 
@@ -71,6 +73,18 @@ def touched_buckets(latest: DataFrame, key: str, buckets: int) -> list[str]:
     return [str(row.bucket) for row in rows]
 
 
+def check_mart(store: TableStore, dimension: DataFrame, facts: DataFrame, spec: FeedSpec) -> None:
+    """Rules of the tables on what a load wrote, before anything of it is visible.
+
+    Facts of earlier loads cannot clash with new ones: those were anti-joined.
+    """
+    for name, rows in (("dimension", dimension), ("fact", facts)):
+        quality.enforce_table(rows, name, UNIQUE_KEYS[name], required_columns(store.schemas[name]))
+    lost = merge.orphans(facts, dimension, spec.surrogate).limit(1).collect()
+    if lost:
+        raise GateError(f"fact: {spec.surrogate} {lost[0][0]} is not in the dimension.")
+
+
 @releases_scratch
 def merge_batch(
     store: TableStore,
@@ -87,18 +101,17 @@ def merge_batch(
     now = datetime.now(UTC)
     base = store.snapshot()
     latest = materialise(latest_per_key(staged, spec), "latest")
-    small_batch = fits(latest, broadcast_rows)
     buckets = int(base.properties.get(BUCKETS, "1"))
     dimension = store.read("dimension", touched_buckets(latest, spec.key, buckets), base)
     key_start = int(base.properties.get(DIMENSION_HIGH, "0")) + 1
     new_keys = surrogate_keys(
-        merge.unknown_keys(latest, dimension, spec.key, small_batch),
+        merge.unknown_keys(latest, dimension, spec.key),
         spec.key,
         spec.surrogate,
         key_start,
     )
-    merged = merge.merge_type1(dimension, latest, spec, now, new_keys, small_batch)
-    dim_slots = store.write_buckets("dimension", merged, spec.key, buckets, gather=not small_batch)
+    merged = merge.merge_type1(dimension, latest, spec, now, new_keys)
+    dim_slots = store.write_buckets("dimension", merged, spec.key, buckets, gather=True)
     written = store.open("dimension", [path for paths in dim_slots.values() for path in paths])
     size, changed, highest = written.agg(
         F.count(F.lit(1)),
@@ -120,7 +133,8 @@ def merge_batch(
     rows = quality.enforce(
         quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches)
     )
-    metrics = write_metrics(store, base, metric_slot("mart", label), rows, now)
+    check_mart(store, written, store.open("fact", [fact_folder]), spec)
+    metrics = write_metrics(store, base, "mart", source, rows, now)
     store.publish(
         base,
         {"dimension": dim_slots, "fact": {label: fact_folders}, **metrics},
@@ -131,6 +145,6 @@ def merge_batch(
 
 def load_mart(store: TableStore, batch_date: date, spec: FeedSpec, source: str) -> MartLoad:
     """Load one staged batch; running it again changes nothing."""
-    label = str(batch_date)
+    label = slot_of(source, batch_date)
     batches = store.spark.range(1).select(F.lit(batch_date).alias("batch_date"))
     return merge_batch(store, store.read("staging", [label]), label, spec, source, batches=batches)

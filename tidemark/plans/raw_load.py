@@ -9,13 +9,14 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import WindowError
 from tidemark.functions import identity, times
-from tidemark.operators import control, quality
+from tidemark.operators import conform, control, quality
 from tidemark.operators.ranking import materialise
 from tidemark.operators.windows import build_windows, window_filter
-from tidemark.schema import WATERMARKS
+from tidemark.schema import RAW, WATERMARKS, shaped
 from tidemark.session import releases_scratch
 from tidemark.sinks import files, landing
 from tidemark.sinks.tables import TableStore
@@ -119,10 +120,12 @@ def load_raw(
     batch_end: datetime,
     records: DataFrame | Reader,
     page: str | None = None,
+    schema: T.StructType = RAW,
 ) -> RawRun:
     """Land the records of one batch and commit them once.
 
-    ``records`` is the conformed source, or a function of the window's bounds giving
+    ``records`` is the source with the columns of ``schema`` (others are left out; a
+    wrong type is an error before anything is landed), or a function of the window's bounds giving
     it; the window filter is applied here and reaches its scan. With ``page`` the keys
     must be unique inside each page; the column is landed with the data for that check.
     A scan the reader calls incomplete (page cap reached) is landed but neither
@@ -146,7 +149,9 @@ def load_raw(
     start_at, end_at = window.extract_start.astimezone(UTC), window.extract_end.astimezone(UTC)
     folder = f"{run_folder(raw_root, source.name, label)}/attempt_id={attempt}"
     rows, complete = (records, True) if isinstance(records, DataFrame) else records(start_at, end_at)
-    inside = window_filter(rows, spec.event_time, start_at, end_at)
+    inside = window_filter(conform.require_types(rows, schema), spec.event_time, start_at, end_at)
+    carried = T.StructType([*schema.fields, *([inside.schema[page]] if page else [])])
+    inside = shaped(inside, carried)
     written = landing.land_parts(inside, folder, spec.event_time, spec.key)
     objects = materialise(landing.inventory(spark, folder, raw_root), "objects")
     totals = landing.verify_landing(objects, written)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import TidemarkError
 from tidemark.operators import control, quality
 from tidemark.plans.raw_load import Source, marker_location
-from tidemark.schema import RAW, empty
+from tidemark.schema import RAW, empty, required_columns
 from tidemark.session import releases_scratch
 from tidemark.sinks import files, staging
 from tidemark.sinks.tables import Snapshot, TableStore
@@ -17,12 +17,18 @@ from tidemark.sources.commits import read_manifest
 from tidemark.sources.tables import scan_raw
 
 
-def metric_slot(layer: str, label: str) -> str:
-    return f"{layer}/{label}"
+def slot_of(source: str, batch_date: date | str) -> str:
+    """Slot of one source and date, in staging and in the facts."""
+    return f"{source}/{batch_date}"
 
 
-def write_metrics(store: TableStore, base: Snapshot, slot: str, rows: list, recorded: datetime) -> dict:
-    """Upsert the metrics of one gate into their slot; returns the slot change."""
+def write_metrics(store: TableStore, base: Snapshot, layer: str, source: str, rows: list, recorded: datetime) -> dict:
+    """Upsert the metrics of one gate; returns the slot change.
+
+    A slot holds all dates of a layer and source, a few rows per date, so that a metric
+    is stored once whichever load writes it.
+    """
+    slot = f"{layer}/{source}"
     schema = store.schemas["dq_metrics"]
     fresh = store.spark.createDataFrame(
         [(*row, recorded) for row in (tuple(r) for r in rows)], schema
@@ -46,7 +52,7 @@ def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: d
     marker = files.read_json(spark, marker_path)
     now = datetime.now(UTC)
     base = store.snapshot()
-    slot = str(batch_date)
+    slot = slot_of(source.name, batch_date)
 
     if marker["object_count"]:
         manifest = read_manifest(spark, raw_root, marker["manifest_key"])
@@ -56,13 +62,16 @@ def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: d
         listed = control.manifest_objects(manifest).select(
             F.lit(batch_date).alias("batch_date"), F.col("object_key").alias("raw_object_key")
         )
-        keys = [row.raw_object_key for row in listed.collect()]
-        raw = scan_raw(spark, *[f"{raw_root}/{key}" for key in keys])
+        attempt = f"{raw_root}/{marker['manifest_key'].rpartition('/')[0]}"
+        raw = scan_raw(spark, attempt)
     else:
         expected = 0
         raw = empty(spark, RAW).withColumn("raw_object_key", F.lit(""))
         listed = spark.createDataFrame([], "batch_date date, raw_object_key string")
-    fresh = staging.with_lineage(raw, batch_date, now, raw_root)
+    # Of the attempt's folder, the objects that the manifest lists.
+    fresh = staging.with_lineage(raw, batch_date, now, raw_root).join(
+        listed.select("raw_object_key"), "raw_object_key", "left_semi"
+    )
     stored = store.read("staging", [slot], base)
     path = store.write("staging", staging.replace_objects(stored, fresh, listed))
 
@@ -71,6 +80,7 @@ def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: d
         F.lit(batch_date).alias("batch_date"), F.lit(expected).cast("long").alias("expected_rows")
     )
     rows = quality.enforce(quality.staging_gate(written, wanted, source.spec.key, source.name))
-    metrics = write_metrics(store, base, metric_slot("staging", slot), rows, now)
+    quality.enforce_table(written, "staging", (), required_columns(store.schemas["staging"]))
+    metrics = write_metrics(store, base, "staging", source.name, rows, now)
     store.publish(base, {"staging": {slot: [path]}, **metrics})
     return expected

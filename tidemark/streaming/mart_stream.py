@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.times import instant
 from tidemark.operators.ranking import materialise
 from tidemark.plans.mart_load import merge_batch
+from tidemark.plans.staging_load import slot_of
 from tidemark.session import temporary
 from tidemark.sinks.tables import TableStore
 from tidemark.spec import FeedSpec
@@ -55,7 +56,7 @@ def start_mart_stream(
             done = int(store.snapshot().properties.get(APPLIED + name, "-1"))
             if batch_id > done and not rows.isEmpty():
                 merge_batch(
-                    store, rows, f"{name}-{batch_id}", spec, source, {APPLIED + name: str(batch_id)}
+                    store, rows, slot_of(source, name), spec, source, {APPLIED + name: str(batch_id)}
                 )
 
     return (
