@@ -185,7 +185,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id")
         .where("keeper < last").select("digest", "keeper")
     )
     several = stored(several, "digests")
-    again = narrow_join(_occurrences(docs), several, "digest").where("doc > keeper")
+    again = _occurrences(docs).join(several, "digest").where("doc > keeper")
     by_text = again.groupBy("doc", "mark").agg(F.collect_set(F.struct("place", "keeper")).alias("found"))
     seeds = stored(by_text.mapInArrow(_seeds, "doc bigint, mark bigint, start bigint, size bigint, keeper bigint"), "seeds")
     ids = stored(seeds.select(F.col("doc").alias("doc_id")).unionByName(seeds.select(F.col("keeper").alias("doc_id"))).distinct(), "ids")
