@@ -128,7 +128,7 @@ def test_raw_gate_allows_repeats_across_pages(spark):
 
 @pytest.mark.parametrize(
     ("rows", "message"),
-    [([], "zero rows"), ([(1, "a"), (1, None)], "Found 1 records with null keys"),
+    [([], "nothing was landed"), ([(1, "a"), (1, None)], "Found 1 records with null keys"),
      ([(1, "12345"), (1, "12345")], "Duplicate keys"), ([(1, None), (1, None), (1, "x"), (1, "x")], "Found 2 records")],
 )
 def test_raw_gate_failures(spark, rows, message):

@@ -49,8 +49,8 @@ def test_window(spark, current, initial, end, lookback, incremental, start):
     ("current", "end", "lookback", "message"),
     [
         ("2026-08-20", "2026-08-20", 0, "batch_end must be later"),
-        (None, "2026-08-20", -1, "lookback cannot be negative"),
-        ("2026-07-31", "2026-08-20", 0, "earlier than initial_watermark"),
+        (None, "2026-08-20", -1, "lookback is below zero"),
+        ("2026-07-31", "2026-08-20", 0, "lies before initial_watermark"),
     ],
 )
 def test_window_errors(spark, current, end, lookback, message):

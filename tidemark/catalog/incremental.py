@@ -78,9 +78,9 @@ def stored_watermarks(spark, sf_dir):
     SELECT source_name, prev AS previous_t, start_t AS incremental_t,
            greatest(first_t, start_t - look * 3600) AS extract_start_t,
            end_t AS extract_end_t, end_t AS next_watermark_t,
-           CASE WHEN look < 0 THEN 'lookback cannot be negative.'
-                WHEN prev < first_t THEN 'current_watermark cannot be earlier than initial_watermark.'
-                WHEN end_t <= start_t THEN 'batch_end must be later than the incremental start.' END AS error
+           CASE WHEN look < 0 THEN 'lookback is below zero'
+                WHEN prev < first_t THEN 'current_watermark lies before initial_watermark'
+                WHEN end_t <= start_t THEN 'batch_end must be later than where the batch starts' END AS error
     FROM w""",
 )
 def extraction_windows(spark, sf_dir):

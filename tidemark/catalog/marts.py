@@ -388,12 +388,17 @@ MART_COUNTS_SQL = KEYED_SQL + """,
 dim AS (SELECT * FROM keyed WHERE CAST(code AS BIGINT) % 10 <> 0),
 fact AS (SELECT DISTINCT d.product_key, s.last_modified_t AS t FROM staged s JOIN dim d USING (code)
          WHERE s.last_modified_t % 11 <> 0),
+lacks AS (
+  SELECT batch_date, 1 AS no_dim, 0 AS no_fact FROM staged ANTI JOIN dim USING (code)
+  UNION ALL
+  SELECT batch_date, 0, 1 FROM (SELECT batch_date, code, last_modified_t AS t FROM staged WHERE last_modified_t IS NOT NULL)
+  ANTI JOIN (SELECT code, t FROM dim JOIN fact USING (product_key)) USING (code, t)
+  UNION ALL
+  SELECT DISTINCT batch_date, 0, 0 FROM staged),
 counts AS (
-  SELECT s.batch_date, count(*) FILTER (WHERE d.product_key IS NULL) AS missing_dimension_count,
-         count(*) FILTER (WHERE s.last_modified_t IS NOT NULL AND f.t IS NULL) AS missing_fact_count
-  FROM staged s LEFT JOIN dim d ON d.code = s.code
-  LEFT JOIN fact f ON f.product_key = d.product_key AND f.t = s.last_modified_t
-  GROUP BY 1)"""
+  SELECT batch_date, CAST(sum(no_dim) AS BIGINT) AS missing_dimension_count,
+         CAST(sum(no_fact) AS BIGINT) AS missing_fact_count
+  FROM lacks GROUP BY 1)"""
 
 
 def broken_mart(spark, sf_dir):
@@ -466,13 +471,17 @@ def shipment_backfill_fact(spark, sf_dir):
 @query(
     "shipment_reconcile",
     f"""WITH {SHIPMENTS_SQL},
-    fact AS (SELECT DISTINCT part_id, shipped_t AS t FROM shipments WHERE supplier_id % 13 <> 0)
-    SELECT s.batch_date, count(*) FILTER (WHERE p.p_partkey IS NULL) AS missing_dimension_count,
-           count(*) FILTER (WHERE s.shipped_t IS NOT NULL AND f.t IS NULL) AS missing_fact_count
-    FROM shipments s
-    LEFT JOIN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0) p ON p.p_partkey = s.part_id
-    LEFT JOIN fact f ON f.part_id = p.p_partkey AND f.t = s.shipped_t
-    GROUP BY 1""",
+    known AS (SELECT p_partkey AS part_id FROM part WHERE p_partkey % 10 <> 0),
+    fact AS (SELECT DISTINCT part_id, shipped_t FROM shipments JOIN known USING (part_id) WHERE supplier_id % 13 <> 0),
+    lacks AS (
+      SELECT batch_date, 1 AS no_dim, 0 AS no_fact FROM shipments ANTI JOIN known USING (part_id)
+      UNION ALL
+      SELECT batch_date, 0, 1 FROM (SELECT * FROM shipments WHERE shipped_t IS NOT NULL) ANTI JOIN fact USING (part_id, shipped_t)
+      UNION ALL
+      SELECT DISTINCT batch_date, 0, 0 FROM shipments)
+    SELECT batch_date, CAST(sum(no_dim) AS BIGINT) AS missing_dimension_count,
+           CAST(sum(no_fact) AS BIGINT) AS missing_fact_count
+    FROM lacks GROUP BY 1""",
 )
 def shipment_reconcile(spark, sf_dir):
     """Mart gate with the part table as dimension; some parts and facts are missing."""

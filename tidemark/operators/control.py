@@ -99,8 +99,9 @@ def require_reconciled(checked: DataFrame) -> None:
     if bad:
         row = bad[0]
         raise GateError(
-            f"Raw manifest row-count mismatch: declared {row.declared_rows}, "
-            f"objects total {row.listed_rows} (run {row.run_id})."
+            # Fixed opening that callers match.
+            f"Raw manifest row-count mismatch in run {row.run_id}: "
+            f"{row.listed_rows} rows in its objects, {row.declared_rows} in its header"
         )
 
 

@@ -55,7 +55,8 @@ def running_seen(stats: DataFrame, by: Sequence[str] = (), page: str = "page_num
 
 def require_page_cap(max_pages: int | None) -> None:
     if max_pages is not None and max_pages < 1:
-        raise ValueError("max_pages must be at least 1 when provided.")
+        # Fixed text that callers match: "max_pages must be at least 1".
+        raise ValueError(f"max_pages must be at least 1, not {max_pages}")
 
 
 def stop_page(

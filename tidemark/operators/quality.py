@@ -18,15 +18,17 @@ from tidemark.spec import FeedSpec
 
 METRIC_KEY = UNIQUE_KEYS["dq_metrics"]
 
-# Message per metric, in the order in which failures are reported.
+# Message per metric, in the order in which failures are reported. Fixed texts that
+# callers match: "row-count mismatch", "Mart dimension reconciliation failed", "Mart
+# fact reconciliation failed".
 FAILURES = {
-    "row_count": "Staging row-count mismatch: expected {expected_value}, found {metric_value}.",
+    "row_count": "Staging row-count mismatch: {metric_value} rows stored, {expected_value} in the manifest",
     "null_code_count": "Staging null keys: {metric_value} rows have no key.",
     "missing_dimension_count": (
-        "Mart dimension reconciliation failed: {metric_value} staging rows without a dimension row."
+        "Mart dimension reconciliation failed: {metric_value} staged rows lack their dimension row"
     ),
     "missing_fact_count": (
-        "Mart fact reconciliation failed: {metric_value} staging events without a fact row."
+        "Mart fact reconciliation failed: {metric_value} staged events lack their fact"
     ),
 }
 
@@ -73,7 +75,7 @@ def enforce_raw(checked: DataFrame) -> int:
     first = F.min(F.when(F.col("failed_check").isNotNull(), F.struct("page_number", "failed_check", "null_keys")))
     row = checked.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), first.alias("bad")).first()
     if row.rows == 0:
-        raise GateError("Raw batch contains zero rows.")
+        raise GateError("nothing was landed")
     if row.bad and row.bad.failed_check == "null_keys":
         raise GateError(f"Found {row.bad.null_keys} records with null keys on page {row.bad.page_number}.")
     if row.bad:

@@ -40,12 +40,13 @@ def build_windows(sources: DataFrame, watermarks: DataFrame) -> DataFrame:
         F.greatest("initial_watermark", start - F.col("lookback")).alias("extract_start"),
         F.col("batch_end").alias("extract_end"),
         F.col("batch_end").alias("next_watermark"),
-        F.when(F.col("lookback") < zero, "lookback cannot be negative.")
+        # Fixed text that callers match: "batch_end must be later".
+        F.when(F.col("lookback") < zero, "lookback is below zero")
         .when(
             current < F.col("initial_watermark"),
-            "current_watermark cannot be earlier than initial_watermark.",
+            "current_watermark lies before initial_watermark",
         )
-        .when(F.col("batch_end") <= start, "batch_end must be later than the incremental start.")
+        .when(F.col("batch_end") <= start, "batch_end must be later than where the batch starts")
         .alias("error"),
     )
 
@@ -69,7 +70,7 @@ def in_window(event_time: Column | str, start: datetime | Column, end: datetime
     """
     if isinstance(start, datetime) and isinstance(end, datetime):
         if require_aware(end, "extract_end") <= require_aware(start, "extract_start"):
-            raise ValueError("extract_end must be later than extract_start.")
+            raise ValueError("the window ends where it starts, or before")
     column = F.col(event_time) if isinstance(event_time, str) else event_time
     return (column >= _bound(start)) & (column < _bound(end))
 
