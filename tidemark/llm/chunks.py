@@ -184,14 +184,14 @@ def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id")
         _occurrences(docs).groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
         .where("keeper < last").select("digest", "keeper")
     )
-    several = stored(several, "digests")
     again = _occurrences(docs).join(several, "digest").where("doc > keeper")
     by_text = again.groupBy("doc", "mark").agg(F.collect_set(F.struct("place", "keeper")).alias("found"))
     seeds = stored(by_text.mapInArrow(_seeds, "doc bigint, mark bigint, start bigint, size bigint, keeper bigint"), "seeds")
-    ids = stored(seeds.select(F.col("doc").alias("doc_id")).unionByName(seeds.select(F.col("keeper").alias("doc_id"))).distinct(), "ids")
-    texts = stored(narrow_join(docs, ids, "doc_id", "left_semi").distinct(), "texts")
-    own = texts.select(F.col("doc_id").alias("doc"), F.crc32(F.col("text").cast("binary")).alias("mark"), F.col("text").alias("own"))
-    other = texts.select(F.col("doc_id").alias("keeper"), F.col("text").alias("other"))
+    most = seeds.count()
+    own = docs.select(F.col("doc_id").alias("doc"), F.crc32(F.col("text").cast("binary")).alias("mark"), F.col("text").alias("own"))
+    own = narrow_join(own, seeds.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi", most).dropDuplicates(["doc", "mark"])
+    other = docs.select(F.col("doc_id").alias("keeper"), F.col("text").alias("other"))
+    other = narrow_join(other, seeds.select("keeper").distinct(), "keeper", "left_semi", most).distinct()
     # One row per pair of texts, so that each text travels once for all seeds of the pair.
     pairs = seeds.groupBy("doc", "mark", "keeper").agg(F.collect_list(F.struct("start", "size")).alias("seeds"))
     met = pairs.join(own, ["doc", "mark"]).join(other, "keeper").select("doc", "mark", "keeper", "seeds", "own", "other")

@@ -260,11 +260,11 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Of stored candidate pairs, those that are links; reads the texts of their members."""
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
-    texts = stored(narrow_join(docs, ids, "doc_id", "left_semi"), "texts")
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint").distinct(), "links")
+    most, joined = pairs.count(), pairs
+    for side in ("a", "b"):
+        texts = docs.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        joined = joined.join(narrow_join(texts, pairs.select(side).distinct(), side, "left_semi", most), side)
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint").distinct()
 
 
 def _may_link(n: str, c: str, n2: str, c2: str) -> Column:
@@ -298,7 +298,7 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sizes = {r["n"]: r["count"] for r in sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_SMALL)).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes)
 
-    first = stored(sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
+    first = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     members = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).join(first, ["k1", "k2"]).select(F.col("doc_id").alias("doc"), "rep").distinct()
     # Nodes of one row: their class. Of rows that share an id, the classes become linked.
     members = stored(members, "members")
@@ -313,7 +313,7 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
     sure = lists.where((kind > 0) & (3 * (F.col("n") + F.col("pivot_n")) <= 7 * kind))
     scanned = lists.where(kind == 0)
-    met = stored(_ordered(scanned.where(_may_link("n", "c", "pivot_n", "pivot_c")), "doc", "pivot"), "met")
+    met = _ordered(scanned.where(_may_link("n", "c", "pivot_n", "pivot_c")), "doc", "pivot")
     pairs = stored(_ordered(_to_nodes(met, node), "a", "b"), "pairs")
     known = _ordered(_to_nodes(_ordered(sure, "doc", "pivot"), node), "a", "b")
     known = known.unionByName(_ordered(shared, "rep", "other")).unionByName(_ordered(members.join(node.withColumnRenamed("rep", "own"), "doc"), "rep", "own"))
@@ -330,13 +330,13 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     across = open_.join(other, "key").where((F.col("component") < F.col("component2")) & _may_link("n", "c", "n2", "c2"))
     left = stored(_ordered(across, "node", "node2").join(pairs, ["a", "b"], "left_anti"), "left")
     if left.limit(1).count():
-        more = _verified(left, docs)
+        more = stored(_verified(left, docs), "more")
         if more.limit(1).count():
             label = stored(components(edges.unionByName(more)), "components")
 
-    by_doc = stored(narrow_join(node, label.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc").alias("doc_id"), F.coalesce("component", "rep").alias("component")), "labels")
+    by_doc = narrow_join(node, label.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc").alias("doc_id"), F.coalesce("component", "rep").alias("component"))
     found = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return narrow_join(sets, by_doc, "doc_id", "left").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), found.alias("component_id"))
+    return narrow_join(sets, by_doc, "doc_id", "left", node.count()).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), found.alias("component_id"))
 
 
 def _to_nodes(pairs: DataFrame, node: DataFrame) -> DataFrame:

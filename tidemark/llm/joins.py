@@ -18,13 +18,14 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def narrow_join(rows: DataFrame, by_key: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join to a stored table of a few numbers per key: broadcast if it is counted as small.
+def narrow_join(rows: DataFrame, by_key: DataFrame, on, how: str = "inner", most: int | None = None) -> DataFrame:
+    """Join to a table of a few numbers per key: broadcast if it is counted as small.
 
-    Otherwise both sides are shuffled by the key and runtime splitting takes hot keys
+    ``most`` is a known bound of its rows, which saves counting a stored table. Otherwise both sides are shuffled by the key and runtime splitting takes hot keys
     apart, which works as the other side has each key once.
     """
-    return rows.join(F.broadcast(by_key) if by_key.count() <= BROADCAST_ROWS else by_key, on, how)
+    size = by_key.count() if most is None else most
+    return rows.join(F.broadcast(by_key) if size <= BROADCAST_ROWS else by_key, on, how)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,8 +45,11 @@ def components(edges: DataFrame) -> DataFrame:
             )
         seen = now
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
-        large = stored(narrow_join(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = narrow_join(large, least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        state = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small")
+        # A node has at least one edge, so there are at most twice as many nodes.
+        nodes = 2 * now[0]
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = narrow_join(both, least, "a", most=nodes).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = stored(large, "edges")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = narrow_join(large, least, "a", most=nodes).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        state = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
