@@ -7,7 +7,8 @@ from itertools import combinations
 
 import pytest
 
-from tidemark.llm import jaccard
+from tests.compare import compare, connect
+from tidemark.llm import catalog, jaccard
 from tidemark.llm.joins import components
 
 
@@ -101,3 +102,9 @@ def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 40)] + [(300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 40)}}
+
+
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    count, problem = compare(catalog.QUERIES["op8_jaccard"](spark, sf), connect(sf), catalog.ORACLES["op8_jaccard"])
+    assert not problem and count == 200

@@ -92,7 +92,29 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-@query("op8_jaccard")
+JACCARD_SQL = r"""
+WITH RECURSIVE lowered AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END AS s
+    FROM lowered
+), entries AS (SELECT doc_id, unnest(s) AS shingle, len(s) AS n FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+"""
+
+
+@query("op8_jaccard", JACCARD_SQL)
 def op8_jaccard(spark, sf_dir):
     """Components of all documents under shingle similarity of 3/4 or more."""
     return jaccard.join_components(table(spark, sf_dir, "documents"))
