@@ -485,6 +485,28 @@ def test_stream_goes_on_from_its_checkpoint(spark, store):
     assert len(facts(store)) == 4
 
 
+# --- a store that stays small --------------------------------------------------------
+
+
+def test_folders_and_pointers_of_many_micro_batches_stay_few(spark, store, monkeypatch):
+    from tidemark.sinks import tables as sink
+
+    monkeypatch.setattr(sink, "FOLDERS_PER_LEVEL", 3)
+    rows = staged_rows(spark, [(0, product("a", hour(0, 1)))])
+    for turn in range(20):
+        base = store.snapshot()
+        folders = [*base.slots["staging"].get("s", []), store.write("staging", rows.withColumn("code", F.lit(str(turn))))]
+        store.publish(base, {"staging": {"s": store.joined("staging", folders)}})
+        assert len(store.snapshot().slots["staging"]["s"]) <= 2 * 3
+        if turn % 5 == 4:
+            store.expire(2, timedelta(0))
+            assert len(files.names(spark, f"{store.root}/_pointers")) == 2
+    assert {r.code for r in store.read("staging").collect()} == {str(t) for t in range(20)}
+    assert len(files.names(spark, f"{store.root}/staging")) <= 10
+    with pytest.raises(ValueError):
+        store.expire(0)
+
+
 # --- control files -------------------------------------------------------------------
 
 

@@ -126,6 +126,7 @@ def merge_batch(
         store, base, staged, written, spec, now, between, hot_rows, small_dimension
     )
     fact_folders = [*base.slots.get("fact", {}).get(label, []), *([fact_folder] if inserted else [])]
+    fact_folders = store.joined("fact", fact_folders)
     all_facts = store.read("fact", snapshot=base).unionByName(store.open("fact", [fact_folder]))
     if between is not None:
         # Facts outside the batch's time range cannot match; the scan skips them.

@@ -34,6 +34,12 @@ def delete(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def modified(spark: SparkSession, location: str) -> int:
+    """When a file or folder was last changed, in milliseconds."""
+    path, fs = _path(spark, location)
+    return fs.getFileStatus(path).getModificationTime()
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     path, fs = _path(spark, folder)
     if not fs.exists(path):

@@ -8,9 +8,11 @@ writer was faster. A failed load leaves folders nobody points at.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,15 @@ WHOLE = "all"
 BUCKETS = "dimension-buckets"
 
 
+# So many folders of one level in a slot are joined into one.
+FOLDERS_PER_LEVEL = 16
+
+
+def _level(folder: str) -> int:
+    level, mark, _ = folder.rpartition("/")[2].partition("-")
+    return int(level) if mark else 0
+
+
 def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -65,17 +76,67 @@ class TableStore:
             return empty(self.spark, schema)
         return self.spark.read.schema(relaxed(schema)).parquet(*[f"{self.root}/{p}" for p in paths])
 
-    def write(self, table: str, df: DataFrame) -> str:
+    def write(self, table: str, df: DataFrame, level: int = 0) -> str:
         """Write rows to a new folder and return it; nothing is visible yet.
 
         No shuffle is added: scans pack small files together and adaptive execution
         sizes the output of joins, so files keep a sensible size over many versions.
+        ``level`` is how often rows were rewritten to join folders.
         """
-        folder = f"{table}/{uuid.uuid4().hex}"
+        folder = f"{table}/{level}-{uuid.uuid4().hex}"
         rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()})
         rows.write.parquet(f"{self.root}/{folder}")
         return folder
 
+    def joined(self, table: str, folders: list[str]) -> list[str]:
+        """The folders of a slot, with the last ones of a level joined once there are many.
+
+        Rows are rewritten once per level, so a slot that grows by a folder per
+        micro-batch keeps fewer than FOLDERS_PER_LEVEL folders of each level.
+        """
+        folders = list(folders)
+        while True:
+            level = _level(folders[-1]) if folders else 0
+            tail = 0
+            while tail < len(folders) and _level(folders[-1 - tail]) == level:
+                tail += 1
+            if tail < FOLDERS_PER_LEVEL:
+                return folders
+            rows = self.open(table, folders[-tail:]).hint("rebalance")
+            folders[-tail:] = [self.write(table, rows, level + 1)]
+
+    def expire(self, keep: int, unpublished: timedelta = timedelta(days=1)) -> int:
+        """Delete all but the newest ``keep`` pointers, and folders that none of these names.
+
+        Readers of older snapshots must be done. Folders that no pointer ever named, of
+        failed loads or joined before they were published, go when they are older than
+        ``unpublished``, longer than any load runs. Returns the number of folders deleted.
+        Pointers go first, so a crash leaves folders without a pointer, not the reverse.
+        """
+        if keep < 1:
+            raise ValueError("at least the newest pointer has to stay")
+        names = [n for n in files.names(self.spark, f"{self.root}/_pointers") if n.endswith(".json")]
+        old, kept = names[:-keep], names[-keep:]
+        used, gone = self._folders(kept), self._folders(old)
+        for name in old:
+            files.delete(self.spark, f"{self.root}/_pointers/{name}")
+        # A bucket folder lies in the folder of its write, of which others may be in use.
+        held = {"/".join(path.split("/")[:2]) for path in used}
+        oldest = 1000 * time.time() - unpublished / timedelta(milliseconds=1)
+        written = [f"{t}/{n}" for t in self.schemas for n in files.names(self.spark, f"{self.root}/{t}")]
+        stale = {f for f in written if f not in held and files.modified(self.spark, f"{self.root}/{f}") < oldest}
+        lost = sorted((gone - used) | stale)
+        for folder in lost:
+            files.delete(self.spark, f"{self.root}/{folder}")
+        return len(lost)
+
+    def _folders(self, pointers: list[str]) -> set[str]:
+        found = set()
+        for name in pointers:
+            content = files.read_json(self.spark, f"{self.root}/_pointers/{name}")
+            found |= {path for slots in content["slots"].values() for paths in slots.values() for path in paths}
+        return found
+
     def write_buckets(
         self, table: str, df: DataFrame, key: str, buckets: int, gather: bool
     ) -> dict[str, list[str]]:

@@ -13,6 +13,10 @@ from tidemark.session import temporary
 from tidemark.sinks.tables import TableStore
 from tidemark.spec import FeedSpec
 
+# Pointers a stream leaves behind, and after how many micro-batches it removes older ones.
+POINTERS_KEPT = 20
+EXPIRE_EVERY = 50
+
 # Store property naming the last micro-batch of a stream that was published.
 APPLIED = "stream-applied:"
 
@@ -58,6 +62,8 @@ def start_mart_stream(
                 merge_batch(
                     store, rows, slot_of(source, name), spec, source, {APPLIED + name: str(batch_id)}
                 )
+                if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
+                    store.expire(POINTERS_KEPT)
 
     return (
         stream.writeStream.foreachBatch(apply)
