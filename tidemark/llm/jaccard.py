@@ -298,7 +298,8 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sizes = {r["n"]: r["count"] for r in sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_SMALL)).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes)
 
-    first = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    # Stored, so that a set that very many documents have can be split in the join.
+    first = stored(sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
     members = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).join(first, ["k1", "k2"]).select(F.col("doc_id").alias("doc"), "rep").distinct()
     # Nodes of one row: their class. Of rows that share an id, the classes become linked.
     members = stored(members, "members")
