@@ -75,3 +75,60 @@ def test_text_without_spans():
     assert chunks.cut_text(b"a b c d", [(2, 3)]) == b"a d"
     assert chunks.cut_text(b"a b c d", [(2, 3), (4, 3)]) == b"a "
     assert chunks.cut_text(b"abc", [(0, 3)]) == b""
+
+
+def repeated_words(rows):
+    """For each document, the words in windows of LEAST_WORDS that an earlier document has too."""
+    first, out = {}, {}
+    split = {i: text.split(" ") for i, text in rows}
+    each = lambda i: [(j, tuple(split[i][j : j + chunks.LEAST_WORDS])) for j in range(len(split[i]) - chunks.LEAST_WORDS + 1)]
+    for i in sorted(split):
+        for _, window in each(i):
+            first.setdefault(window, i)
+        out[i] = {k for j, window in each(i) if first[window] < i for k in range(j, j + chunks.LEAST_WORDS)}
+    return out
+
+
+def removed_words(frame, rows):
+    out = {i: set() for i, _ in rows}
+    text = dict(rows)
+    for r in chunks.repeats(frame).collect():
+        for start, size in r.removed:
+            before = len(text[r.doc_id][:start].split())
+            out[r.doc_id] |= set(range(before, before + len(text[r.doc_id][start : start + size].split())))
+    return out
+
+
+def test_passages_whose_parts_stand_in_earlier_documents(spark):
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(1, 9))) for _ in range(n)]
+    rows = []
+    for k in range(30):
+        passage = words(rng.randrange(50, 64))
+        half, third = len(passage) // 2, len(passage) // 3
+        parts = [passage[:half], passage[half:]] if k % 2 else [passage[:third], passage[third : 2 * third], passage[2 * third :]]
+        if k % 3 == 0:  # keepers that alternate every few words
+            parts += [passage[j : j + 3] for j in range(0, len(passage), 2)]
+        rng.shuffle(parts)
+        for n, part in enumerate(parts + [passage, passage]):
+            rows.append((100 * k + n, " ".join(words(30) + part + words(30))))
+    want = repeated_words(rows)
+    assert sum(map(bool, want.values())) == 30
+    assert removed_words(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), rows) == want
+
+
+def test_passages_that_touch_in_the_later_document_only(spark):
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(1, 9))) for _ in range(n)]
+    rows = []
+    for k in range(60):
+        a, b, apart = words(60), words(70), words(20)
+        rows.append((10 * k, " ".join(a + apart * (k % 2) + b)))
+        rows.append((10 * k + 1, " ".join((a + a, b + a, a + b)[k % 3])))
+    assert removed_words(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), rows) == repeated_words(rows)
+
+
+def test_texts_without_cuts(spark):
+    text = " ".join("x" * (1 + i % 3) for i in range(120))
+    rows = [(1, "ab " * 70 + "end"), (2, "other ab " + "ab " * 60 + "more"), (3, text), (4, "q " + text + " r"), (5, "y" * 70000 + " " + text[:40] + " z"), (6, "y" * 70000 + " " + text[:40] + " z" * 60), (7, "y" * 70000 + " " + text[:40] + " z" * 60)]
+    assert removed_words(spark.createDataFrame(rows, "doc_id bigint, text string"), rows) == repeated_words(rows)

@@ -1,16 +1,18 @@
 """Substring dedup: passages that stand in an earlier document are cut out of later ones.
 
-Texts are cut into chunks where a gear hash of the bytes before a word says so, some five
-words on average, so equal passages are cut alike wherever they stand, but for their
-ends. Chunks meet by digest: a chunk of which a document with a smaller id has a copy is
-a duplicate, and neighbouring duplicates with one such document are a seed. Seeds are
-looked up in that document's text and grown, word by word, to the whole passage both
-have; passages of enough words are cut out. One copy always stays, in the document with
-the smallest id, and copies within one document are left alone.
-
-Digests are aggregated to their smallest and largest document before the occurrences are
-joined to the few that are in several, so a chunk that very many documents share is one
-row on one side of a join.
+A passage is repeated where every window of LEAST_WORDS words in it, compared byte by
+byte, stands in a document with a smaller id. Windows are found in two steps. Texts are
+cut into chunks where a gear hash of the bytes before a word says so, some five words on
+average, so equal windows are cut alike but for their ends. Chunks meet by digest; only
+windows all of whose inner chunks are in several documents can be repeated. The digests
+of these windows meet next. They are keys that no shorter repeat can divert: whichever
+document is the smallest with a window, it has the whole window. Last, windows are looked
+up in that document's text and grown, word by word, to the whole passage both have. One
+copy always stays, in the document with the smallest id, and copies within one document
+are left alone.
+
+Digests are aggregated to their smallest and largest document before they are joined to
+their occurrences, so one that very many documents share is one row on one side of a join.
 """
 
 from __future__ import annotations
@@ -29,8 +31,6 @@ from tidemark.llm.words import BLANKS, word_places
 
 MEAN_WORDS = 5
 GEAR_WINDOW = 16
-LONGEST_CHUNK = 4096
-SEED_WORDS = 12
 LEAST_WORDS = 50
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 _BLANK = frozenset(BLANKS)
@@ -46,110 +46,187 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return hashes
 
 
-def chunk_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start, length, words and text of every chunk; chunks begin at words and end before blanks."""
+def _cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, length and text of every word, and the first word of every chunk."""
     starts, lengths, owner = word_places(data, offsets)
     if not len(starts):
-        return (np.zeros(0, dtype=np.int64),) * 4
+        return starts, lengths, owner, np.zeros(0, dtype=np.int64)
     before = gear_hashes(data)[np.maximum(starts - 1, 0)]
     chosen = ((before * np.uint32(0x9E3779B1)) >> np.uint32(8)) % np.uint32(MEAN_WORDS) == 0
     cut = chosen & (starts - offsets[owner] >= GEAR_WINDOW)
     cut[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])] = True
-    # Chunks that grow too long are cut at the next word.
-    group = np.cumsum(cut) - 1
-    reach = (starts - starts[np.flatnonzero(cut)][group]) // LONGEST_CHUNK
-    cut[1:] |= (reach[1:] != reach[:-1]) & (group[1:] == group[:-1])
-    first = np.flatnonzero(cut)
+    return starts, lengths, owner, np.flatnonzero(cut)
+
+
+def chunk_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, length, words and text of every chunk; chunks begin at words and end before blanks."""
+    starts, lengths, owner, first = _cut_words(data, offsets)
     words = np.diff(np.r_[first, len(starts)])
     last = first + words - 1
     return starts[first], starts[last] + lengths[last] - starts[first], words, owner[first]
 
 
+def window_digests(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes of the windows that begin at these words."""
+    last = first + LEAST_WORDS - 1
+    return slice_hashes(data, starts[first], starts[last] + lengths[last] - starts[first]).astype(np.int64)
+
+
+def keys_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Digest, text, place and reach of every chunk, and of every window without an inner chunk.
+
+    An inner chunk of a window is one whose both ends follow from bytes of the window, so
+    that it is a chunk wherever the window stands. The place is the first word in the text,
+    shifted, and the number of words, which is 0 for a window. The reach has how many words
+    before the chunk a window may begin, shifted, and how many after it a window may end,
+    so that the neighbouring chunk is no inner one.
+    """
+    starts, lengths, owner, first = _cut_words(data, offsets)
+    count = len(starts)
+    if not count:
+        return (np.zeros(0, dtype=np.int64),) * 4
+    base = np.searchsorted(owner, np.arange(len(offsets) - 1))
+    ends = np.searchsorted(owner, np.arange(len(offsets) - 1), side="right")
+    text = owner[first]
+    words = np.diff(np.r_[first, count])
+    digests = slice_hashes(data, starts[first], starts[first + words - 1] + lengths[first + words - 1] - starts[first]).astype(np.int64)
+    same = text[1:] == text[:-1]
+    left, ahead = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+    left[1:] = np.where(same, first[1:] - np.maximum(base[text[1:]], np.searchsorted(starts, starts[first[:-1]] - GEAR_WINDOW, side="right")), 0)
+    ahead[:-1] = np.where(same, words[1:], 0)
+    reach = np.minimum(left, LEAST_WORDS) << 8 | np.minimum(ahead, LEAST_WORDS)
+    place = (first - base[text]) << 32 | words
+    window = np.flatnonzero(np.arange(count) + LEAST_WORDS <= ends[owner])
+    inner = np.searchsorted(starts[first], starts[window] + GEAR_WINDOW)
+    window = window[np.r_[first, count, count][inner + 1] > window + LEAST_WORDS - 1]
+    zeros = np.zeros(len(window), dtype=np.int64)
+    return (
+        np.r_[digests, window_digests(data, starts, lengths, window)], np.r_[text, owner[window]],
+        np.r_[place, (window - base[owner[window]]) << 32], np.r_[reach, zeros],
+    )
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(digest, doc, mark, start, size, words) of every chunk; mark tells texts of one id apart."""
+    """(digest, doc, mark, place, reach) of every key; mark tells texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in pieces(batch):
-                starts, lengths, words, owner = chunk_places(data, offsets)
+                digests, owner, place, reach = keys_of(data, offsets)
                 ids = rows.column(0).take(pa.array(owner))
                 raw = memoryview(data.tobytes())
                 marks = np.array([zlib.crc32(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], dtype=np.int64)
-                place = (starts - offsets[owner]) << 32 | np.minimum(lengths, 0xFFFF) << 16 | np.minimum(words, 0xFFFF)
-                long = lengths > 0xFFFF  # a single word of that size: no chunk of a passage of many words
-                keep = pa.array(~long)
                 yield pa.RecordBatch.from_arrays(
-                    [c.filter(keep) for c in (pa.array(slice_hashes(data, starts, lengths).astype(np.int64)), ids, pa.array(marks[owner]), pa.array(place))],
-                    ["digest", "doc", "mark", "place"],
+                    [pa.array(digests), ids, pa.array(marks[owner]), pa.array(place), pa.array(reach.astype(np.int32))],
+                    ["digest", "doc", "mark", "place", "reach"],
                 )
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "digest bigint, doc bigint, mark bigint, place bigint")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "digest bigint, doc bigint, mark bigint, place bigint, reach int")
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where runs of neighbouring duplicate chunks of one text may repeat an earlier document."""
-    names = ["doc", "mark", "start", "size", "keeper"]
-    for batch in batches:
-        out = []
-        for doc, mark, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            out += [(doc, mark, *seed) for seed in seeds_of(sorted((f["place"], f["keeper"]) for f in found))]
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+def _lists(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The row of every struct in a column of lists, and its fields."""
+    sizes = np.diff(column.offsets.to_numpy())
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), sizes), [f.to_numpy(zero_copy_only=False) for f in flat.flatten()]
 
 
-def seeds_of(chunks: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(start, size, keeper) of the stretches with one keeper in runs of duplicate chunks.
+def windows_of(row: np.ndarray, place: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last of the stretches of windows whose inner chunks are all among those given."""
+    order = np.lexsort((place, row))
+    row, place, reach = row[order], place[order], reach[order]
+    at, words = place >> 32, place & 0xFFFFFFFF
+    alone, chunk = words == 0, words > 0
+    r, a, w, left, ahead = row[chunk], at[chunk], words[chunk], reach[chunk] >> 8, reach[chunk] & 0xFF
+    breaks = (r[1:] != r[:-1]) | (a[1:] != a[:-1] + w[:-1])
+    begin, end = np.flatnonzero(np.r_[np.ones(min(1, len(r)), dtype=bool), breaks]), np.flatnonzero(np.r_[breaks, np.ones(min(1, len(r)), dtype=bool)])
+    low, high = a[begin] - left[begin], a[end] + w[end] + ahead[end] - LEAST_WORDS
+    some = low <= high
+    return np.r_[r[begin][some], row[alone]], np.r_[low[some], at[alone]], np.r_[high[some], at[alone]]
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with windows that may be repeated, and where these are."""
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    for batch in batches:
+        row, first, last = windows_of(*(lambda row, fields: (row, *fields))(*_lists(batch.column(2))))
+        order = np.argsort(row, kind="stable")
+        kept, sizes = np.unique(row, return_counts=True)
+        held = pa.StructArray.from_arrays([pa.array(first[order]), pa.array(last[order])], names=["first", "last"])
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), held)
+        yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(kept)) for i in (0, 1)), lists.cast(kind)], ["doc", "mark", "windows"])
 
-    Of a run of enough words, every stretch of enough words is a seed; if it has none,
-    because its chunks are kept here and there, its longest stretch is.
-    """
-    runs: list[list[list[tuple[int, int]]]] = []
-    for chunk in chunks:
-        last = runs[-1][-1][-1] if runs else None
-        if last is None or not _touches(last[0], chunk[0]):
-            runs.append([[chunk]])
-        elif last[1] == chunk[1]:
-            runs[-1][-1].append(chunk)
-        else:
-            runs[-1].append([chunk])
-    words = lambda stretch: sum(place & 0xFFFF for place, _ in stretch)
-    out = []
-    for run in runs:
-        if sum(map(words, run)) >= SEED_WORDS:
-            chosen = [s for s in run if words(s) >= SEED_WORDS] or [max(run, key=words)]
-            for stretch in chosen:
-                begin, end = stretch[0][0] >> 32, (stretch[-1][0] >> 32) + (stretch[-1][0] >> 16 & 0xFFFF)
-                out.append((begin, end - begin, stretch[0][1]))
-    return out
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, doc, mark, at) of the windows that may be repeated; ``at`` is the first word."""
+    for batch in batches:
+        for rows, data, offsets in pieces(batch):
+            starts, lengths, owner = word_places(data, offsets)
+            base, ends = (np.searchsorted(owner, np.arange(rows.num_rows), side=s) for s in ("left", "right"))
+            row, (first, last) = _lists(rows.column(2))
+            chosen = np.zeros(len(starts) + 1, dtype=np.int64)
+            low, high = base[row] + first, np.minimum(base[row] + last, ends[row] - LEAST_WORDS)
+            some = low <= high
+            np.add.at(chosen, low[some], 1)
+            np.subtract.at(chosen, high[some] + 1, 1)
+            at = np.flatnonzero(np.cumsum(chosen[:-1]) > 0)
+            text = pa.array(owner[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(window_digests(data, starts, lengths, at)), rows.column(0).take(text), rows.column(1).take(text), pa.array(at - base[owner[at]])],
+                ["digest", "doc", "mark", "at"],
+            )
 
 
-def _touches(left: int, right: int) -> bool:
-    """Whether only blanks can lie between two chunks: the gap is small."""
-    return 0 < (right >> 32) - ((left >> 32) + (left >> 16 & 0xFFFF)) <= 8
-
-
-def grown(own: np.ndarray, other: np.ndarray, start: int, size: int, least: int) -> list[tuple[int, int, int]]:
-    """(start, length, words) of the passages around a seed that stand in the other text too."""
-    seed, hay, out, at = own[start : start + size].tobytes(), other.tobytes(), [], 0
-    while (at := hay.find(seed, at)) >= 0:
-        back = min(start, at)
-        differ = np.flatnonzero(own[start - back : start] != other[at - back : at])
-        left = start - back + (differ[-1] + 1 if len(differ) else 0)
-        ahead = min(len(own) - start, len(other) - at) - size
-        differ = np.flatnonzero(own[start + size : start + size + ahead] != other[at + size : at + size + ahead])
-        right = start + size + (differ[0] if len(differ) else ahead)
-        move = at - start
-        inside = lambda i, text, shift: 0 <= i + shift < len(text) and int(text[i + shift]) not in _BLANK
-        # Begin and end between words of both texts.
-        while left < start and (inside(left - 1, own, 0) or inside(left - 1, other, move)) and inside(left, own, 0):
-            left += 1
-        while right > start + size and (inside(right, own, 0) or inside(right, other, move)) and inside(right - 1, own, 0):
-            right -= 1
-        words = len(own[left:right].tobytes().split(None))
-        if words >= least:
-            out.append((int(left), int(right - left), words))
-        at = max(at + 1, right + move)
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of neighbouring windows of one text that one earlier document is to have."""
+    for batch in batches:
+        row, (at, keeper) = _lists(batch.column(2))
+        order = np.lexsort((at, row))
+        row, at, keeper = row[order], at[order], keeper[order]
+        breaks = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1) | (keeper[1:] != keeper[:-1])
+        edge = np.ones(min(1, len(row)), dtype=bool)
+        begin, end = np.flatnonzero(np.r_[edge, breaks]), np.flatnonzero(np.r_[breaks, edge])
+        text = pa.array(row[begin])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(text), batch.column(1).take(text), pa.array(at[begin]), pa.array(at[end]), pa.array(keeper[begin])],
+            ["doc", "mark", "first", "last", "keeper"],
+        )
+
+
+def grown(own: np.ndarray, other: np.ndarray, stretches: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, length, words) of the passages around windows that stand in the other text too.
+
+    A stretch is the first word of its first and of its last window. Each window is looked
+    up by itself unless a passage found before covers it, so windows may stand at any places.
+    """
+    starts, lengths, _ = word_places(own, np.array([0, len(own)]))
+    ends, raw, hay, out, done = starts + lengths, own.tobytes(), other.tobytes(), [], 0
+    blank = lambda text, i: not 0 <= i < len(text) or text[i] in _BLANK
+    for first, last in sorted(stretches):
+        window = max(first, done)
+        while window <= last:
+            start, end = int(starts[window]), int(ends[window + LEAST_WORDS - 1])
+            at = hay.find(raw[start:end])
+            while at >= 0 and not (blank(hay, at - 1) and blank(hay, at + end - start)):
+                at = hay.find(raw[start:end], at + 1)
+            window += 1
+            if at < 0:
+                continue
+            move, back = at - start, min(start, at)
+            differ = np.flatnonzero(own[start - back : start] != other[at - back : at])
+            left = start - back + (int(differ[-1]) + 1 if len(differ) else 0)
+            ahead = min(len(own) - end, len(other) - end - move)
+            differ = np.flatnonzero(own[end : end + ahead] != other[end + move : end + move + ahead])
+            right = end + (int(differ[0]) if len(differ) else ahead)
+            # Begin and end between words of both texts.
+            while left < start and not (blank(raw, left - 1) and blank(hay, left - 1 + move)) and not blank(raw, left):
+                left += 1
+            while right > end and not (blank(raw, right) and blank(hay, right + move)) and not blank(raw, right - 1):
+                right -= 1
+            covered = int(np.searchsorted(ends, right, side="right"))
+            out.append((left, right - left, covered - int(np.searchsorted(starts, left))))
+            # The first window that ends behind the passage.
+            window = done = covered - LEAST_WORDS + 1
     return out
 
 
@@ -161,16 +238,17 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(batch.num_rows):
             doc, mark, keeper, seeds = (batch.column(i)[r].as_py() for i in range(4))
             own, other = (np.frombuffer(batch.column(i)[r].as_buffer(), dtype=np.uint8) for i in (4, 5))
-            found: list[tuple[int, int, int]] = []
-            for start, size in sorted((s["start"], s["size"]) for s in seeds):
-                if not any(a <= start and start + size <= a + n for a, n, _ in found):
-                    found += grown(own, other, start, size, LEAST_WORDS)
-            out += [(doc, mark, a, n, keeper, w) for a, n, w in dict.fromkeys(found)]
+            out += [(doc, mark, a, n, keeper, w) for a, n, w in grown(own, other, [(s["first"], s["last"]) for s in seeds])]
         columns = list(zip(*out, strict=True)) or [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def _several(keys: DataFrame) -> DataFrame:
+    """Digests that several documents have, with the smallest of these."""
+    return keys.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper < last").select("digest", "keeper")
+
+
 def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc, mark, spans) of every text that repeats a passage of an earlier document.
 
@@ -180,20 +258,22 @@ def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id")
     no row.
     """
     docs = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    several = (
-        _occurrences(docs).groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
-        .where("keeper < last").select("digest", "keeper")
-    )
-    again = _occurrences(docs).join(several, "digest").where("doc > keeper")
-    by_text = again.groupBy("doc", "mark").agg(F.collect_set(F.struct("place", "keeper")).alias("found"))
-    seeds = stored(by_text.mapInArrow(_seeds, "doc bigint, mark bigint, start bigint, size bigint, keeper bigint"), "seeds")
+    several = _several(_occurrences(docs)).select("digest")
+    shared = _occurrences(docs).join(several, "digest").groupBy("doc", "mark").agg(F.collect_set(F.struct("place", "reach")).alias("found"))
+    texts = docs.select(F.col("doc_id").alias("doc"), F.crc32(F.col("text").cast("binary")).alias("mark"), "text")
+    held = stored(shared.mapInArrow(_stretches, "doc bigint, mark bigint, windows array<struct<first:bigint,last:bigint>>"), "stretches")
+    most = held.agg(F.coalesce(F.sum(F.size("windows")), F.lit(0))).first()[0]
+    near = narrow_join(texts, held, ["doc", "mark"], most=most).select("doc", "mark", "windows", "text")
+    windows = stored(near.mapInArrow(_windows, "digest bigint, doc bigint, mark bigint, at bigint"), "windows")
+    again = windows.join(_several(windows), "digest").where("doc > keeper")
+    by_text = again.groupBy("doc", "mark").agg(F.collect_set(F.struct("at", "keeper")).alias("found"))
+    seeds = stored(by_text.mapInArrow(_seeds, "doc bigint, mark bigint, first bigint, last bigint, keeper bigint"), "seeds")
     most = seeds.count()
-    own = docs.select(F.col("doc_id").alias("doc"), F.crc32(F.col("text").cast("binary")).alias("mark"), F.col("text").alias("own"))
-    own = narrow_join(own, seeds.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi", most).dropDuplicates(["doc", "mark"])
+    own = narrow_join(texts.withColumnRenamed("text", "own"), seeds.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi", most).dropDuplicates(["doc", "mark"])
     other = docs.select(F.col("doc_id").alias("keeper"), F.col("text").alias("other"))
     other = narrow_join(other, seeds.select("keeper").distinct(), "keeper", "left_semi", most).distinct()
     # One row per pair of texts, so that each text travels once for all seeds of the pair.
-    pairs = seeds.groupBy("doc", "mark", "keeper").agg(F.collect_list(F.struct("start", "size")).alias("seeds"))
+    pairs = seeds.groupBy("doc", "mark", "keeper").agg(F.collect_list(F.struct("first", "last")).alias("seeds"))
     met = pairs.join(own, ["doc", "mark"]).join(other, "keeper").select("doc", "mark", "keeper", "seeds", "own", "other")
     spans = met.mapInArrow(_grow, "doc bigint, mark bigint, start bigint, size bigint, keeper bigint, words bigint").distinct()
     return stored(spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "size", "keeper", "words")).alias("spans")), "spans")
