@@ -62,6 +62,19 @@ def test_small_groups_are_pooled_and_few_rows_are_not_judged(spark):
     assert quality.judge(spread.limit(0)).count() == 0
 
 
+def test_small_leftovers_are_judged_by_their_language_or_all(spark):
+    rows = [(i, t, "en", "web", x) for i, t, _, _, x in documents(400)]
+    more = [t for _, t, *_ in documents(60)]
+    rows += [(1000 + i, t, "en", "blog", "x") for i, t in enumerate(more[:21])]
+    rows += [(2000 + i, t, "de", None, "x") for i, t in enumerate(more[20:42])]
+    # Null source and language stay apart from the pool of a language.
+    rows += [(3000 + i, t, "en", None, "x") for i, t in enumerate([t for _, t, *_ in documents(120)])]
+    schema = "doc_id bigint, text string, lang string, source string, kept string"
+    got = quality.judge(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == len(rows) and all(r.distance is not None for r in got if not r.base_failed)
+    assert {r.doc_id for r in got if not r.kept} == {i for i, t, *_ in rows if "%%%" in t}
+
+
 def test_estimate_is_near_that_of_the_clean_rows(spark):
     rng = np.random.default_rng(4)
     size = len(quality.FLOORS)

@@ -1,7 +1,8 @@
 """Quality rules: statistics of a text, and robust outliers among those of its group.
 
-Documents of one language and source make a group; groups with too few usable documents
-are pooled by language, then all together. A group's centre and covariance are its
+Documents of one language and source make a group; those of a group with too few usable
+documents are judged by the estimate of all documents of their language, and if these are
+too few as well, of all documents. A group's centre and covariance are its
 minimum-covariance-determinant estimate: from medians and median deviations, steps each
 keep the three quarters of the documents with the least Mahalanobis distance and
 estimate anew from these; at last all documents within the usual distance count once
@@ -130,16 +131,24 @@ def chi_square(probability: float, degrees: int) -> float:
 
 
 def _with_groups(rows: DataFrame) -> DataFrame:
-    """Adds ``g``: language and source, or the pool of groups with few usable rows, or null."""
-    rows = rows.withColumn("pair", F.to_json(F.struct("lang", "source"))).withColumn("own", F.to_json(F.struct("lang")))
-    usable = rows.where(~F.col("base_failed"))
-    pairs = usable.groupBy("pair", "own").agg(F.count("*").alias("n"))
+    """Adds ``g``, the group whose estimate judges a row, and ``feeds``, those it is estimated in.
+
+    ``g`` is language and source, or if these have few usable rows the language, or all;
+    null if the whole table has few. Language and all are estimated only where needed,
+    from all their rows, those of large groups too.
+    """
+    rows = rows.withColumn("pair", F.to_json(F.struct("lang", "source"))).withColumn("own", F.concat(F.lit("lang "), F.to_json(F.struct("lang"))))
+    pairs = rows.where(~F.col("base_failed")).groupBy("pair", "own").agg(F.count("*").alias("n"))
     small = F.col("n") < LEAST_ROWS
-    by_lang = pairs.groupBy("own").agg(F.sum(F.when(small, F.col("n")).otherwise(0)).alias("pooled"))
-    in_all = pairs.join(by_lang, "own").where(small & (F.col("pooled") < LEAST_ROWS)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rest = F.lit("all") if in_all >= LEAST_ROWS else F.lit(None)
+    by_lang = pairs.groupBy("own").agg(F.sum("n").alias("in_lang"), F.max(small).alias("asked"))
+    total, fewest = by_lang.agg(F.coalesce(F.sum("in_lang"), F.lit(0)), F.min("in_lang")).first()
+    rest = F.lit("all") if total >= LEAST_ROWS else F.lit(None).cast("string")
+    wide = F.col("in_lang") >= LEAST_ROWS
+    feeds = [F.when(~small, F.col("pair")), F.when(F.col("asked") & wide, F.col("own"))]
+    if total >= LEAST_ROWS > fewest:
+        feeds.append(F.lit("all"))
     names = pairs.join(by_lang, "own").select(
-        "pair", F.when(~small, F.col("pair")).when(F.col("pooled") >= LEAST_ROWS, F.col("own")).otherwise(rest).alias("g")
+        "pair", F.when(~small, F.col("pair")).when(wide, F.col("own")).otherwise(rest).alias("g"), F.array_compact(F.array(*feeds)).alias("feeds")
     )
     return _join_groups(rows, names, "pair").drop("pair", "own")
 
@@ -220,15 +229,16 @@ def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str =
 
     A null text has no words and fails the base rule, as do texts of under 20 words or
     mostly repeated windows. Null language and source are a language and a source.
-    Without LEAST_ROWS usable documents anywhere nothing is judged by distance, which
-    is null then. Repeated rows count as often as they occur. An empty table gives no row.
+    Only if the whole table has under LEAST_ROWS usable documents nothing is judged by
+    distance, which is null then. Repeated rows count as often as they occur. An empty table gives no row.
     """
     spark = docs.sparkSession
     home = scratch_path(spark, "quality")
     _statistics = statistics(docs, text, key, lang, source)
     _statistics.write.parquet(home)
     rows = _with_groups(spark.read.parquet(home))
-    judged = _join_groups(rows, estimates(rows), "g")
+    fed = rows.where(~F.col("base_failed")).select("doc_id", "base_failed", "x", F.explode("feeds").alias("g"))
+    judged = _join_groups(rows.drop("feeds"), estimates(fed), "g")
     distance = F.when(F.col("m").isNotNull(), F.sqrt(F.greatest(_distance(len(FLOORS)), F.lit(0.0))))
     return judged.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
