@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, chunks, jaccard, packing, quality, sharding, token_counts, tokenize, topk, toxicity
+from tidemark.llm import chat, chunks, jaccard, merkle, packing, quality, sharding, token_counts, tokenize, topk, toxicity
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -170,3 +170,59 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <
 def op10_topk(spark, sf_dir):
     """The ten best other vectors of every hundredth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+# CRC-32 with its reflected polynomial, bit by bit, before its last inversion; a level of the recursion is a level of all trees.
+MERKLE_SQL = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, source, lang, n_chars, text,
+           CASE WHEN doc_id IS NOT NULL AND list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+               lambda a, b: list_reduce([xor(a, b)] || CAST(range(8) AS BIGINT[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) % 5 = 4294967295 % 5
+           THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS tried
+    FROM documents
+), leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(tried) || ':' || tried, '-')) AS changed
+    FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+              || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM fields)
+), trees AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS size FROM leaves GROUP BY source
+), placed AS (
+    SELECT doc_id, leaf, changed, tree, size, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+    FROM leaves JOIN trees ON leaves.source IS NOT DISTINCT FROM trees.source
+), nodes AS (
+    SELECT 0 AS level, tree, idx, leaf AS digest, size FROM placed
+    UNION ALL
+    SELECT level + 1, tree, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (size + 15) // 16 FROM nodes WHERE size > 1 GROUP BY level, tree, idx // 16, size
+), tops AS (SELECT tree, digest FROM nodes WHERE size = 1),
+crown AS (
+    SELECT 0 AS level, tree AS idx, digest, (SELECT count(*) FROM tops) AS size FROM tops
+    UNION ALL
+    SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (size + 15) // 16 FROM crown WHERE size > 1 GROUP BY level, idx // 16, size
+), all_nodes AS (
+    SELECT level, tree, idx, digest, size FROM nodes WHERE size > 1
+    UNION ALL SELECT 1000 + level, -1, idx, digest, size FROM crown WHERE size > 1
+), walked AS (
+    SELECT doc_id, leaf, tree AS home, idx AS place, CASE WHEN size > 1 THEN tree ELSE -1 END AS tree, CASE WHEN size > 1 THEN idx ELSE tree END AS idx,
+           CASE WHEN size > 1 THEN 0 ELSE 1000 END AS level, size, changed AS folded, '' AS proof, false AS done
+    FROM placed
+    UNION ALL
+    SELECT doc_id, leaf, home, place, CASE WHEN n.size <= 16 THEN -1 ELSE w.tree END,
+           CASE WHEN w.tree = -1 OR n.size > 16 THEN w.idx // 16 ELSE home END,
+           CASE WHEN w.tree = -1 OR n.size > 16 THEN w.level + 1 ELSE 1000 END, n.size,
+           sha256(n.before || folded || n.after), proof || n.before || n.after, w.tree = -1 AND n.size <= 16
+    FROM walked w JOIN (
+        SELECT a.level, a.tree, a.idx, a.size, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx), '') AS before,
+               coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx), '') AS after
+        FROM all_nodes a JOIN all_nodes b ON a.level = b.level AND a.tree = b.tree AND a.idx // 16 = b.idx // 16 GROUP BY ALL
+    ) n ON n.level = w.level AND n.tree = w.tree AND n.idx = w.idx WHERE NOT w.done
+)
+SELECT doc_id, leaf, t.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM walked w JOIN tops t ON t.tree = w.home CROSS JOIN (SELECT digest FROM crown WHERE size = 1) r
+WHERE w.done OR (SELECT count(*) FROM tops) = 1 AND w.tree = -1
+"""
+
+
+@query("op11_merkle", MERKLE_SQL)
+def op11_merkle(spark, sf_dir):
+    """Leaf, subroot, root and proof of every document, and what the proofs say after a trial."""
+    return merkle.verify(table(spark, sf_dir, "documents"))
