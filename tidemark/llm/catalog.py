@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, chunks, jaccard, merkle, packing, quality, sharding, token_counts, tokenize, topk, toxicity
+from tidemark.llm import chat, chunks, jaccard, lexical, merkle, packing, quality, sharding, token_counts, tokenize, topk, toxicity
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -226,3 +226,34 @@ WHERE w.done OR (SELECT count(*) FROM tops) = 1 AND w.tree = -1
 def op11_merkle(spark, sf_dir):
     """Leaf, subroot, root and proof of every document, and what the proofs say after a trial."""
     return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+SEARCH_SQL = r"""
+WITH lists AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS length FROM lists WHERE len(w) > 0),
+postings AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM lists) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, totals GROUP BY term, docs
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS times FROM (
+        SELECT row_number() OVER () AS item, item_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ) GROUP BY ALL
+), scored AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN postings USING (term) CROSS JOIN totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op13_lexical", SEARCH_SQL)
+def op13_lexical(spark, sf_dir):
+    """The twenty best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
