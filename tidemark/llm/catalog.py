@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, chunks, jaccard, lexical, merkle, packing, quality, sharding, token_counts, tokenize, topk, toxicity
+from tidemark.llm import chat, chunks, jaccard, lexical, merkle, packing, quality, sharding, subword, token_counts, tokenize, topk, toxicity
 from tidemark.llm.bytebpe import TokenizerFile
 from tidemark.session import configure
 
@@ -228,6 +228,13 @@ def op11_merkle(spark, sf_dir):
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
+@query("op12_quality_classifier")
+def op12_quality_classifier(spark, sf_dir):
+    """Quality of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return subword.score(docs, subword.fit(docs, table(spark, sf_dir, "labels")))
+
+
 SEARCH_SQL = r"""
 WITH lists AS (
     SELECT row_number() OVER () AS row, doc_id,
