@@ -62,23 +62,27 @@ def proof(path: Column) -> Column:
     return F.sha2(F.concat_ws("", F.transform(path, lambda step: F.concat(step["left"], step["right"]))), 256)
 
 
-def _with_siblings(nodes: DataFrame) -> DataFrame:
-    """Nodes (tree, idx, digest) with the digests ``left`` and ``right`` of them in their run."""
+def _with_siblings(nodes: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """Nodes (tree, idx, digest, carried columns) with the digests ``left`` and ``right`` of them in their run."""
     spark = nodes.sparkSession
     run, slot = F.expr(f"idx div {ARITY}").alias("run"), F.expr(f"cast(idx % {ARITY} as int)").alias("slot")
-    placed = nodes.select("tree", run, slot, "digest").repartition("tree", "run")
+    placed = nodes.select("tree", run, slot, "digest", *carry).repartition("tree", "run")
     asking = placed.withColumn("shift", F.explode(F.sequence(F.lit(1), F.lit(ARITY - 1)))).select(
         "tree", "run", "slot", F.expr(f"(slot + shift) % {ARITY}").alias("sibling")
     )
     found = asking.join(placed.select("tree", "run", F.col("slot").alias("sibling"), F.col("digest").alias("other")), ["tree", "run", "sibling"])
-    # A node's own row keeps nodes without siblings.
-    rows = found.select("tree", "run", "slot", "sibling", "other").unionByName(placed.select("tree", "run", "slot", F.col("slot").alias("sibling"), F.col("digest").alias("other")))
-    lists = rows.groupBy("tree", "run", "slot").agg(F.sort_array(F.collect_list(F.struct("sibling", "other"))).alias("all"))
+    # A node's own row keeps nodes without siblings, and what is carried.
+    own = F.struct(*carry, F.lit(0).alias("none"))
+    rows = found.select("tree", "run", "slot", "sibling", "other").unionByName(
+        placed.select("tree", "run", "slot", F.col("slot").alias("sibling"), F.col("digest").alias("other"), own.alias("own")), allowMissingColumns=True
+    )
+    lists = rows.groupBy("tree", "run", "slot").agg(F.sort_array(F.collect_list(F.struct("sibling", "other"))).alias("all"), F.max("own").alias("own"))
     side = lambda keep: F.concat_ws("", F.transform(F.filter("all", keep), lambda x: x["other"]))
     out = lists.select(
         "tree", (F.col("run") * ARITY + F.col("slot")).alias("idx"),
         F.expr("filter(all, x -> x.sibling = slot)[0].other").alias("digest"),
         side(lambda x: x["sibling"] < F.col("slot")).alias("left"), side(lambda x: x["sibling"] > F.col("slot")).alias("right"),
+        *[F.col(f"own.{c}") for c in carry],
     ).sortWithinPartitions("tree", "idx")
     before = spark.conf.get(_BY_RUN)
     spark.conf.set(_BY_RUN, "false")
@@ -88,11 +92,11 @@ def _with_siblings(nodes: DataFrame) -> DataFrame:
         spark.conf.set(_BY_RUN, before)
 
 
-def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _climb(nodes: DataFrame, carry: tuple[str, ...] = ()) -> tuple[list[DataFrame], DataFrame]:
     """Levels (tree, idx, digest, left, right) from the leaves up, and each tree's top (tree, digest).
 
     A level holds the trees that still have several nodes. ``nodes`` carries ``size``, the
-    nodes of its tree.
+    nodes of its tree, and the columns that the lowest level carries along.
     """
     levels, tops = [], []
     while True:
@@ -100,7 +104,7 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         open_ = nodes.where("size > 1")
         if not open_.limit(1).count():
             break
-        level = _with_siblings(open_.select("tree", "idx", "digest"))
+        level = _with_siblings(open_.select("tree", "idx", "digest", *(carry if not levels else ())), carry if not levels else ())
         levels.append(level)
         sizes = open_.where("idx = 0").select("tree", F.expr(f"(size + {ARITY - 1}) div {ARITY}").alias("size"))
         parents = level.where(f"idx % {ARITY} = 0").select(
@@ -114,7 +118,11 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 
 
 def _paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
-    """(tree, idx, path) of the lowest level; ``above`` has (tree, path) of each tree's top."""
+    """The lowest level with the path of its nodes; ``above`` has (tree, path) of each tree's top.
+
+    Rows of a run are neighbours in a written level, so that their lists of siblings, which
+    share all but one digest, are small when they are shuffled.
+    """
     tops = above.select("tree", F.lit(0).cast("bigint").alias("idx"), "path")
     paths = tops
     for level in reversed(levels):
@@ -122,9 +130,11 @@ def _paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
         joined = level.withColumn("run", F.expr(f"idx div {ARITY}")).join(
             paths.select("tree", F.col("idx").alias("run"), "path"), ["tree", "run"]
         )
-        below = joined.select("tree", "idx", F.concat(step, "path").alias("path"))
+        rest = [c for c in level.columns if c not in ("left", "right")]
+        below = joined.select(*rest, F.concat(step, "path").alias("path"))
         if level is levels[0]:
             return below
+        below = below.drop("digest")
         # Trees that end at a lower level join in there.
         done = tops.join(level.select("tree").distinct(), "tree", "left_anti")
         paths = stored(below.unionByName(done), "paths")
@@ -150,7 +160,7 @@ def build(rows: DataFrame, key: str, source: str, digest: str, changed: str | No
         "key", "changed", "tree", (F.col("n") - F.col("first")).alias("idx"), "digest", "size"
     )
     placed = stored(placed, "nodes")
-    levels, tops = _climb(placed.select("tree", "idx", "digest", "size"))
+    levels, tops = _climb(placed, ("key", "changed"))
     tops = stored(tops, "subroots")
     count = tops.count()
     crown = tops.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("idx"), "digest", F.lit(count).cast("bigint").alias("size"))
@@ -163,14 +173,12 @@ def build(rows: DataFrame, key: str, source: str, digest: str, changed: str | No
         ways = tops.select("tree", empty.alias("path"))
     ways = stored(ways.join(tops.select("tree", F.col("digest").alias("subroot")), "tree"), "ways")
     subroots = trees.select("source", "size", "tree").join(ways, "tree").select("source", "size", "subroot")
+    columns = ["key", "changed", "digest", "tree", "path"]
+    below = placed.where("size = 1").join(ways.select("tree", "path"), "tree").select(*columns)
     if levels:
-        below = _paths(levels, ways.select("tree", "path"))
-    else:
-        below = ways.select("tree", F.lit(0).cast("bigint").alias("idx"), "path")
-    single = placed.where("size = 1").select("tree", "idx").join(ways, "tree").select("tree", "idx", "path") if levels else None
-    below = below.unionByName(single) if single is not None else below
-    proofs = narrow_join(placed.select("key", "changed", F.col("digest").alias("leaf"), "tree", "idx").join(below, ["tree", "idx"]), ways.select("tree", "subroot"), "tree")
-    return Manifest(first["digest"] if first else None, subroots, proofs.drop("tree", "idx"))
+        below = below.unionByName(_paths(levels, ways.select("tree", "path")).select(*columns))
+    proofs = narrow_join(below.withColumnRenamed("digest", "leaf"), ways.select("tree", "subroot"), "tree").drop("tree")
+    return Manifest(first["digest"] if first else None, subroots, proofs)
 
 
 def tampered(key: Column, text: Column) -> Column:
