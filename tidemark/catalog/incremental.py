@@ -22,6 +22,7 @@ from tidemark.catalog.registry import query
 from tidemark.catalog.scans import RAW_SQL, flat
 from tidemark.functions.times import hours
 from tidemark.operators import control, merge, pages, windows
+from tidemark.plans.backfill import backfill_chain
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import merge_batch
 from tidemark.plans.page_load import page_reader
@@ -432,6 +433,58 @@ def daily_load(spark, sf_dir):
     return with_fact_counts(store)
 
 
+DAILY_SQL = f"""
+span AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) + 1 AS hi FROM events),
+days AS (SELECT lo, lo + CAST(k AS INTEGER) AS batch_date FROM span, unnest(range(1, hi - lo + 1)) AS u(k)),
+batches AS (SELECT f.*, d.batch_date FROM feed f JOIN days d
+            ON f.last_modified_t >= greatest(epoch(lo), epoch(batch_date) - 86400 - 21600) AND f.last_modified_t < epoch(batch_date)),
+{FACT_COUNTS_SQL.format(rows='batches')}"""
+
+
+def backfilled(spark, sf_dir) -> tuple[TableStore, str]:
+    """All dates of the feed by two backfills, the second into what the first left."""
+    store, root = new_store(spark), scratch_path(spark, "raw-root")
+    source, first, end = whole_source(spark, sf_dir, LOOKBACK)
+    ends = [first + timedelta(days=k) for k in range(1, (end - first).days + 1)]
+    records = tables.project_raw(feed(spark, sf_dir))
+    for part in (ends[: len(ends) // 2], ends[len(ends) // 2 :]):
+        backfill_chain(store, root, source, part, records)
+    return store, root
+
+
+@query(
+    "chain_backfill",
+    f"""WITH {FEED_SQL}, {DAILY_SQL}
+    SELECT code, {DIM_SQL}, updates, first_batch FROM (
+      SELECT *, row_number() OVER (PARTITION BY code ORDER BY last_modified_t DESC, batch_date,
+        product_name DESC, brands DESC, nutrition_grades DESC NULLS LAST) AS n FROM batches)
+    JOIN facts USING (code) WHERE n = 1""",
+)
+def chain_backfill(spark, sf_dir):
+    """Raw, staging and mart of all dates by two backfills: into an empty and a filled mart."""
+    return with_fact_counts(backfilled(spark, sf_dir)[0])
+
+
+@query(
+    "chain_backfill_batches",
+    f"""WITH {FEED_SQL}, {DAILY_SQL},
+    firsts AS (SELECT batch_date, count(*) AS facts FROM (
+        SELECT code, last_modified_t, min(batch_date) AS batch_date FROM batches GROUP BY 1, 2) GROUP BY 1),
+    staged AS (SELECT batch_date, count(*) AS rows FROM batches GROUP BY 1)
+    SELECT batch_date, coalesce(rows, 0) AS raw_rows, coalesce(rows, 0) AS staged_rows, coalesce(f.facts, 0) AS facts,
+           CAST(4 AS BIGINT) AS passed_metrics
+    FROM days LEFT JOIN staged USING (batch_date) LEFT JOIN firsts f USING (batch_date)""",
+)
+def chain_backfill_batches(spark, sf_dir):
+    """Per date of the backfills: committed, staged and fact rows, and metrics that passed."""
+    store, root = backfilled(spark, sf_dir)
+    count = lambda table, name: store.read(table).groupBy("batch_date").agg(F.count(F.lit(1)).alias(name))
+    passed = store.read("dq_metrics").where("passed").groupBy("batch_date").agg(F.count(F.lit(1)).alias("passed_metrics"))
+    runs = commits.scan_markers(spark, root, "feed").select(F.col("logical_date").alias("batch_date"), F.col("row_count").alias("raw_rows"))
+    joined = runs.join(count("staging", "staged_rows"), "batch_date", "left").join(count("fact", "facts"), "batch_date", "left").join(passed, "batch_date", "left")
+    return joined.select("batch_date", "raw_rows", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("staged_rows", "facts", "passed_metrics")])
+
+
 def source_days(spark, sf_dir):
     """Event types as sources of their own: (type, source) with one first day, and the end."""
     whole, first, end = whole_source(spark, sf_dir)

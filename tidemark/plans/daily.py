@@ -1,20 +1,16 @@
-"""Daily chain and backfill."""
+"""Daily chain, and the mart from many staged batches."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.operators import merge, quality
-from tidemark.operators.ranking import materialise, surrogate_keys
-from tidemark.plans.mart_load import DIMENSION_HIGH, FACT_HIGH, FACT_KEY, MartLoad, check_mart, load_mart
+from tidemark.plans.mart_load import MartLoad, load_mart, merge_batch
 from tidemark.plans.raw_load import RawRun, Reader, Source, load_raw
-from tidemark.plans.staging_load import load_staging, slot_of, write_metrics
-from tidemark.session import releases_scratch
-from tidemark.sinks.tables import BUCKETS, TableStore
+from tidemark.plans.staging_load import load_staging
+from tidemark.sinks.tables import TableStore
 from tidemark.spec import FeedSpec
 
 
@@ -40,41 +36,9 @@ def load_day(
     return DailyLoad(raw, staged, mart)
 
 
-@releases_scratch
 def backfill_mart(store: TableStore, staged: DataFrame, spec: FeedSpec, source: str) -> MartLoad:
-    """Fill an empty mart from many batches at once.
+    """Bring many staged batches into the mart, empty or filled, in one merge.
 
-    Gives the tables that loading the batches one by one in ascending order would,
-    with one aggregate per table instead of a merge per batch.
+    Gives the tables that loading the batches one by one in ascending order would.
     """
-    now = datetime.now(UTC)
-    base = store.snapshot()
-    if base.slots.get("dimension") or base.slots.get("fact"):
-        raise ValueError("backfill_mart needs an empty mart; load later batches one by one")
-    rows = materialise(merge.dimension_closed_form(staged, spec), "backfill")
-    keys = surrogate_keys(rows, spec.key, spec.surrogate, 1)
-    numbered = rows.join(keys, spec.key).withColumns(
-        {"created_at": F.lit(now), "updated_at": F.lit(now)}
-    )
-    buckets = int(base.properties.get(BUCKETS, "1"))
-    dim_slots = store.write_buckets("dimension", numbered, spec.key, buckets, gather=True)
-    dimension = store.open("dimension", [path for paths in dim_slots.values() for path in paths])
-    events = merge.lookup_surrogates(
-        merge.facts_closed_form(staged, spec), dimension, spec, hot_from=staged
-    ).withColumnRenamed(spec.event_time, spec.target_time)
-    facts = events.withColumn(
-        FACT_KEY, F.monotonically_increasing_id() + 1
-    ).withColumn("loaded_at", F.lit(now))
-    fact_folder = store.write("fact", facts)
-    written = store.open("fact", [fact_folder])
-    checked = quality.enforce(quality.mart_gate(staged, dimension, written, spec, source))
-    check_mart(store, dimension, written, spec)
-    metrics = write_metrics(store, base, "mart", source, checked, now)
-    rows_in, highest = dimension.agg(F.count(F.lit(1)), F.max(spec.surrogate)).first()
-    facts_in, highest_fact = written.agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
-    store.publish(
-        base,
-        {"dimension": dim_slots, "fact": {slot_of(source, "backfill"): [fact_folder]}, **metrics},
-        {DIMENSION_HIGH: str(highest or 0), FACT_HIGH: str(highest_fact or 0)},
-    )
-    return MartLoad(rows_in, facts_in)
+    return merge_batch(store, staged, None, spec, source)

@@ -42,11 +42,12 @@ def insert_facts(
     between: tuple[int, int] | None = None,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
-) -> tuple[str, int, int]:
-    """Write the facts a batch adds to a new folder.
+    by_batch: bool = False,
+) -> tuple[dict[str, list[str]], int, int]:
+    """Write the facts a batch adds to a new folder, or to one of each batch.
 
-    ``between`` are the least and greatest event time of the batch. Returns the folder,
-    the number of facts and the highest key handed out so far.
+    ``between`` are the least and greatest event time of the batch. Returns the folders by
+    batch (or under ""), the number of facts and the highest key handed out so far.
     """
     known = store.read("fact", snapshot=base)
     events = merge.lookup_surrogates(
@@ -60,9 +61,13 @@ def insert_facts(
     numbered = fresh.withColumn(
         FACT_KEY, F.monotonically_increasing_id() + F.lit(start)
     ).withColumn("loaded_at", F.lit(now))
-    folder = store.write("fact", numbered)
-    row = store.open("fact", [folder]).agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
-    return folder, row[0], row[1] or start - 1
+    parts = store.write_parts("fact", numbered, "batch_date", gather=True) if by_batch else {"": [store.write("fact", numbered)]}
+    row = store.open("fact", folders_of(parts)).agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
+    return parts, row[0], row[1] or start - 1
+
+
+def folders_of(parts: dict[str, list[str]]) -> list[str]:
+    return [path for paths in parts.values() for path in paths]
 
 
 def touched_buckets(latest: DataFrame, key: str, buckets: int) -> list[str]:
@@ -89,7 +94,7 @@ def check_mart(store: TableStore, dimension: DataFrame, facts: DataFrame, spec:
 def merge_batch(
     store: TableStore,
     staged: DataFrame,
-    label: str,
+    label: str | None,
     spec: FeedSpec,
     source: str,
     properties: dict[str, str] | None = None,
@@ -97,10 +102,20 @@ def merge_batch(
     broadcast_rows: int = BROADCAST_ROWS,
     batches: DataFrame | None = None,
 ) -> MartLoad:
-    """Bring staged rows into the mart: dimension first, then facts, gate and publish."""
+    """Bring staged rows into the mart: dimension first, then facts, gate and publish.
+
+    Without a ``label`` the rows are of many batches, and the mart, empty or filled, ends
+    as if these had been loaded one by one in ascending order: each key's version that
+    would be left is merged once, each event counts for its first batch, and the facts of
+    every batch are stored under its own date.
+    """
     now = datetime.now(UTC)
     base = store.snapshot()
-    latest = materialise(latest_per_key(staged, spec), "latest")
+    if label is None:
+        versions = merge.dimension_closed_form(staged, spec).withColumnRenamed(spec.target_time, spec.event_time)
+    else:
+        versions = latest_per_key(staged, spec)
+    latest = materialise(versions, "latest")
     buckets = int(base.properties.get(BUCKETS, "1"))
     dimension = store.read("dimension", touched_buckets(latest, spec.key, buckets), base)
     key_start = int(base.properties.get(DIMENSION_HIGH, "0")) + 1
@@ -112,7 +127,7 @@ def merge_batch(
     )
     merged = merge.merge_type1(dimension, latest, spec, now, new_keys)
     dim_slots = store.write_buckets("dimension", merged, spec.key, buckets, gather=True)
-    written = store.open("dimension", [path for paths in dim_slots.values() for path in paths])
+    written = store.open("dimension", folders_of(dim_slots))
     size, changed, highest = written.agg(
         F.count(F.lit(1)),
         F.count_if(F.col("updated_at") == F.lit(now)),
@@ -122,23 +137,26 @@ def merge_batch(
 
     bounds = staged.agg(F.min(spec.event_time), F.max(spec.event_time)).first()
     between = None if bounds[0] is None else tuple(bounds)
-    fact_folder, inserted, highest_fact = insert_facts(
-        store, base, staged, written, spec, now, between, hot_rows, small_dimension
+    parts, inserted, highest_fact = insert_facts(
+        store, base, staged, written, spec, now, between, hot_rows, small_dimension, label is None
     )
-    fact_folders = [*base.slots.get("fact", {}).get(label, []), *([fact_folder] if inserted else [])]
-    fact_folders = store.joined("fact", fact_folders)
-    all_facts = store.read("fact", snapshot=base).unionByName(store.open("fact", [fact_folder]))
+    fresh_facts = store.open("fact", folders_of(parts))
+    fact_slots = {}
+    for batch, folders in parts.items() if inserted else ():
+        slot = slot_of(source, batch) if label is None else label
+        fact_slots[slot] = store.joined("fact", [*base.slots.get("fact", {}).get(slot, []), *folders])
+    all_facts = store.read("fact", snapshot=base).unionByName(fresh_facts)
     if between is not None:
         # Facts outside the batch's time range cannot match; the scan skips them.
         all_facts = all_facts.filter(F.col(spec.target_time).between(*between))
     rows = quality.enforce(
         quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches)
     )
-    check_mart(store, written, store.open("fact", [fact_folder]), spec)
+    check_mart(store, written, fresh_facts, spec)
     metrics = write_metrics(store, base, "mart", source, rows, now)
     store.publish(
         base,
-        {"dimension": dim_slots, "fact": {label: fact_folders}, **metrics},
+        {"dimension": dim_slots, "fact": fact_slots, **metrics},
         {DIMENSION_HIGH: str(max(highest, key_start - 1)), FACT_HIGH: str(highest_fact), **(properties or {})},
     )
     return MartLoad(changed, inserted)

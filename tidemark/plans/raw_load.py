@@ -100,7 +100,27 @@ def recover(store: TableStore, marker: dict) -> None:
         store.publish(base, {"watermarks": {name: [path]}})
 
 
-def _result(marker: dict, attempt: str) -> RawRun:
+def marker_payload(
+    source: str, logical_date: date, attempt: str, prefix: str, objects: int, rows: int, start_at: datetime, end_at: datetime
+) -> dict:
+    """The commit record of an attempt; ``prefix`` is its folder below the raw root."""
+    return {
+        "schema_version": control.MARKER_VERSION,
+        "source": source,
+        "logical_date": str(logical_date),
+        "run_id": run_id_of(source, logical_date),
+        "attempt_id": attempt,
+        "manifest_key": f"{prefix}/{identity.MANIFEST_NAME}",
+        "object_count": objects,
+        "row_count": rows,
+        "extract_start": start_at.isoformat(),
+        "extract_end": end_at.isoformat(),
+        "next_watermark": end_at.isoformat(),
+        "committed_at": datetime.now(UTC).isoformat(),
+    }
+
+
+def result_of(marker: dict, attempt: str) -> RawRun:
     return RawRun(
         marker["source"],
         date.fromisoformat(marker["logical_date"]),
@@ -142,7 +162,7 @@ def load_raw(
     if files.exists(spark, marker_path):
         marker = files.read_json(spark, marker_path)
         recover(store, marker)
-        return _result(marker, attempt)
+        return result_of(marker, attempt)
 
     started = datetime.now(UTC)
     window = window_of(store, source, end)
@@ -174,20 +194,10 @@ def load_raw(
     documents = control.build_manifests(described)
     manifest = control.manifest_json(F.lit(started), F.current_timestamp())
     documents.select(manifest.alias("value")).write.text(f"{folder}/{identity.MANIFEST_NAME}")
-    payload = {
-        "schema_version": control.MARKER_VERSION,
-        **{k: str(v) for k, v in run.items()},
-        "manifest_key": f"{prefix}/{identity.MANIFEST_NAME}",
-        "object_count": totals.objects,
-        "row_count": totals.rows,
-        "extract_start": start_at.isoformat(),
-        "extract_end": end_at.isoformat(),
-        "next_watermark": end_at.isoformat(),
-        "committed_at": datetime.now(UTC).isoformat(),
-    }
+    payload = marker_payload(source.name, label, attempt, prefix, totals.objects, totals.rows, start_at, end_at)
     if not complete:
         return RawRun(source.name, label, run["run_id"], attempt, False, totals.rows, totals.objects)
     if not files.create_json(spark, marker_path, payload):
         payload = files.read_json(spark, marker_path)
     recover(store, payload)
-    return _result(payload, attempt)
+    return result_of(payload, attempt)

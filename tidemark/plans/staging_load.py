@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.sql import functions as F
@@ -40,47 +41,51 @@ def write_metrics(store: TableStore, base: Snapshot, layer: str, source: str, ro
 
 
 @releases_scratch
-def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: date) -> int:
-    """Reload staging for one batch and return the rows inserted.
+def reload_staging(store: TableStore, raw_root: str, source: Source, batch_dates: Sequence[date]) -> dict[date, int]:
+    """Reload staging for several batches in one scan and one write; rows per batch.
 
-    The new rows and the gate's metrics become visible together, after the gate.
+    All batches and the gate's metrics become visible together, after the gate has passed
+    for every batch. A date without a committed run is an error.
     """
     spark = store.spark
-    marker_path = marker_location(raw_root, source.name, batch_date)
-    if not files.exists(spark, marker_path):
-        raise TidemarkError(f"no committed run of {source.name} for {batch_date}")
-    marker = files.read_json(spark, marker_path)
+    dates = sorted(set(batch_dates))
+    locations = {day: marker_location(raw_root, source.name, day) for day in dates}
+    for day, location in locations.items():
+        if not files.exists(spark, location):
+            raise TidemarkError(f"no committed run of {source.name} for {day}")
+    markers = {day: files.read_json(spark, location) for day, location in locations.items()}
     now = datetime.now(UTC)
     base = store.snapshot()
-    slot = slot_of(source.name, batch_date)
+    slots = {day: slot_of(source.name, day) for day in dates}
 
-    if marker["object_count"]:
-        manifest = read_manifest(spark, raw_root, marker["manifest_key"])
+    expected = {day: 0 for day in dates}
+    keys = [m["manifest_key"] for m in markers.values() if m["object_count"]]
+    if keys:
+        manifest = read_manifest(spark, raw_root, *keys)
         checked = control.reconcile_manifests(manifest)
         control.require_reconciled(checked)
-        expected = checked.first().declared_rows
+        expected |= {row.logical_date: row.declared_rows for row in checked.select("logical_date", "declared_rows").collect()}
         listed = control.manifest_objects(manifest).select(
-            F.lit(batch_date).alias("batch_date"), F.col("object_key").alias("raw_object_key")
+            F.col("logical_date").alias("batch_date"), F.col("object_key").alias("raw_object_key")
         )
-        attempt = f"{raw_root}/{marker['manifest_key'].rpartition('/')[0]}"
-        raw = scan_raw(spark, attempt)
+        raw = scan_raw(spark, *[f"{raw_root}/{key.rpartition('/')[0]}" for key in keys])
     else:
-        expected = 0
         raw = empty(spark, RAW).withColumn("raw_object_key", F.lit(""))
         listed = spark.createDataFrame([], "batch_date date, raw_object_key string")
-    # Of the attempt's folder, the objects that the manifest lists.
-    fresh = staging.with_lineage(raw, batch_date, now, raw_root).join(
-        listed.select("raw_object_key"), "raw_object_key", "left_semi"
-    )
-    stored = store.read("staging", [slot], base)
-    path = store.write("staging", staging.replace_objects(stored, fresh, listed))
+    # Of the attempts' folders, the objects that the manifests list, under their date.
+    fresh = staging.with_lineage(raw, F.lit(None).cast("date"), now, raw_root).drop("batch_date").join(listed, "raw_object_key")
+    stored = store.read("staging", slots.values(), base)
+    parts = store.write_parts("staging", staging.replace_objects(stored, fresh, listed), "batch_date", len(dates) > 1)
 
-    written = store.open("staging", [path])
-    wanted = spark.range(1).select(
-        F.lit(batch_date).alias("batch_date"), F.lit(expected).cast("long").alias("expected_rows")
-    )
+    written = store.open("staging", [path for paths in parts.values() for path in paths])
+    wanted = spark.createDataFrame(list(expected.items()), "batch_date date, expected_rows bigint")
     rows = quality.enforce(quality.staging_gate(written, wanted, source.spec.key, source.name))
     quality.enforce_table(written, "staging", (), required_columns(store.schemas["staging"]))
     metrics = write_metrics(store, base, "staging", source.name, rows, now)
-    store.publish(base, {"staging": {slot: [path]}, **metrics})
+    store.publish(base, {"staging": {slots[day]: parts.get(str(day), []) for day in dates}, **metrics})
     return expected
+
+
+def load_staging(store: TableStore, raw_root: str, source: Source, batch_date: date) -> int:
+    """Reload staging for one batch and return the rows inserted."""
+    return reload_staging(store, raw_root, source, [batch_date])[batch_date]

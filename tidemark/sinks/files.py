@@ -34,6 +34,14 @@ def delete(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder of a failed or finished job its final name, which must be free."""
+    path, fs = _path(spark, source)
+    final, _ = _path(spark, target)
+    if not fs.rename(path, final):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def modified(spark: SparkSession, location: str) -> int:
     """When a file or folder was last changed, in milliseconds."""
     path, fs = _path(spark, location)

@@ -36,15 +36,38 @@ def land_parts(df: DataFrame, path: str, event_time: str, key: str) -> int:
     return written.get["rows"]
 
 
-def inventory(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+def land_batches(df: DataFrame, path: str, by: Sequence[str], event_time: str, key: str) -> int:
+    """Write the parts of many batches in one job and return the rows written.
+
+    ``by`` names the columns whose values are the folders of a batch. Only folders that
+    the job has rows for are written or replaced, each as a whole. A batch gets as many
+    parts as its size asks for, sorted like those of ``land_parts``.
+    """
+    written = Observation()
+    (
+        df.hint("rebalance", *by)
+        .sortWithinPartitions(*by, event_time, key)
+        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+    return written.get["rows"]
+
+
+def inventory(spark: SparkSession, path: str | Sequence[str], root: str | None = None) -> DataFrame:
     """Landed objects with key, part number, rows and bytes; empty files do not count.
 
+    ``path`` is a folder or several folders.
+
     Reads no data column. Keys are relative to ``root`` when it is given.
     """
     location = F.col("file_path")
     key = F.substring_index(location, root.rstrip("/") + "/", -1) if root else location
     return (
-        spark.read.parquet(path)
+        spark.read.parquet(*([path] if isinstance(path, str) else path))
         .groupBy(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_size").alias("size_bytes"),

@@ -33,7 +33,8 @@ FOLDERS_PER_LEVEL = 16
 
 
 def _level(folder: str) -> int:
-    level, mark, _ = folder.rpartition("/")[2].partition("-")
+    # table/level-id, or table/level-id/part=value
+    level, mark, _ = folder.split("/")[1].partition("-")
     return int(level) if mark else 0
 
 
@@ -153,6 +154,20 @@ class TableStore:
         found = files.names(self.spark, f"{self.root}/{folder}")
         return {n.removeprefix("bucket="): [f"{folder}/{n}"] for n in found if n.startswith("bucket=")}
 
+    def write_parts(self, table: str, df: DataFrame, label: str, gather: bool) -> dict[str, list[str]]:
+        """Write rows by the value of column ``label`` in one job; returns the folder of each value.
+
+        The column stays in the data. ``gather`` brings the rows of a value together, in
+        as many partitions as their size asks for.
+        """
+        folder = f"{table}/0-{uuid.uuid4().hex}"
+        rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).withColumn("part", F.col(label).cast("string"))
+        if gather:
+            rows = rows.hint("rebalance", "part")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.root}/{folder}")
+        found = files.names(self.spark, f"{self.root}/{folder}")
+        return {n.removeprefix("part="): [f"{folder}/{n}"] for n in found if n.startswith("part=")}
+
     def publish(
         self,
         base: Snapshot,

@@ -11,7 +11,7 @@ from tidemark.schema import MANIFEST, MARKER
 _MANIFEST_DOCUMENT = T.StructType([*MANIFEST.fields, T.StructField("document", T.IntegerType())])
 
 
-def _documents(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
+def _documents(spark: SparkSession, location: str | list[str], schema: T.StructType) -> DataFrame:
     """JSON control documents; one that does not parse as this schema fails the read."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(location)
 
@@ -28,5 +28,6 @@ def scan_manifests(spark: SparkSession, root: str, source: str) -> DataFrame:
     )
 
 
-def read_manifest(spark: SparkSession, root: str, manifest_key: str) -> DataFrame:
-    return _documents(spark, f"{root}/{manifest_key}", _MANIFEST_DOCUMENT)
+def read_manifest(spark: SparkSession, root: str, *manifest_keys: str) -> DataFrame:
+    """Documents of one manifest or of several."""
+    return _documents(spark, [f"{root}/{key}" for key in manifest_keys], _MANIFEST_DOCUMENT)
