@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import GateError
+from tidemark.functions.times import DAY_SECONDS
 from tidemark.operators import merge, quality
 from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
 from tidemark.plans.staging_load import slot_of, write_metrics
 from tidemark.session import releases_scratch
 from tidemark.schema import UNIQUE_KEYS, required_columns
-from tidemark.sinks.tables import BUCKETS, Snapshot, TableStore, bucket_of
+from tidemark.sinks.tables import BUCKETS, DAY, Snapshot, TableStore, bucket_of, day_of
 from tidemark.spec import FeedSpec
 
 FACT_KEY = "product_update_key"
+# Event days of a batch that are broadcast at most: one number each.
+DAYS_MOST = 100_000
 
 # Store properties holding the highest keys handed out, so that a load need not look
 # through the whole tables for them.
@@ -43,13 +46,15 @@ def insert_facts(
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
     by_batch: bool = False,
+    days: DataFrame | None = None,
 ) -> tuple[dict[str, list[str]], int, int]:
     """Write the facts a batch adds to a new folder, or to one of each batch.
 
-    ``between`` are the least and greatest event time of the batch. Returns the folders by
+    ``between`` are the least and greatest event time of the batch, ``days`` its event
+    days (see ``known_facts``). Returns the folders by
     batch (or under ""), the number of facts and the highest key handed out so far.
     """
-    known = store.read("fact", snapshot=base)
+    known = known_facts(store, base, spec, between, days)
     events = merge.lookup_surrogates(
         merge.distinct_events(staged, spec), dimension, spec, "inner", staged, hot_rows, small
     )
@@ -66,6 +71,33 @@ def insert_facts(
     return parts, row[0], row[1] or start - 1
 
 
+def event_days(staged: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The days that a batch has events of, written once."""
+    timed = staged.where(F.col(spec.event_time).isNotNull())
+    return materialise(timed.select(day_of(spec.event_time).alias(DAY)).distinct(), "days")
+
+
+def known_facts(
+    store: TableStore, base: Snapshot, spec: FeedSpec, between: tuple[int, int] | None, days: DataFrame | None
+) -> DataFrame:
+    """Stored facts that a batch could hold again.
+
+    The bounds prune folders of days and reach the scan of the rest. Of the days between
+    them only those of the batch are opened: their list is broadcast, and the scan is
+    pruned by it when it starts. A list of more than DAYS_MOST days (some 270 years) is
+    left aside, which changes what is read and nothing else.
+    """
+    facts = store.read("fact", snapshot=base, with_day=True)
+    if between is None:
+        return facts.drop(DAY)
+    first, last = (int(t // DAY_SECONDS) for t in between)
+    inside = F.col(DAY).between(first, last)
+    facts = facts.where(inside & F.col(spec.target_time).between(*between))
+    if days is not None and days.count() <= DAYS_MOST:
+        facts = facts.join(F.broadcast(days.where(inside)), DAY, "left_semi")
+    return facts.drop(DAY)
+
+
 def folders_of(parts: dict[str, list[str]]) -> list[str]:
     return [path for paths in parts.values() for path in paths]
 
@@ -137,18 +169,17 @@ def merge_batch(
 
     bounds = staged.agg(F.min(spec.event_time), F.max(spec.event_time)).first()
     between = None if bounds[0] is None else tuple(bounds)
+    days = event_days(staged, spec) if base.slots.get("fact") else None
     parts, inserted, highest_fact = insert_facts(
-        store, base, staged, written, spec, now, between, hot_rows, small_dimension, label is None
+        store, base, staged, written, spec, now, between, hot_rows, small_dimension, label is None, days
     )
     fresh_facts = store.open("fact", folders_of(parts))
     fact_slots = {}
     for batch, folders in parts.items() if inserted else ():
         slot = slot_of(source, batch) if label is None else label
         fact_slots[slot] = store.joined("fact", [*base.slots.get("fact", {}).get(slot, []), *folders])
-    all_facts = store.read("fact", snapshot=base).unionByName(fresh_facts)
-    if between is not None:
-        # Facts outside the batch's time range cannot match; the scan skips them.
-        all_facts = all_facts.filter(F.col(spec.target_time).between(*between))
+    # Facts outside the batch's days cannot match; the scan skips them.
+    all_facts = known_facts(store, base, spec, between, days).unionByName(fresh_facts)
     rows = quality.enforce(
         quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches)
     )

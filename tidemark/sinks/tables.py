@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import PublishConflict
+from tidemark.functions.times import DAY_SECONDS
 from tidemark.schema import TABLES, empty, relaxed, shaped
 from tidemark.sinks import files
 
@@ -28,13 +29,24 @@ WHOLE = "all"
 BUCKETS = "dimension-buckets"
 
 
+# Tables whose files are partitioned by the day of a column with epoch seconds, so that a
+# load opens the days it has events of and no others.
+DAYS = {"fact": "source_last_modified_t"}
+DAY = "event_day"
+
+
+def day_of(seconds: Column | str) -> Column:
+    """Whole days since the epoch, a number, so that any number of seconds has one."""
+    return F.floor(F.col(seconds) / DAY_SECONDS if isinstance(seconds, str) else seconds / DAY_SECONDS)
+
+
 # So many folders of one level in a slot are joined into one.
 FOLDERS_PER_LEVEL = 16
 
 
 def _level(folder: str) -> int:
-    # table/level-id, or table/level-id/part=value
-    level, mark, _ = folder.split("/")[1].partition("-")
+    # table/level-id or table/load=level-id, and perhaps /part=value
+    level, mark, _ = folder.split("/")[1].removeprefix("load=").partition("-")
     return int(level) if mark else 0
 
 
@@ -64,29 +76,49 @@ class TableStore:
         return Snapshot(int(names[-1].split(".")[0]), content["slots"], content["properties"])
 
     def read(
-        self, table: str, slots: Iterable[str] | None = None, snapshot: Snapshot | None = None
+        self, table: str, slots: Iterable[str] | None = None, snapshot: Snapshot | None = None, with_day: bool = False
     ) -> DataFrame:
-        """A table, or some of its slots, as of a snapshot; empty when never written."""
+        """A table, or some of its slots, as of a snapshot; empty when never written.
+
+        ``with_day`` adds the partition column of a table that is partitioned by day.
+        """
         known = (snapshot or self.snapshot()).slots.get(table, {})
         wanted = known if slots is None else [s for s in slots if s in known]
-        return self.open(table, [path for slot in wanted for path in known[slot]])
+        return self.open(table, [path for slot in wanted for path in known[slot]], with_day)
 
-    def open(self, table: str, paths: list[str]) -> DataFrame:
+    def open(self, table: str, paths: list[str], with_day: bool = False) -> DataFrame:
         schema = self.schemas[table]
-        if not paths:
-            return empty(self.spark, schema)
-        return self.spark.read.schema(relaxed(schema)).parquet(*[f"{self.root}/{p}" for p in paths])
+        by = [T.StructField("load", T.StringType()), T.StructField("part", T.StringType()), T.StructField(DAY, T.LongType())] if table in DAYS else []
+        whole = T.StructType([*schema.fields, *by])
+        if paths:
+            reader = self.spark.read.schema(relaxed(whole))
+            reader = reader.option("basePath", f"{self.root}/{table}") if by else reader
+            rows = reader.parquet(*[f"{self.root}/{p}" for p in paths])
+        else:
+            rows = empty(self.spark, whole)
+        return rows.select(*schema.fieldNames(), *([DAY] if with_day and by else []))
 
     def write(self, table: str, df: DataFrame, level: int = 0) -> str:
         """Write rows to a new folder and return it; nothing is visible yet.
 
         No shuffle is added: scans pack small files together and adaptive execution
-        sizes the output of joins, so files keep a sensible size over many versions.
-        ``level`` is how often rows were rewritten to join folders.
+        sizes the output of joins, so files keep a sensible size over many versions. Only
+        rows partitioned by day are brought together by day first. ``level`` is how often rows were rewritten to join folders.
         """
+        if table in DAYS:
+            return self._write_days(table, df, F.lit("all"), True, level)
         folder = f"{table}/{level}-{uuid.uuid4().hex}"
+        shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def _write_days(self, table: str, df: DataFrame, part: Column, gather: bool, level: int = 0) -> str:
+        """Write rows below the table's folder by load, part and day, in one job."""
         rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()})
-        rows.write.parquet(f"{self.root}/{folder}")
+        rows = rows.withColumns({"part": part, DAY: day_of(DAYS[table])})
+        if gather:
+            rows = rows.hint("rebalance", "part", DAY)
+        folder = f"{table}/load={level}-{uuid.uuid4().hex}"
+        rows.write.partitionBy("part", DAY).parquet(f"{self.root}/{folder}")
         return folder
 
     def joined(self, table: str, folders: list[str]) -> list[str]:
@@ -103,7 +135,8 @@ class TableStore:
                 tail += 1
             if tail < FOLDERS_PER_LEVEL:
                 return folders
-            rows = self.open(table, folders[-tail:]).hint("rebalance")
+            rows = self.open(table, folders[-tail:])
+            rows = rows if table in DAYS else rows.hint("rebalance")
             folders[-tail:] = [self.write(table, rows, level + 1)]
 
     def expire(self, keep: int, unpublished: timedelta = timedelta(days=1)) -> int:
@@ -160,11 +193,14 @@ class TableStore:
         The column stays in the data. ``gather`` brings the rows of a value together, in
         as many partitions as their size asks for.
         """
-        folder = f"{table}/0-{uuid.uuid4().hex}"
-        rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).withColumn("part", F.col(label).cast("string"))
-        if gather:
-            rows = rows.hint("rebalance", "part")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.root}/{folder}")
+        part = F.col(label).cast("string")
+        if table in DAYS:
+            folder = self._write_days(table, df, part, gather)
+        else:
+            folder = f"{table}/0-{uuid.uuid4().hex}"
+            rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).withColumn("part", part)
+            rows = rows.hint("rebalance", "part") if gather else rows
+            rows.write.partitionBy("part").parquet(f"{self.root}/{folder}")
         found = files.names(self.spark, f"{self.root}/{folder}")
         return {n.removeprefix("part="): [f"{folder}/{n}"] for n in found if n.startswith("part=")}
 
