@@ -7,12 +7,13 @@ from datetime import UTC, date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_plans import plan
 from tidemark.errors import GateError, PublishConflict, SchemaError, TidemarkError, WindowError
 from tidemark.functions.times import epoch_of
 from tidemark.plans import raw_load
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import load_mart, merge_batch
-from tidemark.plans.page_load import page_reader, stop_of
+from tidemark.plans.page_load import page_reader, parse_pages, stop_of
 from tidemark.plans.raw_load import Source, load_raw, marker_location
 from tidemark.plans.staging_load import load_staging
 from tidemark.schema import RAW, RAW_COLUMNS, relaxed
@@ -379,17 +380,44 @@ def test_pages_end_to_end(spark, store, root):
     assert {c: n for c, (n, _) in dims(store).items()} == {"a": "a1", "b": "b1"}
     assert (2, epoch_of(hour(0, 4)), "2026-08-02") in facts(store)
     assert watermark(store) == end(1)
+    # Records without a usable time stand next to the attempt, in its commit and as a metric.
+    assert done.raw.rejected == 2
+    found = spark.read.parquet(f"{root}/src/extract_date=*/run_id=*/attempt_id=*/_rejects")
+    assert sorted((r.page_number, r.position, r.code, r.reason, r.source) for r in found.collect()) == [
+        (1, 1, "bad", "string", "src"), (1, 2, "5", "boolean", "src"),
+    ]
+    metric = store.read("dq_metrics").where("pipeline_layer = 'raw'").collect()
+    assert [(m.metric_name, m.metric_value, m.passed) for m in metric] == [("rejected_records", 2, True)]
+    assert commits.scan_markers(spark, root, "src").first().reject_count == 2
+    version = store.snapshot().version
+    again = load_raw(store, root, SOURCE, end(1), reader, page="page_number")
+    assert (again.rejected, again.committed, store.snapshot().version) == (2, False, version)
+
+
+def test_pages_are_parsed_once(spark, monkeypatch):
+    from tidemark.plans import page_load
+
+    monkeypatch.setattr(page_load, "PAGES_PER_RANGE", 2)
+    docs = documents(spark, *[page(n, (f"c{n}", hour(3 - n, 1), "x"), (f"r{n}", "7", "y")) for n in range(1, 8)])
+    scan = page_reader(docs, PRODUCTS)(hour(0, 0), hour(2, 0))
+    for rows, count in ((scan.rows, 2), (scan.rejects, 3)):
+        text = plan(rows)
+        # No JSON below the parsed table, and pages after the stop are not opened.
+        assert "variant" not in text.lower() and "json" not in text.lower()
+        assert "page_range" in text[text.index("PartitionFilters"):].split("]")[0]
+        assert rows.count() == count
+    assert {r.page_number for r in scan.rows.collect()} == {2, 3}
 
 
 def test_declared_count_ends_the_scan(spark):
     docs = documents(spark, page(1, ("a", hour(0, 1), "x"), count=1), page(2, ("b", hour(0, 1), "y"), count=1))
-    stop = stop_of(docs, PRODUCTS, START, None)
+    stop = stop_of(parse_pages(docs, PRODUCTS), PRODUCTS, START, None)
     assert (stop.stop_page, stop.last_page, stop.reason) == (1, 1, "all_seen")
 
 
 def test_empty_page_ends_the_scan(spark):
     docs = documents(spark, page(1, ("a", None, "x")), page(2), page(3, ("b", hour(0, 1), "y")))
-    stop = stop_of(docs, PRODUCTS, START, None)
+    stop = stop_of(parse_pages(docs, PRODUCTS), PRODUCTS, START, None)
     assert (stop.stop_page, stop.last_page, stop.reason) == (2, 1, "empty_page")
 
 

@@ -26,7 +26,7 @@ from tidemark.plans.backfill import backfill_chain
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import merge_batch
 from tidemark.plans.page_load import page_reader
-from tidemark.plans.raw_load import Source, load_raw
+from tidemark.plans.raw_load import REJECT_METRIC, REJECTS, Source, load_raw
 from tidemark.plans.staging_load import load_staging
 from tidemark.session import scratch_path
 from tidemark.sinks.tables import TableStore
@@ -360,12 +360,15 @@ def raw_load(spark, sf_dir):
 
 @query(
     "page_load",
-    f"""WITH {FEED_SQL}
-    SELECT code || '-' || event_id AS code, product_name, last_modified_t FROM feed
-    WHERE last_modified_t IS NOT NULL""",
+    f"""WITH {FEED_SQL},
+    span AS (SELECT epoch(min(CAST(ts AS DATE)) + 10) AS lo, epoch(min(CAST(ts AS DATE)) + 20) AS hi FROM events)
+    SELECT code || '-' || event_id AS code, product_name, last_modified_t FROM feed, span
+    WHERE last_modified_t >= lo AND last_modified_t < hi""",
 )
 def page_load(spark, sf_dir):
-    """The feed as newest-first page documents, loaded from page scan to commit."""
+    """The feed as newest-first page documents with a count, loaded from page scan to
+    commit for ten days in its middle; pages after these days end the scan.
+    """
     store, root, inbox = new_store(spark), scratch_path(spark, "raw-root"), scratch_path(spark, "pages")
     rows = feed(spark, sf_dir).withColumn("code", F.concat_ws("-", "code", "event_id"))
     order = pages.newest_first(FEED.event_time, FEED.tie_break)
@@ -373,15 +376,55 @@ def page_load(spark, sf_dir):
     documents = pages.paginate(rows, order).groupBy("page_number").agg(
         F.array_sort(F.collect_list(record)).alias("products")
     )
+    total = rows.count()
     documents.select(
-        F.to_json(F.struct(F.col("page_number").alias("page"), "products")).alias("value")
+        F.to_json(F.struct(F.col("page_number").alias("page"), F.lit(total).alias("count"), "products")).alias("value")
     ).write.text(inbox)
-    source, _, end = whole_source(spark, sf_dir)
+    _, first, _ = whole_source(spark, sf_dir)
+    source, end = Source("feed", first + timedelta(days=10)), first + timedelta(days=20)
     run = load_raw(store, root, source, end, page_reader(read_pages(spark, inbox), PRODUCTS), "page_number")
     load_staging(store, root, source, run.logical_date)
     return store.read("staging").select("code", "product_name", "last_modified_t")
 
 
+# How each event gives its time: a few as text, as a truth value, as null, or not at all.
+_TIME_KINDS = ((11, "missing"), (13, "string"), (17, "boolean"), (19, "void"))
+_REASON_SQL = "CASE " + " ".join(f"WHEN event_id % {n} = 0 THEN '{kind}'" for n, kind in _TIME_KINDS) + " END"
+
+
+@query(
+    "load_rejects",
+    f"""WITH {FEED_SQL}, kinds AS (SELECT product_name, {_REASON_SQL} AS reason, CAST(max(CAST(ts AS DATE)) OVER () + 1 AS DATE) AS d FROM feed),
+    rejects AS (SELECT 'feed-' || product_name AS source, d AS logical_date, reason, count(*) AS rejects FROM kinds WHERE reason IS NOT NULL GROUP BY ALL)
+    SELECT *, CAST(sum(rejects) OVER (PARTITION BY source) AS BIGINT) AS metric_value FROM rejects""",
+)
+def load_rejects(spark, sf_dir):
+    """Page loads of every event type as a source, with times of wrong types: rejects per
+    source and reason from the tables next to the attempts, and the metric of each load.
+    """
+    store, root, inbox = new_store(spark), scratch_path(spark, "raw-root"), scratch_path(spark, "pages")
+    kinds, end = source_days(spark, sf_dir)
+    event, seconds = F.col("event_id"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string")
+    time = F.lit(None).cast("string")
+    for n, text in reversed([(11, F.lit("")), (13, F.concat(F.lit(', "last_modified_t": "'), seconds, F.lit('"'))),
+                             (17, F.lit(', "last_modified_t": true')), (19, F.lit(', "last_modified_t": null'))]):
+        time = F.when(event % n == 0, text).otherwise(time)
+    time = F.coalesce(time, F.concat(F.lit(', "last_modified_t": '), seconds))
+    record = F.concat(F.lit('{"code": "'), event.cast("string"), F.lit('"'), time, F.lit("}"))
+    # Pages by number alone: any order ends the scan at the last page only.
+    size = 200
+    pages_of = feed(spark, sf_dir).select("product_name", F.floor(event / size).alias("n"), record.alias("record")).groupBy("product_name", "n").agg(
+        F.array_join(F.collect_list("record"), ", ").alias("records")
+    )
+    line = F.concat(F.lit('{"page": '), (F.col("n") + 1).cast("string"), F.lit(', "products": ['), "records", F.lit("]}"))
+    pages_of.select(line.alias("value"), "product_name").write.partitionBy("product_name").text(inbox)
+    for kind, source in kinds:
+        load_raw(store, root, source, end, page_reader(read_pages(spark, f"{inbox}/product_name={kind}"), PRODUCTS), "page_number")
+    found = spark.read.parquet(f"{root}/*/extract_date=*/run_id=*/attempt_id=*/{REJECTS}")
+    metrics = store.read("dq_metrics").where(F.col("metric_name") == REJECT_METRIC).select(F.col("source_name").alias("source"), F.col("batch_date").alias("logical_date"), "metric_value")
+    return found.groupBy("source", "logical_date", "reason").agg(F.count(F.lit(1)).alias("rejects")).join(metrics, ["source", "logical_date"], "left")
+
+
 @query(
     "staging_load",
     f"""WITH {FEED_SQL}

@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +20,27 @@ from tidemark.operators.windows import build_windows, window_filter
 from tidemark.schema import RAW, WATERMARKS, shaped
 from tidemark.session import releases_scratch
 from tidemark.sinks import files, landing
-from tidemark.sinks.tables import TableStore
+from tidemark.sinks.tables import Snapshot, TableStore
 from tidemark.spec import PRODUCTS, FeedSpec
 
 
-# Gives the records of a window, and whether the scan of the source was complete.
-Reader = Callable[[datetime, datetime], tuple[DataFrame, bool]]
+class Scan(NamedTuple):
+    """Records of a window, whether the scan of the source was complete, and its rejects.
+
+    ``rejects`` has one row per record without a usable event time: the key, a ``reason``
+    and any place columns; None for a source that does not account for them.
+    """
+
+    rows: DataFrame
+    complete: bool
+    rejects: DataFrame | None = None
+
+
+# Gives the scan for the bounds of a window.
+Reader = Callable[[datetime, datetime], Scan]
+
+REJECTS = "_rejects"
+REJECT_METRIC = "rejected_records"
 
 
 @dataclass(frozen=True)
@@ -46,6 +62,7 @@ class RawRun:
     committed: bool
     rows: int
     objects: int
+    rejected: int | None = None
 
 
 def run_id_of(source: str, logical_date: date) -> str:
@@ -95,13 +112,32 @@ def recover(store: TableStore, marker: dict) -> None:
         ),
         "watermarks",
     )
+    changes = {}
     if not result.filter("changed").isEmpty():
-        path = store.write("watermarks", result.select(*WATERMARKS.fieldNames()))
-        store.publish(base, {"watermarks": {name: [path]}})
+        changes["watermarks"] = {name: [store.write("watermarks", result.select(*WATERMARKS.fieldNames()))]}
+    if marker.get("reject_count") is not None:
+        changes |= _reject_metric(store, base, marker)
+    if changes:
+        store.publish(base, changes)
+
+
+def _reject_metric(store: TableStore, base: Snapshot, marker: dict) -> dict:
+    """Slot change for the number of rejects of a run, unless it is stored; it never fails a load."""
+    slot = f"raw/{marker['source']}"
+    day = date.fromisoformat(marker["logical_date"])
+    stored = store.read("dq_metrics", [slot], base)
+    fresh = store.spark.createDataFrame(
+        [(marker["source"], "raw", day, REJECT_METRIC, marker["reject_count"], True, None, datetime.now(UTC))], store.schemas["dq_metrics"]
+    )
+    same = stored.join(fresh.select(*quality.METRIC_KEY, "metric_value"), [*quality.METRIC_KEY, "metric_value"], "left_semi")
+    if not same.isEmpty():
+        return {}
+    return {"dq_metrics": {slot: [store.write("dq_metrics", quality.upsert_metrics(stored, fresh))]}}
 
 
 def marker_payload(
-    source: str, logical_date: date, attempt: str, prefix: str, objects: int, rows: int, start_at: datetime, end_at: datetime
+    source: str, logical_date: date, attempt: str, prefix: str, objects: int, rows: int, start_at: datetime, end_at: datetime,
+    rejected: int | None = None,
 ) -> dict:
     """The commit record of an attempt; ``prefix`` is its folder below the raw root."""
     return {
@@ -113,6 +149,7 @@ def marker_payload(
         "manifest_key": f"{prefix}/{identity.MANIFEST_NAME}",
         "object_count": objects,
         "row_count": rows,
+        **({} if rejected is None else {"reject_count": rejected}),
         "extract_start": start_at.isoformat(),
         "extract_end": end_at.isoformat(),
         "next_watermark": end_at.isoformat(),
@@ -129,7 +166,19 @@ def result_of(marker: dict, attempt: str) -> RawRun:
         marker["attempt_id"] == attempt,
         marker["row_count"],
         marker["object_count"],
+        marker.get("reject_count"),
+    )
+
+
+def land_rejects(rejects: DataFrame, folder: str, source: str, logical_date: date) -> int:
+    """Write the rejects next to the attempt's data, in the same pass that counts them."""
+    counted = Observation()
+    (
+        rejects.withColumns({"source": F.lit(source), "logical_date": F.lit(logical_date)})
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.parquet(f"{folder}/{REJECTS}")
     )
+    return counted.get["rows"]
 
 
 @releases_scratch
@@ -148,6 +197,8 @@ def load_raw(
     wrong type is an error before anything is landed), or a function of the window's bounds giving
     it; the window filter is applied here and reaches its scan. With ``page`` the keys
     must be unique inside each page; the column is landed with the data for that check.
+    Rejects of the reader are written next to the data and counted in the commit record
+    and as a metric of the raw layer.
     A scan the reader calls incomplete (page cap reached) is landed but neither
     committed nor counted in the watermark. A run that is committed already is not
     read again.
@@ -168,11 +219,12 @@ def load_raw(
     window = window_of(store, source, end)
     start_at, end_at = window.extract_start.astimezone(UTC), window.extract_end.astimezone(UTC)
     folder = f"{run_folder(raw_root, source.name, label)}/attempt_id={attempt}"
-    rows, complete = (records, True) if isinstance(records, DataFrame) else records(start_at, end_at)
+    rows, complete, rejects = Scan(records, True) if isinstance(records, DataFrame) else Scan(*records(start_at, end_at))
     inside = window_filter(conform.require_types(rows, schema), spec.event_time, start_at, end_at)
     carried = T.StructType([*schema.fields, *([inside.schema[page]] if page else [])])
     inside = shaped(inside, carried)
     written = landing.land_parts(inside, folder, spec.event_time, spec.key)
+    rejected = None if rejects is None else land_rejects(rejects, folder, source.name, label)
     objects = materialise(landing.inventory(spark, folder, raw_root), "objects")
     totals = landing.verify_landing(objects, written)
     if written:
@@ -194,9 +246,9 @@ def load_raw(
     documents = control.build_manifests(described)
     manifest = control.manifest_json(F.lit(started), F.current_timestamp())
     documents.select(manifest.alias("value")).write.text(f"{folder}/{identity.MANIFEST_NAME}")
-    payload = marker_payload(source.name, label, attempt, prefix, totals.objects, totals.rows, start_at, end_at)
+    payload = marker_payload(source.name, label, attempt, prefix, totals.objects, totals.rows, start_at, end_at, rejected)
     if not complete:
-        return RawRun(source.name, label, run["run_id"], attempt, False, totals.rows, totals.objects)
+        return RawRun(source.name, label, run["run_id"], attempt, False, totals.rows, totals.objects, rejected)
     if not files.create_json(spark, marker_path, payload):
         payload = files.read_json(spark, marker_path)
     recover(store, payload)

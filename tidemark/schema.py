@@ -102,6 +102,7 @@ MARKER = _struct(
     ("extract_end", _INSTANT),
     ("next_watermark", _INSTANT),
     ("committed_at", _INSTANT),
+    ("reject_count", _LONG),
 )
 
 TABLES: dict[str, T.StructType] = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.conform import is_number, require_page_shape
+from tidemark.operators.conform import is_number, page_shape, require_page_shape
 
 # Fixed value: the page number in a file name such as page-00012.json.
 PAGE_FILE_PATTERN = r"page-(\d+)"
@@ -43,6 +43,19 @@ def page_records(pages: DataFrame, items: str = "products") -> DataFrame:
     )
 
 
+def page_items(pages: DataFrame, items: str = "products") -> DataFrame:
+    """Page columns with ``problem`` (see ``page_shape``), ``position`` and ``record``.
+
+    Unlike ``page_records`` it keeps a row, without position, for a page without records.
+    """
+    return pages.select(
+        "page_number",
+        "declared_count",
+        page_shape("doc", items).alias("problem"),
+        F.posexplode_outer(F.try_variant_get("doc", f"$.{items}", "array<variant>")).alias("position", "record"),
+    )
+
+
 def page_times(pages: DataFrame, event_time: str, items: str = "products") -> DataFrame:
     """Per page: records returned, newest and oldest usable event time, declared count.
 
