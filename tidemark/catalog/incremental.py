@@ -26,9 +26,11 @@ from tidemark.plans.backfill import backfill_chain
 from tidemark.plans.daily import backfill_mart, load_day
 from tidemark.plans.mart_load import merge_batch
 from tidemark.plans.page_load import page_reader
-from tidemark.plans.raw_load import REJECT_METRIC, REJECTS, Source, load_raw
+from tidemark.plans.raw_load import REJECT_METRIC, REJECTS, Source, load_raw, marker_location, marker_payload
+from tidemark.plans.recovery import recover_all
 from tidemark.plans.staging_load import load_staging
 from tidemark.session import scratch_path
+from tidemark.sinks import files
 from tidemark.sinks.tables import TableStore
 from tidemark.sources import commits, tables
 from tidemark.sources.pages import read_pages
@@ -579,6 +581,43 @@ def metric_keys_unique(spark, sf_dir):
     )
 
 
+@query(
+    "recover_all",
+    f"""WITH {CONTROL_SQL},
+    ends AS (SELECT source, epoch(max(logical_date)) AS t, max(logical_date) AS d FROM winners GROUP BY 1),
+    whole AS (SELECT w.source, max(epoch(logical_date)) FILTER (WHERE logical_date < d) AS t, any_value(e.t) AS top
+              FROM winners w JOIN ends e USING (source) GROUP BY 1),
+    stored AS (SELECT source, CASE WHEN length(source) % 3 = 0 THEN NULL WHEN length(source) % 3 = 1 THEN top + 86400 ELSE top - 20 * 86400 END AS s, t FROM whole)
+    SELECT source AS source_name, CAST(CASE WHEN s IS NULL OR s < t THEN t ELSE s END AS BIGINT) AS watermark_t,
+           coalesce(s IS NULL OR s < t, false) AS moved, (SELECT count(*) FROM ends) AS torn
+    FROM stored WHERE t IS NOT NULL OR s IS NOT NULL""",
+)
+def recover_all_sources(spark, sf_dir):
+    """Markers of all runs, the last one of each source torn, against watermarks that are
+    absent, ahead or behind: every source advances at once to its last whole marker.
+    """
+    store, root = new_store(spark), scratch_path(spark, "raw-root")
+    won = control.winning_attempts(attempts(objects(spark, sf_dir))).select("source", "logical_date", "run_id", "attempt_id", "row_count", "object_count")
+    top = won.groupBy("source").agg(F.max("logical_date").alias("last"))
+    # One small document per source and day.
+    for row in won.join(top, "source").toLocalIterator():
+        end = datetime.combine(row.logical_date, time(), UTC)
+        location = marker_location(root, row.source, row.logical_date)
+        payload = marker_payload(row.source, row.logical_date, row.attempt_id, "-", row.object_count, row.row_count, end - timedelta(days=1), end)
+        files.create_json(spark, location, {"source": row.source} if row.logical_date == row.last else payload)
+    days = F.when(F.length("source") % 3 == 1, F.lit(1)).otherwise(F.lit(-20))
+    behind = top.where(F.length("source") % 3 != 0).select(
+        F.col("source").alias("source_name"), F.date_add("last", days).cast("timestamp").alias("watermark_ts"),
+        F.current_timestamp().alias("updated_at"), F.lit("before").alias("run_id"),
+    )
+    parts = store.write_parts("watermarks", behind, "source_name", gather=False)
+    store.publish(store.snapshot(), {"watermarks": parts})
+    done = recover_all(store, root)
+    return store.read("watermarks").select(
+        "source_name", F.unix_timestamp("watermark_ts").alias("watermark_t"), (F.col("run_id") != "before").alias("moved"), F.lit(done.torn_count).cast("bigint").alias("torn")
+    )
+
+
 def crash_before_advance(store: TableStore) -> None:
     """Put the watermark back to where it was before the latest commit."""
     base = store.snapshot()

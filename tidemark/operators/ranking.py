@@ -13,6 +13,9 @@ from tidemark.spec import FeedSpec
 # monotonically_increasing_id() holds the partition above this bit and the row
 # number inside the partition below it.
 _ROW_BITS = 33
+# Rows that a range is meant to hold, and rows that it may hold at most.
+RANGE_ROWS = 4_000_000
+RANGE_MOST = min(1 << 28, (1 << _ROW_BITS) - 1)
 
 
 def latest_per_key(
@@ -43,13 +46,27 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order``, with their place recorded."""
-    return materialise(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "placed",
-    ).withColumn("_slice", F.shiftright("_place", _ROW_BITS).cast("int"))
+    """Rows range-partitioned and sorted by ``order``, with their place recorded.
+
+    The rows are counted first (on files without reading a column), and the number of
+    ranges follows from that once RANGE_ROWS in each of the session's partitions do not
+    hold them. Bounds are sampled, so a range may come out larger; one that exceeds
+    RANGE_MOST is split by placing the rows again over twice as many ranges.
+    """
+    rows = df.count()
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = None if rows <= RANGE_ROWS * usual else -(-rows // RANGE_ROWS)
+    while True:
+        spread = df.repartitionByRange(*order) if ranges is None else df.repartitionByRange(ranges, *order)
+        placed = materialise(
+            spread.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "placed"
+        ).withColumn("_slice", F.shiftright("_place", _ROW_BITS).cast("int"))
+        largest = placed.groupBy("_slice").count().agg(F.max("count")).first()[0] or 0
+        if largest <= RANGE_MOST:
+            return placed
+        if ranges is not None and ranges >= rows:
+            raise ValueError(f"{largest} rows are equal in their order, of {RANGE_MOST} that one task may number")
+        ranges = min(rows, 2 * (ranges or usual))
 
 
 def with_ordinal(
