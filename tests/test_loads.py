@@ -500,6 +500,8 @@ def test_stream_skips_a_batch_it_has_published(spark, store):
     assert snapshot.properties[APPLIED + "s"] == "0"
     assert list(snapshot.slots["fact"]) == ["src/s"]
     assert dims(store) == {"a": ("first", 1)}
+    counted = {r.metric_name: r.metric_value for r in store.read("dq_metrics").where("pipeline_layer = 'stream'").collect()}
+    assert counted == {"received_rows": 1, "untimed_rows": 0, "late_rows": 0, "new_events": 1, "reread_events": 0}
 
 
 def test_stream_goes_on_from_its_checkpoint(spark, store):
@@ -511,6 +513,11 @@ def test_stream_goes_on_from_its_checkpoint(spark, store):
         start_mart_stream(read_staged(store, inbox), store, PRODUCTS, "src", checkpoint, "s").awaitTermination()
     assert dims(store)["a"] == ("n1", 1)
     assert len(facts(store)) == 4
+    rows = [(0, product("a", hour(0, 1), "known")), (0, product("late", hour(-1, 1))), (0, product("none", None))]
+    staged_rows(spark, rows).select(*columns).write.mode("append").parquet(inbox)
+    start_mart_stream(read_staged(store, inbox), store, PRODUCTS, "src", checkpoint, "s").awaitTermination()
+    counted = {r.metric_name: r.metric_value for r in store.read("dq_metrics").where("pipeline_layer = 'stream'").collect()}
+    assert counted == {"received_rows": 7, "untimed_rows": 1, "late_rows": 1, "new_events": 5, "reread_events": 1}
 
 
 # --- a store that stays small --------------------------------------------------------

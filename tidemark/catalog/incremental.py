@@ -29,13 +29,14 @@ from tidemark.plans.page_load import page_reader
 from tidemark.plans.raw_load import REJECT_METRIC, REJECTS, Source, load_raw, marker_location, marker_payload
 from tidemark.plans.recovery import recover_all
 from tidemark.plans.staging_load import load_staging
+from tidemark.schema import STAGING
 from tidemark.session import scratch_path
 from tidemark.sinks import files
 from tidemark.sinks.tables import TableStore
 from tidemark.sources import commits, tables
 from tidemark.sources.pages import read_pages
 from tidemark.spec import PRODUCTS
-from tidemark.streaming.mart_stream import drop_rereads, read_staged, start_mart_stream
+from tidemark.streaming.mart_stream import ACCOUNT, drop_rereads, read_staged, start_mart_stream
 
 # --- windows and watermarks: every customer with orders is a source -----------------
 
@@ -629,25 +630,58 @@ def crash_before_advance(store: TableStore) -> None:
 
 @query(
     "stream_load",
-    f"""WITH {STAGED_SQL}
-    SELECT code, max(last_modified_t) AS source_last_modified_t,
-           count(DISTINCT last_modified_t) AS updates FROM staged GROUP BY 1""",
+    f"""WITH {STAGED_SQL}, {FACT_COUNTS_SQL.format(rows='staged')}
+    SELECT code, {DIM_SQL}, coalesce(updates, 0) AS updates, first_batch FROM (
+      SELECT *, row_number() OVER (PARTITION BY code ORDER BY last_modified_t DESC NULLS LAST,
+        product_name DESC, brands DESC, nutrition_grades DESC NULLS LAST) AS n FROM staged)
+    LEFT JOIN facts USING (code) WHERE n = 1""",
 )
 def stream_load(spark, sf_dir):
-    """Staged files as a stream, in micro-batches of a few files each, into the mart."""
+    """Staged files as a stream into the mart, then the same files as a second stream
+    without the repeated events.
+    """
     store = new_store(spark)
     inbox = scratch_path(spark, "inbox")
-    rows = staged(spark, sf_dir).withColumn("raw_object_key", F.lit("feed")).withColumn(
-        "loaded_at", F.current_timestamp()
-    )
-    names = [name for name in store.schemas["staging"].fieldNames()]
-    rows.select(*names).hint("rebalance", "batch_date").write.parquet(inbox)
+    stage_files(spark, sf_dir, inbox)
     for turn in ("first", "again"):
         stream = read_staged(store, inbox)
         running = start_mart_stream(
-            drop_rereads(stream, PRODUCTS, "60 days") if turn == "first" else stream,
+            stream if turn == "first" else drop_rereads(stream.where("last_modified_t IS NOT NULL"), PRODUCTS, "60 days"),
             store, PRODUCTS, "feed", scratch_path(spark, f"stream-{turn}"), turn,
         )
         running.awaitTermination()
-    return with_fact_counts(store).select("code", "source_last_modified_t", "updates")
+    return with_fact_counts(store)
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH {STAGED_SQL},
+    events AS (SELECT batch_date, code, last_modified_t FROM staged WHERE last_modified_t IS NOT NULL GROUP BY ALL),
+    firsts AS (SELECT batch_date, count(*) AS n FROM (
+        SELECT min(batch_date) AS batch_date FROM events GROUP BY code, last_modified_t) GROUP BY 1),
+    known AS (SELECT batch_date, count(*) AS n FROM events GROUP BY 1)
+    SELECT batch_date, count(*) AS received_rows,
+           count(*) FILTER (WHERE last_modified_t IS NULL) AS untimed_rows,
+           count(*) FILTER (WHERE last_modified_t < epoch(batch_date) - 86400) AS late_rows,
+           coalesce(any_value(f.n), 0) AS new_events,
+           coalesce(any_value(k.n), 0) - coalesce(any_value(f.n), 0) AS reread_events
+    FROM staged LEFT JOIN firsts f USING (batch_date) LEFT JOIN known k USING (batch_date) GROUP BY 1""",
+)
+def stream_late_rows(spark, sf_dir):
+    """A stream of all batches in two runs; what its metrics say of late and re-read rows."""
+    store = new_store(spark)
+    inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "checkpoint")
+    bounds = staged(spark, sf_dir).agg(F.min("batch_date"), F.max("batch_date")).first()
+    middle = bounds[0] + (bounds[1] - bounds[0]) / 2
+    for part in (F.col("batch_date") <= F.lit(middle), F.col("batch_date") > F.lit(middle)):
+        stage_files(spark, sf_dir, inbox, part)
+        start_mart_stream(read_staged(store, inbox), store, PRODUCTS, "feed", checkpoint, "late").awaitTermination()
+    counted = store.read("dq_metrics").where(F.col("pipeline_layer") == ACCOUNT)
+    return counted.groupBy("batch_date").pivot("metric_name", list(windows.LATE_COUNTS)).agg(F.first("metric_value"))
+
+
+def stage_files(spark, sf_dir, inbox: str, part="true") -> None:
+    """Rows of the staged feed as files of an inbox."""
+    rows = staged(spark, sf_dir).where(part).withColumn("raw_object_key", F.lit("feed")).withColumn("loaded_at", F.current_timestamp())
+    rows.select(*STAGING.fieldNames()).hint("rebalance", "batch_date").write.mode("append").parquet(inbox)
 

@@ -222,6 +222,23 @@ def upsert_metrics(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return stored.join(fresh.select(*METRIC_KEY), list(METRIC_KEY), "left_anti").unionByName(fresh)
 
 
+def account_rows(counts: DataFrame, source: str, layer: str, names: Sequence[str]) -> DataFrame:
+    """Metric rows of counts that are kept for the record: they expect nothing and pass."""
+    rows = metric_rows(counts, source, layer, {name: F.col(name) for name in names})
+    return rows.withColumns({"passed": F.lit(True), "expected_value": F.lit(None).cast("long")})
+
+
+def add_metrics(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored metrics with the values of ``fresh`` added to those of the same key."""
+    kept = stored.unionByName(fresh).groupBy(*METRIC_KEY).agg(
+        F.sum("metric_value").alias("metric_value"),
+        F.bool_and("passed").alias("passed"),
+        F.max("expected_value").alias("expected_value"),
+        F.max("recorded_at").alias("recorded_at"),
+    )
+    return kept.select(*stored.columns)
+
+
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 

@@ -135,6 +135,33 @@ def daily_batches(event_time: Column | str, lookback_seconds: int) -> Column:
     return F.transform(F.sequence(first, last), lambda day: F.date_from_unix_date(day.cast("int")))
 
 
+LATE_COUNTS = ("received_rows", "untimed_rows", "late_rows", "new_events", "reread_events")
+
+
+def late_counts(staged: DataFrame, inserted: DataFrame, spec, batch: str = "batch_date") -> DataFrame:
+    """Per batch of a load: rows received, rows without a time, rows from before the
+    batch's own day, events that became facts (``inserted``) and events that were known.
+    """
+    time = F.col(spec.event_time)
+    day_start = (F.unix_date(F.col(batch)) - 1).cast("long") * DAY_SECONDS
+    # One row per batch, key and time first, so that no batch is counted in one task.
+    per_event = staged.groupBy(batch, spec.key, spec.event_time).agg(F.count(F.lit(1)).alias("_rows"))
+    rows_if = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("_rows"))), F.lit(0))
+    seen = per_event.groupBy(batch).agg(
+        F.sum("_rows").alias("received_rows"),
+        rows_if(time.isNull()).alias("untimed_rows"),
+        rows_if(time < day_start).alias("late_rows"),
+        F.count(time).alias("_events"),
+    )
+    new = inserted.groupBy(batch).agg(F.count(F.lit(1)).alias("new_events"))
+    return (
+        seen.join(new, batch, "left")
+        .withColumn("new_events", F.coalesce("new_events", F.lit(0)))
+        .withColumn("reread_events", F.col("_events") - F.col("new_events"))
+        .drop("_events")
+    )
+
+
 def reread_counts(staged: DataFrame, spec, batch: str = "batch_date") -> DataFrame:
     """Per batch: rows, rows re-read through the lookback, and events never seen in
     an earlier batch.

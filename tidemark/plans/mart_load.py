@@ -13,6 +13,7 @@ from tidemark.functions.times import DAY_SECONDS
 from tidemark.operators import merge, quality
 from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
+from tidemark.operators.windows import LATE_COUNTS, late_counts
 from tidemark.plans.staging_load import slot_of, write_metrics
 from tidemark.session import releases_scratch
 from tidemark.schema import UNIQUE_KEYS, required_columns
@@ -133,13 +134,15 @@ def merge_batch(
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     batches: DataFrame | None = None,
+    account: str | None = None,
 ) -> MartLoad:
     """Bring staged rows into the mart: dimension first, then facts, gate and publish.
 
     Without a ``label`` the rows are of many batches, and the mart, empty or filled, ends
     as if these had been loaded one by one in ascending order: each key's version that
     would be left is merged once, each event counts for its first batch, and the facts of
-    every batch are stored under its own date.
+    every batch are stored under its own date. With ``account`` the counts of
+    ``late_counts`` are added up over loads, as metrics of the layer of that name.
     """
     now = datetime.now(UTC)
     base = store.snapshot()
@@ -185,6 +188,12 @@ def merge_batch(
     )
     check_mart(store, written, fresh_facts, spec)
     metrics = write_metrics(store, base, "mart", source, rows, now)
+    if account is not None:
+        slot = f"{account}/{source}"
+        counted = quality.account_rows(late_counts(staged, fresh_facts, spec), source, account, LATE_COUNTS)
+        counted = counted.withColumn("recorded_at", F.lit(now))
+        added = quality.add_metrics(store.read("dq_metrics", [slot], base), counted)
+        metrics["dq_metrics"][slot] = [store.write("dq_metrics", added)]
     store.publish(
         base,
         {"dimension": dim_slots, "fact": fact_slots, **metrics},

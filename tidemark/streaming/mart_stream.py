@@ -17,6 +17,10 @@ from tidemark.spec import FeedSpec
 POINTERS_KEPT = 20
 EXPIRE_EVERY = 50
 
+# Layer of the metrics that add up what micro-batches held, per batch date: rows, rows
+# without a time, late rows, new events and events read again.
+ACCOUNT = "stream"
+
 # Store property naming the last micro-batch of a stream that was published.
 APPLIED = "stream-applied:"
 
@@ -48,7 +52,9 @@ def start_mart_stream(
     """Merge every micro-batch of staged rows into the mart.
 
     The number of a micro-batch is published with its tables, so one that is delivered
-    again after a failure is recognised and skipped. ``name`` belongs to the checkpoint:
+    again after a failure is recognised and skipped, and its rows are accounted for once:
+    the counts (see ``late_counts``) are published with the tables too. Rows that
+    ``drop_rereads`` dropped before are not among them. ``name`` belongs to the checkpoint:
     a stream started over with a new checkpoint needs a new name.
     """
 
@@ -60,7 +66,7 @@ def start_mart_stream(
             done = int(store.snapshot().properties.get(APPLIED + name, "-1"))
             if batch_id > done and not rows.isEmpty():
                 merge_batch(
-                    store, rows, slot_of(source, name), spec, source, {APPLIED + name: str(batch_id)}
+                    store, rows, slot_of(source, name), spec, source, {APPLIED + name: str(batch_id)}, account=ACCOUNT
                 )
                 if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
                     store.expire(POINTERS_KEPT)
