@@ -7,6 +7,7 @@ from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.test_loads import SOURCE, START, dims, end, facts, hour, product, records, staged_rows, watermark
 from tests.test_plans import plan
@@ -15,13 +16,13 @@ from tidemark.plans import mart_load
 from tidemark.plans.backfill import backfill_chain, backfill_raw, windows_of
 from tidemark.plans.daily import load_day
 from tidemark.plans.mart_load import known_facts, merge_batch
-from tidemark.plans.raw_load import marker_location
+from tidemark.plans.raw_load import Source, marker_location
 from tidemark.plans.staging_load import reload_staging
 from tidemark.session import scratch_path
 from tidemark.sinks import files
 from tidemark.sinks.tables import DAY, TableStore, day_of
 from tidemark.sources import commits
-from tidemark.spec import PRODUCTS
+from tidemark.spec import PRODUCTS, FeedSpec
 
 
 @pytest.fixture
@@ -177,6 +178,26 @@ def _nodes(node):
 def test_days_of_any_second(spark):
     rows = spark.createDataFrame([(-1,), (0,), (86399,), (86400,), (1 << 52,)], "t bigint")
     assert [r[0] for r in rows.select(day_of("t")).collect()] == [-1, 0, 0, 1, (1 << 52) // 86400]
+    assert [r[0] for r in rows.select(day_of("t", 7)).collect()][:4] == [-7, 0, 0, 0]
+
+
+def test_a_feed_of_its_own_with_wide_partitions(spark):
+    spec = FeedSpec("part", "t", ("price",), surrogate="part_key", fact_key="sale_key", fact_days=50)
+    raw = T.StructType([T.StructField("part", T.LongType(), False), T.StructField("t", T.LongType()), T.StructField("price", T.DoubleType())])
+    tables = TableStore(spark, scratch_path(spark, "test-store"), spec, raw)
+    tables.bootstrap()
+    rows = spark.createDataFrame([(p, int(hour(d, 1).timestamp()), float(d)) for p in (1, 2) for d in range(0, 100, 10)], raw)
+    source, root = Source("sales", START, spec=spec, schema=raw), scratch_path(spark, "test-raw")
+    done = load_day(tables, root, source, end(60), rows)
+    assert (done.raw.rows, done.mart.dimension_changed, done.mart.facts_inserted) == (12, 2, 12)
+    done = load_day(tables, root, source, end(100), rows)
+    assert (done.raw.rows, done.mart.dimension_changed, done.mart.facts_inserted) == (8, 2, 8)
+    assert {(r.part, r.part_key, r.price, r.source_t) for r in tables.read("dimension").collect()} == {(p, p, 90.0, int(hour(90, 1).timestamp())) for p in (1, 2)}
+    facts_ = tables.read("fact", with_day=True)
+    assert facts_.columns == ["sale_key", "part_key", "source_t", "batch_date", "loaded_at", DAY]
+    assert facts_.count() == 20 and facts_.select(DAY).distinct().count() == 3
+    again = backfill_chain(tables, root, source, [end(60), end(100)], rows)
+    assert (again.mart.dimension_changed, again.mart.facts_inserted) == (0, 0)
 
 
 def test_facts_keep_their_columns(spark, store):

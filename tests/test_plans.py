@@ -17,7 +17,7 @@ from tidemark.sources import tables
 
 QUERIES, _ = all_queries()
 # Loads only read their result back, so their own plans say nothing.
-LOADS = {"page_load", "load_rejects", "recover_all", "mart_load", "mart_backfill", "chain_backfill", "chain_backfill_batches", "raw_load", "staging_load", "daily_load", "stream_load", "stream_late_rows", "replay_idempotent", "batch_publish"}
+LOADS = {"page_load", "load_rejects", "recover_all", "shipment_load", "mart_load", "mart_backfill", "chain_backfill", "chain_backfill_batches", "raw_load", "staging_load", "daily_load", "stream_load", "stream_late_rows", "replay_idempotent", "batch_publish"}
 
 
 def plan(df) -> str:

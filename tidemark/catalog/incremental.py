@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import UTC, datetime, time, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from tidemark.catalog.feeds import (
     CONTROL_SQL,
     FEED,
     FEED_SQL,
     LOOKBACK,
+    SHIPMENTS,
+    SHIPMENTS_SQL,
     STAGED_SQL,
     attempts,
     feed,
     objects,
+    shipments,
     staged,
     table,
 )
@@ -563,6 +568,44 @@ def multi_source_daily_load(spark, sf_dir):
     return with_fact_counts(store)
 
 
+SHIPMENT_RAW = StructType(
+    [StructField("part_id", LongType(), False), StructField("shipped_t", LongType()), StructField("supplier_id", LongType()),
+     StructField("quantity", DoubleType()), StructField("price", DoubleType()), StructField("order_id", LongType()), StructField("line", IntegerType())]
+)
+SHIPPED = replace(SHIPMENTS, surrogate="part_key", fact_key="shipment_key", fact_days=366)
+
+
+@query(
+    "shipment_load",
+    f"""WITH {SHIPMENTS_SQL},
+    span AS (SELECT CAST(min(l_shipdate) AS DATE) AS lo, CAST(max(l_shipdate) AS DATE) + 1 AS hi FROM lineitem),
+    cut AS (SELECT lo, hi, lo + CAST((hi - lo) // 2 AS INTEGER) AS mid FROM span),
+    loaded AS (SELECT s.* EXCLUDE (batch_date), CASE WHEN shipped_t < epoch(mid) THEN mid ELSE hi END AS batch_date FROM shipments s, cut),
+    facts AS (SELECT part_id, count(*) AS updates, min(batch_date) AS first_batch FROM (
+        SELECT part_id, shipped_t, min(batch_date) AS batch_date FROM loaded GROUP BY 1, 2) GROUP BY 1)
+    SELECT part_id, supplier_id, quantity, price, shipped_t AS source_shipped_t, updates, first_batch FROM (
+      SELECT *, row_number() OVER (PARTITION BY part_id
+        ORDER BY shipped_t DESC, order_id DESC, line DESC, supplier_id DESC, quantity DESC, price DESC) AS n FROM loaded)
+    JOIN facts USING (part_id) WHERE n = 1""",
+)
+def shipment_load(spark, sf_dir):
+    """The second feed, with keys, times, attributes and tables of its own, through raw,
+    staging and mart in two batches.
+    """
+    store = TableStore(spark, scratch_path(spark, "store"), SHIPPED, SHIPMENT_RAW)
+    store.bootstrap()
+    root = scratch_path(spark, "raw-root")
+    first, last = table(spark, sf_dir, "lineitem").agg(F.to_date(F.min("l_shipdate")), F.to_date(F.max("l_shipdate"))).first()
+    start = datetime.combine(first, time(), UTC)
+    source = Source("shipments", start, spec=SHIPPED, schema=SHIPMENT_RAW)
+    days = (last - first).days + 1
+    for end in (start + timedelta(days=days // 2), start + timedelta(days=days)):
+        load_day(store, root, source, end, shipments(spark, sf_dir))
+    facts = store.read("fact").groupBy("part_key").agg(F.count(F.lit(1)).alias("updates"), F.min("batch_date").alias("first_batch"))
+    columns = ["part_id", *SHIPPED.attributes, SHIPPED.target_time, "updates", "first_batch"]
+    return store.read("dimension").join(facts, "part_key").select(*columns)
+
+
 @query(
     "metric_keys_unique",
     f"""WITH {STAGED_SQL}

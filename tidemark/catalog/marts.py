@@ -431,6 +431,26 @@ def dq_metrics(spark, sf_dir):
     return quality.mart_gate(*broken_mart(spark, sf_dir), FEED, "feed")
 
 
+@query(
+    "gate_outcomes",
+    f"""WITH {MART_COUNTS_SQL},
+    staging AS (SELECT batch_date, day(batch_date) % 5 = 0 AS rows_failed,
+                       count(*) FILTER (WHERE nutrition_grades IS NULL) > 0 AS nulls_failed FROM staged GROUP BY 1)
+    SELECT 'feed' AS source_name, 'staging' AS pipeline_layer, batch_date,
+           CAST(rows_failed AS BIGINT) + CAST(nulls_failed AS BIGINT) AS failed_checks,
+           CASE WHEN rows_failed THEN 'row_count' WHEN nulls_failed THEN 'null_code_count' END AS blocked_by FROM staging
+    UNION ALL
+    SELECT 'feed', 'mart', batch_date,
+           CAST(missing_dimension_count > 0 AS BIGINT) + CAST(missing_fact_count > 0 AS BIGINT),
+           CASE WHEN missing_dimension_count > 0 THEN 'missing_dimension_count'
+                WHEN missing_fact_count > 0 THEN 'missing_fact_count' END FROM counts""",
+)
+def gate_outcomes(spark, sf_dir):
+    """Which batches the staging and mart gates block, and by which check."""
+    metrics = staging_gate(spark, sf_dir).unionByName(dq_metrics(spark, sf_dir))
+    return quality.gate_outcomes(metrics)
+
+
 # --- the wider feed ----------------------------------------------------------------
 
 

@@ -202,6 +202,20 @@ def mart_gate(
     )
 
 
+def gate_outcomes(metrics: DataFrame) -> DataFrame:
+    """Per source, layer and batch: failed checks and the one that would be reported.
+
+    The set form of ``enforce``: a batch with a failed check is blocked, whatever its other
+    checks say, and checks are reported in the order of FAILURES, others after them.
+    """
+    order = F.create_map(*[F.lit(x) for name, rank in zip(FAILURES, range(len(FAILURES)), strict=True) for x in (name, rank)])
+    rank = F.coalesce(F.try_element_at(order, F.col("metric_name")), F.lit(len(FAILURES)))
+    failed = F.when(~F.col("passed"), F.struct(rank.alias("rank"), F.col("metric_name").alias("name")))
+    return metrics.groupBy("source_name", "pipeline_layer", "batch_date").agg(
+        F.count_if(~F.col("passed")).alias("failed_checks"), F.min(failed)["name"].alias("blocked_by")
+    )
+
+
 def enforce(metrics: DataFrame) -> list:
     """Metric rows of a passed gate; raises ``GateError`` with them otherwise.
 

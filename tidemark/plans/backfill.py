@@ -19,7 +19,7 @@ from tidemark.operators.windows import assign_windows, build_windows, window_fil
 from tidemark.plans.mart_load import MartLoad, merge_batch
 from tidemark.plans.raw_load import RawRun, Source, marker_location, marker_payload, recover, result_of, run_folder, run_id_of
 from tidemark.plans.staging_load import reload_staging, slot_of
-from tidemark.schema import RAW, shaped
+from tidemark.schema import shaped
 from tidemark.session import releases_scratch, scratch_path
 from tidemark.sinks import files, landing
 from tidemark.sinks.tables import TableStore
@@ -88,10 +88,10 @@ def backfill_raw(
         if bad:
             raise WindowError(f"{source.name}: {bad[0].source_name}: {bad[0].error}")
         inside = window_filter(
-            conform.require_types(records, RAW), spec.event_time, span[0].astimezone(UTC), span[1].astimezone(UTC)
+            conform.require_types(records, source.schema), spec.event_time, span[0].astimezone(UTC), span[1].astimezone(UTC)
         )
         placed = assign_windows(
-            shaped(inside, RAW), windows.select("extract_date", "extract_start", "extract_end"), spec.event_time,
+            shaped(inside, source.schema), windows.select("extract_date", "extract_start", "extract_end"), spec.event_time,
             [spec.key], small=len(open_ends) <= BROADCAST_ROWS,
         ).drop("extract_start", "extract_end").withColumns(
             {"run_id": identity.run_id(F.lit(source.name), F.col("extract_date")), "attempt_id": F.lit(attempt)}

@@ -16,11 +16,10 @@ from tidemark.operators.ranking import latest_per_key, materialise, surrogate_ke
 from tidemark.operators.windows import LATE_COUNTS, late_counts
 from tidemark.plans.staging_load import slot_of, write_metrics
 from tidemark.session import releases_scratch
-from tidemark.schema import UNIQUE_KEYS, required_columns
+from tidemark.schema import required_columns, unique_keys
 from tidemark.sinks.tables import BUCKETS, DAY, Snapshot, TableStore, bucket_of, day_of
 from tidemark.spec import FeedSpec
 
-FACT_KEY = "product_update_key"
 # Event days of a batch that are broadcast at most: one number each.
 DAYS_MOST = 100_000
 
@@ -65,17 +64,17 @@ def insert_facts(
     # of a long lasts for 100,000 loads.
     start = int(base.properties.get(FACT_HIGH, "0")) + 1
     numbered = fresh.withColumn(
-        FACT_KEY, F.monotonically_increasing_id() + F.lit(start)
+        spec.fact_key, F.monotonically_increasing_id() + F.lit(start)
     ).withColumn("loaded_at", F.lit(now))
     parts = store.write_parts("fact", numbered, "batch_date", gather=True) if by_batch else {"": [store.write("fact", numbered)]}
-    row = store.open("fact", folders_of(parts)).agg(F.count(F.lit(1)), F.max(FACT_KEY)).first()
+    row = store.open("fact", folders_of(parts)).agg(F.count(F.lit(1)), F.max(spec.fact_key)).first()
     return parts, row[0], row[1] or start - 1
 
 
 def event_days(staged: DataFrame, spec: FeedSpec) -> DataFrame:
     """The days that a batch has events of, written once."""
     timed = staged.where(F.col(spec.event_time).isNotNull())
-    return materialise(timed.select(day_of(spec.event_time).alias(DAY)).distinct(), "days")
+    return materialise(timed.select(day_of(spec.event_time, spec.fact_days).alias(DAY)).distinct(), "days")
 
 
 def known_facts(
@@ -91,7 +90,8 @@ def known_facts(
     facts = store.read("fact", snapshot=base, with_day=True)
     if between is None:
         return facts.drop(DAY)
-    first, last = (int(t // DAY_SECONDS) for t in between)
+    step = spec.fact_days
+    first, last = (t // (step * DAY_SECONDS) * step for t in between)
     inside = F.col(DAY).between(first, last)
     facts = facts.where(inside & F.col(spec.target_time).between(*between))
     if days is not None and days.count() <= DAYS_MOST:
@@ -117,7 +117,7 @@ def check_mart(store: TableStore, dimension: DataFrame, facts: DataFrame, spec:
     Facts of earlier loads cannot clash with new ones: those were anti-joined.
     """
     for name, rows in (("dimension", dimension), ("fact", facts)):
-        quality.enforce_table(rows, name, UNIQUE_KEYS[name], required_columns(store.schemas[name]))
+        quality.enforce_table(rows, name, unique_keys(spec, name), required_columns(store.schemas[name]))
     lost = merge.orphans(facts, dimension, spec.surrogate).limit(1).collect()
     if lost:
         raise GateError(f"fact: {spec.surrogate} {lost[0][0]} is not in the dimension.")

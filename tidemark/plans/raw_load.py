@@ -51,6 +51,7 @@ class Source:
     initial_watermark: datetime
     lookback: timedelta = timedelta(0)
     spec: FeedSpec = field(default=PRODUCTS)
+    schema: T.StructType = field(default_factory=lambda: RAW)
 
 
 @dataclass(frozen=True)
@@ -189,11 +190,10 @@ def load_raw(
     batch_end: datetime,
     records: DataFrame | Reader,
     page: str | None = None,
-    schema: T.StructType = RAW,
 ) -> RawRun:
     """Land the records of one batch and commit them once.
 
-    ``records`` is the source with the columns of ``schema`` (others are left out; a
+    ``records`` is the source with the columns of its schema (others are left out; a
     wrong type is an error before anything is landed), or a function of the window's bounds giving
     it; the window filter is applied here and reaches its scan. With ``page`` the keys
     must be unique inside each page; the column is landed with the data for that check.
@@ -204,7 +204,7 @@ def load_raw(
     read again.
     """
     spark: SparkSession = store.spark
-    spec = source.spec
+    spec, schema = source.spec, source.schema
     end = times.require_aware(batch_end, "batch_end").replace(hour=0, minute=0, second=0, microsecond=0)
     label = end.date()
     marker_path = marker_location(raw_root, source.name, label)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import TidemarkError
 from tidemark.operators import control, quality
 from tidemark.plans.raw_load import Source, marker_location
-from tidemark.schema import RAW, empty, required_columns
+from tidemark.schema import empty, required_columns
 from tidemark.session import releases_scratch
 from tidemark.sinks import files, staging
 from tidemark.sinks.tables import Snapshot, TableStore
@@ -68,9 +68,9 @@ def reload_staging(store: TableStore, raw_root: str, source: Source, batch_dates
         listed = control.manifest_objects(manifest).select(
             F.col("logical_date").alias("batch_date"), F.col("object_key").alias("raw_object_key")
         )
-        raw = scan_raw(spark, *[f"{raw_root}/{key.rpartition('/')[0]}" for key in keys])
+        raw = scan_raw(spark, *[f"{raw_root}/{key.rpartition('/')[0]}" for key in keys], schema=source.schema)
     else:
-        raw = empty(spark, RAW).withColumn("raw_object_key", F.lit(""))
+        raw = empty(spark, source.schema).withColumn("raw_object_key", F.lit(""))
         listed = spark.createDataFrame([], "batch_date date, raw_object_key string")
     # Of the attempts' folders, the objects that the manifests list, under their date.
     fresh = staging.with_lineage(raw, F.lit(None).cast("date"), now, raw_root).drop("batch_date").join(listed, "raw_object_key")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.spec import FeedSpec
+
 _STRING, _LONG, _DATE = T.StringType(), T.LongType(), T.DateType()
 _INSTANT, _BOOL = T.TimestampType(), T.BooleanType()
 
@@ -122,6 +124,30 @@ UNIQUE_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+def tables_of(spec: FeedSpec, raw: T.StructType) -> dict[str, T.StructType]:
+    """Table schemas of a feed, from the roles of its columns and their types."""
+    fields = {f.name: f for f in raw.fields}
+    key, time = fields[spec.key].dataType, fields[spec.event_time].dataType
+    return {
+        "staging": T.StructType([*raw.fields, *STAGING.fields[len(RAW.fields) :]]),
+        "dimension": _struct(
+            (spec.surrogate, _LONG, False), (spec.key, key, False), *[(n, fields[n].dataType) for n in spec.attributes],
+            (spec.target_time, time), ("created_at", _INSTANT, False), ("updated_at", _INSTANT, False),
+        ),
+        "fact": _struct(
+            (spec.fact_key, _LONG, False), (spec.surrogate, _LONG, False), (spec.target_time, time, False),
+            ("batch_date", _DATE, False), ("loaded_at", _INSTANT, False),
+        ),
+        "watermarks": WATERMARKS,
+        "dq_metrics": DQ_METRICS,
+    }
+
+
+def unique_keys(spec: FeedSpec, table: str) -> tuple[str, ...]:
+    """Columns of a feed's table that must be unique together."""
+    return {"dimension": (spec.key,), "fact": (spec.surrogate, spec.target_time)}.get(table) or UNIQUE_KEYS[table]
+
+
 def required_columns(schema: T.StructType) -> list[str]:
     return [field.name for field in schema.fields if not field.nullable]
 

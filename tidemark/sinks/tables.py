@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from tidemark.errors import PublishConflict
 from tidemark.functions.times import DAY_SECONDS
-from tidemark.schema import TABLES, empty, relaxed, shaped
+from tidemark.schema import RAW, empty, relaxed, shaped, tables_of
 from tidemark.sinks import files
+from tidemark.spec import PRODUCTS, FeedSpec
 
 WHOLE = "all"
 
@@ -29,15 +30,18 @@ WHOLE = "all"
 BUCKETS = "dimension-buckets"
 
 
-# Tables whose files are partitioned by the day of a column with epoch seconds, so that a
-# load opens the days it has events of and no others.
-DAYS = {"fact": "source_last_modified_t"}
+# Tables whose files are partitioned by the day of their event time, so that a load opens
+# the days it has events of and no others.
+DAYS = ("fact",)
 DAY = "event_day"
+# Partition columns, named so that no column of a feed is called the same. Readers skip
+# names with a leading underscore, but for partitions.
+LOAD, PART, BUCKET = "_load", "_part", "_bucket"
 
 
-def day_of(seconds: Column | str) -> Column:
-    """Whole days since the epoch, a number, so that any number of seconds has one."""
-    return F.floor(F.col(seconds) / DAY_SECONDS if isinstance(seconds, str) else seconds / DAY_SECONDS)
+def day_of(seconds: str, days: int = 1) -> Column:
+    """Whole days since the epoch, in steps of ``days``: a number, so that any time has one."""
+    return F.floor(F.col(seconds) / (days * DAY_SECONDS)) * days
 
 
 # So many folders of one level in a slot are joined into one.
@@ -45,8 +49,8 @@ FOLDERS_PER_LEVEL = 16
 
 
 def _level(folder: str) -> int:
-    # table/level-id or table/load=level-id, and perhaps /part=value
-    level, mark, _ = folder.split("/")[1].removeprefix("load=").partition("-")
+    # table/level-id or table/_load=level-id, and perhaps a folder of a part
+    level, mark, _ = folder.split("/")[1].removeprefix(f"{LOAD}=").partition("-")
     return int(level) if mark else 0
 
 
@@ -62,10 +66,13 @@ class Snapshot:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None):
+    """Tables of one feed; of products unless a spec and its raw schema are given."""
+
+    def __init__(self, spark: SparkSession, root: str, spec: FeedSpec = PRODUCTS, raw: T.StructType = RAW):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.schemas = schemas or TABLES
+        self.schemas = tables_of(spec, raw)
+        self.spec = spec
 
     def snapshot(self) -> Snapshot:
         """The latest published state; version 0 before the first publish."""
@@ -88,7 +95,7 @@ class TableStore:
 
     def open(self, table: str, paths: list[str], with_day: bool = False) -> DataFrame:
         schema = self.schemas[table]
-        by = [T.StructField("load", T.StringType()), T.StructField("part", T.StringType()), T.StructField(DAY, T.LongType())] if table in DAYS else []
+        by = [T.StructField(LOAD, T.StringType()), T.StructField(PART, T.StringType()), T.StructField(DAY, T.LongType())] if table in DAYS else []
         whole = T.StructType([*schema.fields, *by])
         if paths:
             reader = self.spark.read.schema(relaxed(whole))
@@ -114,11 +121,11 @@ class TableStore:
     def _write_days(self, table: str, df: DataFrame, part: Column, gather: bool, level: int = 0) -> str:
         """Write rows below the table's folder by load, part and day, in one job."""
         rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()})
-        rows = rows.withColumns({"part": part, DAY: day_of(DAYS[table])})
+        rows = rows.withColumns({PART: part, DAY: day_of(self.spec.target_time, self.spec.fact_days)})
         if gather:
-            rows = rows.hint("rebalance", "part", DAY)
-        folder = f"{table}/load={level}-{uuid.uuid4().hex}"
-        rows.write.partitionBy("part", DAY).parquet(f"{self.root}/{folder}")
+            rows = rows.hint("rebalance", PART, DAY)
+        folder = f"{table}/{LOAD}={level}-{uuid.uuid4().hex}"
+        rows.write.partitionBy(PART, DAY).parquet(f"{self.root}/{folder}")
         return folder
 
     def joined(self, table: str, folders: list[str]) -> list[str]:
@@ -180,12 +187,12 @@ class TableStore:
         where they are, which is right when they were read from bucket folders.
         """
         folder = f"{table}/{uuid.uuid4().hex}"
-        rows = shaped(df, self.schemas[table]).withColumn("bucket", bucket_of(key, buckets))
+        rows = shaped(df, self.schemas[table]).withColumn(BUCKET, bucket_of(key, buckets))
         if gather and buckets > 1:
-            rows = rows.hint("rebalance", "bucket")
-        rows.write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+            rows = rows.hint("rebalance", BUCKET)
+        rows.write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
         found = files.names(self.spark, f"{self.root}/{folder}")
-        return {n.removeprefix("bucket="): [f"{folder}/{n}"] for n in found if n.startswith("bucket=")}
+        return {n.removeprefix(f"{BUCKET}="): [f"{folder}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
 
     def write_parts(self, table: str, df: DataFrame, label: str, gather: bool) -> dict[str, list[str]]:
         """Write rows by the value of column ``label`` in one job; returns the folder of each value.
@@ -198,11 +205,11 @@ class TableStore:
             folder = self._write_days(table, df, part, gather)
         else:
             folder = f"{table}/0-{uuid.uuid4().hex}"
-            rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).withColumn("part", part)
-            rows = rows.hint("rebalance", "part") if gather else rows
-            rows.write.partitionBy("part").parquet(f"{self.root}/{folder}")
+            rows = shaped(df, self.schemas[table], {"loaded_at": F.current_timestamp()}).withColumn(PART, part)
+            rows = rows.hint("rebalance", PART) if gather else rows
+            rows.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
         found = files.names(self.spark, f"{self.root}/{folder}")
-        return {n.removeprefix("part="): [f"{folder}/{n}"] for n in found if n.startswith("part=")}
+        return {n.removeprefix(f"{PART}="): [f"{folder}/{n}"] for n in found if n.startswith(f"{PART}=")}
 
     def publish(
         self,

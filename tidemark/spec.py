@@ -15,6 +15,9 @@ class FeedSpec:
     ``tie_break`` decides between versions of one key with the same event time, so
     that a load gives the same rows every time. With none given the attributes
     themselves decide, which leaves only fully equal rows undecided.
+    ``surrogate`` and ``fact_key`` name the numbers given to keys and to facts.
+    ``fact_days`` is how many days of events share a partition of the facts: 1 where a
+    batch brings a day or two, more for a feed with little data on each of many days.
     """
 
     key: str = "code"
@@ -27,6 +30,8 @@ class FeedSpec:
     )
     tie_break: tuple[str, ...] = ()
     surrogate: str = "product_key"
+    fact_key: str = "product_update_key"
+    fact_days: int = 1
 
     @property
     def target_time(self) -> str:
