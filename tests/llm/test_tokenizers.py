@@ -15,7 +15,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from tidemark.llm import packing, pretoken, token_counts, tokenize
 from tidemark.llm.bytebpe import TokenizerFile
@@ -76,6 +76,33 @@ def test_classes_of_all_code_points(ranks):
     assert encoded(RANKS.encoder(), some) == [ranks.encode_ordinary(t) for t in some]
 
 
+def test_slices_of_all_code_points_are_those_of_the_library():
+    """Three contexts per code point, compared slice by slice, as ids may hide a wrong class."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    split = pre_tokenizers.Split(Regex(public_tokenizers.PATTERN), "isolated")
+    for form in ("a{}b", "1{}2", "!{} {}?"):
+        for start in range(0, len(points), 50_000):
+            text = "\n".join(form.replace("{}", c) for c in points[start : start + 50_000])
+            want = np.array([len(p.encode()) for p, _ in split.pre_tokenize_str(text)])
+            data = np.frombuffer(text.encode(), dtype=np.uint8)
+            got = pretoken.slices(data, np.array([0, len(data)]))[0]
+            assert (got == np.r_[0, np.cumsum(want)[:-1]]).all()
+
+
+def test_ids_of_random_texts_over_all_planes(ranks, merges):
+    rng = random.Random(21)
+    new = [c for first, last in (*pretoken.NEW_LETTERS, *pretoken.NEW_NUMBERS) for c in (first, last)]
+
+    def point() -> str:
+        plane = rng.random()
+        c = rng.choice(new) if plane < 0.2 else rng.randrange(0x3000) if plane < 0.5 else rng.randrange(0x20000) if plane < 0.8 else rng.randrange(0x110000)
+        return chr(c) if not 0xD800 <= c < 0xE000 else " "
+
+    some = ["".join(point() for _ in range(rng.randrange(1, 16))) for _ in range(50_000)]
+    assert encoded(RANKS.encoder(), some) == [ranks.encode_ordinary(t) for t in some]
+    assert encoded(MERGES.encoder(), some) == [e.ids for e in merges.encode_batch(some, add_special_tokens=False)]
+
+
 def test_scan_does_not_depend_on_the_chunk_length(monkeypatch):
     data = "".join(texts(300, 2)).encode()
     raw, offsets = np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)])

@@ -23,6 +23,16 @@ LETTER, NUMBER, OTHER, BLANK, SPACE, QUOTE, END = range(7)
 # Code points with the property White_Space; fixed values.
 WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 
+# Letters and numbers that version 16.0 of the character tables added to 15.1, as (first, last); fixed values.
+NEW_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NEW_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+)
+
 # Symbols. Letters differ by what they may do after an apostrophe.
 S_LETTER, S_SINGLE, S_FIRST, S_NUMBER, S_OTHER, S_QUOTE, S_INNER, S_LAST, S_SPACE = range(9)
 SYMBOLS = 9
@@ -34,13 +44,22 @@ ROWS = 512
 
 @cache
 def classes() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point, by version 16.0 of the character tables, which the libraries have.
+
+    Python's own tables may be of 15.1 or 16.0; with any others slices could differ
+    between workers, which is an error.
+    """
+    if unicodedata.unidata_version not in ("15.1.0", "16.0.0"):
+        raise RuntimeError(f"character tables of version {unicodedata.unidata_version}; 15.1 or 16.0 is needed")
     kinds = np.full(sys.maxunicode + 1, OTHER, dtype=np.uint8)
     major = {"L": LETTER, "N": NUMBER}
     for point in range(sys.maxunicode + 1):
         kind = major.get(unicodedata.category(chr(point))[0])
         if kind is not None:
             kinds[point] = kind
+    for kind, ranges in ((LETTER, NEW_LETTERS), (NUMBER, NEW_NUMBERS)):
+        for first, last in ranges:
+            kinds[first : last + 1] = kind
     kinds[list(WHITE)] = BLANK
     kinds[0x20] = SPACE
     kinds[0x27] = QUOTE
