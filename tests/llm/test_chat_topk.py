@@ -64,6 +64,65 @@ def test_canonical_json():
     assert chat.problems(True, {"type": "integer"}) and not chat.problems(None, {"type": ["null", "string"]})
 
 
+def test_arguments_that_no_worker_may_stumble_over(spark):
+    deep = '{"x":1,"y":' + "[" * 3000 + "]" * 3000 + "}"
+    quoted = '{"x":1,"y":"' + "[" * 3000 + '\\""}'
+    rows = {
+        "deep": deep, "open": '{"x":' * 5000, "quoted": quoted, "lone": '{"x":1,"\\ud800":"\\udfff!"}', "pair": '{"x":1,"y":"\\ud83d\\ude42"}',
+        "power": '{"x":1e99999999999999999999}', "digits": '{"x":1' + "0" * 6000 + "}", "level": '{"x":1,"y":' + "[" * 99 + "]" * 99 + "}",
+    }
+    got = {k: r for (_, k), r in linked(spark, [(1, k, "t", v, None) for k, v in rows.items()]).items()}
+    assert {k: r.problems for k, r in got.items()} == {
+        "deep": ["arguments: more than 100 levels"], "open": ["arguments: more than 100 levels"], "quoted": [], "lone": [], "pair": [],
+        "power": ["arguments: number out of range"], "digits": ["$.x: above 1000"], "level": [],
+    }
+    for name in ("deep", "open", "power"):
+        assert json.loads(got[name].record)["arguments"] == rows[name]
+    for name in ("quoted", "lone", "pair", "level"):
+        assert json.loads(got[name].record)["arguments"] == json.loads(rows[name])
+    assert "🙂" in got["pair"].record and "\\ud800" in got["lone"].record
+    assert json.loads(got["digits"].record, parse_float=Decimal)["arguments"]["x"] == Decimal("1e6000")
+
+
+def test_numbers_keep_all_digits_and_equal_ones_are_written_alike():
+    write = lambda text: chat.canonical(json.loads(text, parse_float=Decimal))
+    assert write("0.1234567890123456789012345678901") != write("0.1234567890123456789012345678902")
+    for group in (["100", "1e2", "100.0", "1.00E+2"], ["0", "-0.0", "0e9"], ["0.000001", "1e-6", "10e-7"], ["1e21", "1" + "0" * 21], ["-12.5", "-125e-1"], ["0.00000012", "1.2e-7"]):
+        assert len({write(g) for g in group}) == 1
+        assert all(Decimal(write(group[0])) == Decimal(g) for g in group)
+
+
+def naive(calls, results):
+    """Steps by recursion over one dictionary, answers by lookup."""
+    known = {(c, i): [b for b in after or [] if b != i] for c, i, _, _, after in calls}
+    answers = {}
+    for c, i, content in results:
+        answers[c, i] = min(answers.get((c, i), content), content)
+
+    def step(c, i, above=()):
+        if i in above:
+            return None
+        before = [step(c, b, (*above, i)) for b in known[c, i] if (c, b) in known]
+        return None if None in before else 1 + max(before, default=-1)
+
+    return {(c, i): (step(c, i), answers.get((c, i))) for c, i in known}
+
+
+def test_random_calls_equal_a_naive_linker(spark):
+    rng = np.random.default_rng(31)
+    calls, results = [], []
+    for conv in range(60):
+        count = int(rng.integers(1, 12))
+        for i in range(count):
+            # Mostly earlier calls, some unknown, a few later ones, which may close cycles.
+            before = [str(b) for b in rng.integers(0, max(i, 1) if rng.random() < 0.9 else count + 2, int(rng.integers(0, 4)))]
+            calls.append((conv, str(i), "t", '{"x":1}', before))
+            results += [(conv, str(i), f"r{rng.integers(9)}") for _ in range(int(rng.integers(0, 3)))]
+    want = naive(calls, results)
+    got = {k: (r.step, json.loads(r.record)["result"]) for k, r in linked(spark, calls, results).items()}
+    assert got == want and any(s is None for s, _ in got.values())
+
+
 def test_query_covers_every_user_turn(spark):
     sf = "/root/testdata/sf0.001"
     got = catalog.QUERIES["op9_chat"](spark, sf).collect()

@@ -6,12 +6,15 @@ form chains, whose ends are found by pointer doubling, in as many rounds as the
 of the longest chain; calls after several are resolved from the chains they join. No
 conversation is gathered in one task. Arguments are checked against the schema of the
 tool and every call is written as canonical JSON: keys in order, no blanks, numbers and
-letters in their plain form.
+letters in their plain form. Numbers keep all their digits; halves of surrogate pairs that
+stand alone, which UTF-8 lacks, stay escaped.
 """
 
 from __future__ import annotations
 
+import decimal
 import json
+import re
 from collections.abc import Iterator
 from decimal import Decimal
 
@@ -25,28 +28,71 @@ _KINDS = {
     "string": str, "boolean": bool, "object": dict, "array": list, "null": type(None),
     "integer": int, "number": (int, float, Decimal),
 }
+# Arguments may be nested so deeply; well inside what every worker's stack holds.
+DEEPEST = 100
+# Integers of more digits are read as decimals, which have no limit of digits.
+_INTEGER_DIGITS = 4000
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.DOTALL)
+_LONE = re.compile("[\ud800-\udfff]")
 
 
 def canonical(value) -> str:
-    """JSON text that is equal for equal values; no number that JSON lacks."""
+    """JSON text that is equal for equal values, and only for these; no number that JSON lacks."""
     if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(str(k), ensure_ascii=False)}:{canonical(v)}" for k, v in sorted(value.items())) + "}"
+        return "{" + ",".join([f"{canonical(k)}:{canonical(value[k])}" for k in sorted(value)]) + "}"
     if isinstance(value, list):
-        return "[" + ",".join(map(canonical, value)) + "]"
-    if isinstance(value, Decimal):
-        plain = value.normalize()
-        if -7 < plain.adjusted() < 21:
-            return format(plain, "f") if plain else "0"
-        return str(plain).replace("E+", "E").replace("E", "e")
-    return json.dumps(value, ensure_ascii=False, allow_nan=False)
+        return "[" + ",".join([canonical(v) for v in value]) + "]"
+    if isinstance(value, (int, Decimal)) and not isinstance(value, bool):
+        return _number(Decimal(value))
+    text = json.dumps(value, ensure_ascii=False, allow_nan=False)
+    return _escaped(text) if isinstance(value, str) else text
+
+
+def _number(value: Decimal) -> str:
+    sign, digits, exponent = value.as_tuple()
+    text = "".join(map(str, digits)).lstrip("0")
+    plain = text.rstrip("0")
+    if not plain:
+        return "0"
+    exponent += len(text) - len(plain)
+    lead = len(plain) - 1 + exponent
+    if not -7 < lead < 21:
+        plain = plain[0] + ("." + plain[1:] if plain[1:] else "") + f"e{lead}"
+    elif exponent >= 0:
+        plain += "0" * exponent
+    elif lead >= 0:
+        plain = plain[: lead + 1] + "." + plain[lead + 1 :]
+    else:
+        plain = "0." + "0" * (-lead - 1) + plain
+    return "-" * sign + plain
+
+
+def _escaped(text: str) -> str:
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def _integer(text: str) -> int | Decimal:
+    return int(text) if len(text) <= _INTEGER_DIGITS else Decimal(text)
+
+
+def _depth(text: str) -> int:
+    """How deeply brackets outside of strings are nested."""
+    deepest = at = 0
+    for mark in re.findall(r"[\[{\]}]", _STRING.sub("", text)):
+        at += 1 if mark in "[{" else -1
+        deepest = max(deepest, at)
+    return deepest
 
 
 def problems(value, schema: dict, at: str = "$") -> list[str]:
     """How a value departs from a schema: type, enum, bounds, properties, items."""
     kinds = schema.get("type")
     if kinds is not None:
+        # An integer of very many digits is held as a decimal without a fraction.
+        whole = isinstance(value, Decimal) and value.as_tuple().exponent == 0
         fits = any(
             isinstance(value, _KINDS[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
+            or k == "integer" and whole
             for k in ([kinds] if isinstance(kinds, str) else kinds)
         )
         if not fits:
@@ -138,8 +184,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     repeat an id the one with the least name and arguments stays, of results the one with
     the least content. Calls without conversation or id, and results without a call, are
     no rows. Unknown ids in ``after`` are a problem and otherwise ignored, as is a call
-    after itself; a null list is empty. Arguments that are null or no JSON object, and
-    tools without a schema, are problems. ``status``: ``cycle``, ``invalid``,
+    after itself; a null list is empty. Arguments that are null or no JSON object, that are
+    nested more than DEEPEST levels deep or hold a number beyond what decimals can hold
+    (exponents of 18 digits), and tools without a schema, are problems; such arguments are
+    kept as the text they came in. ``status``: ``cycle``, ``invalid``,
     ``unanswered``, ``ok``, the first that holds. Empty tables give no rows. Schemas are
     those of the tools on offer, whose number does not grow with the conversations.
     """
@@ -178,17 +226,22 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
 
 
 def _row(row: dict, schemas: dict[str, dict]) -> tuple[str, list[str], str]:
-    found, arguments = [], None
+    found, arguments, text = [], None, row["arguments"] or ""
     try:
-        arguments = json.loads(row["arguments"] or "", parse_float=Decimal, parse_constant=_no_constant)
-        if not isinstance(arguments, dict):
-            found.append("arguments: no object")
-        elif row["name"] not in schemas:
-            found.append("name: no such tool")
+        if _depth(text) > DEEPEST:
+            found.append(f"arguments: more than {DEEPEST} levels")
         else:
-            found += problems(arguments, schemas[row["name"]])
+            arguments = json.loads(text, parse_float=Decimal, parse_int=_integer, parse_constant=_no_constant)
+            if not isinstance(arguments, dict):
+                found.append("arguments: no object")
+            elif row["name"] not in schemas:
+                found.append("name: no such tool")
+            else:
+                found += map(_escaped, problems(arguments, schemas[row["name"]]))
     except ValueError:
         found.append("arguments: no JSON")
+    except decimal.DecimalException:
+        found.append("arguments: number out of range")
     found += [f"after: no call {name}" for name in row["unknown"]]
     if row["selfish"]:
         found.append("after: the call itself")
