@@ -84,6 +84,36 @@ def test_nulls_repeated_rows_and_shared_ids(spark):
     assert jaccard.join_components(frame.limit(0)).count() == 0
 
 
+def test_texts_of_a_shared_id_link_whatever_else_it_has(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = b.replace("b20", "other")
+    rows = [(3, a), (7, a), (7, b), (9, near), (11, c), (12, c), (12, near + " more")]
+    for parts in (1, 4):
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        assert {(r.doc_id, r.component_id) for r in jaccard.join_components(frame).collect()} == {(i, 3) for i, _ in rows}
+
+
+def test_shared_ids_equal_brute_force(spark):
+    rng = random.Random(19)
+    rows = [(rng.randrange(120), text) for _, text in edited(rng, 300)]
+    # Rows of one id are linked: a pair of rows that share an id, or are similar.
+    found = brute([(i, t) for i, (_, t) in enumerate(rows)])
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for row, (size, other) in found.items():
+        if size:
+            low, high = sorted((root(rows[row][0]), root(rows[other][0])))
+            parent[high] = low
+    want = sorted((i, found[n][0], root(i) if found[n][0] else i) for n, (i, _) in enumerate(rows))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert sorted(tuple(r) for r in jaccard.join_components(frame).collect()) == want
+
+
 @pytest.mark.parametrize("boundary", [0, 5, 9])
 def test_small_and_large_meet_at_any_boundary(spark, monkeypatch, boundary):
     monkeypatch.setattr(jaccard, "choose_boundary", lambda sizes: boundary)

@@ -301,10 +301,11 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     # Stored, so that a set that very many documents have can be split in the join.
     first = stored(sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
     members = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).join(first, ["k1", "k2"]).select(F.col("doc_id").alias("doc"), "rep").distinct()
-    # Nodes of one row: their class. Of rows that share an id, the classes become linked.
+    # A document of one class is that class. One whose rows have several is a node of its own,
+    # linked to each: no other id has all its texts, and pairs are checked on a node's texts.
     members = stored(members, "members")
-    shared = members.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    node = stored(shared.select("doc", "rep"), "nodes")
+    one = F.min("rep") == F.max("rep")
+    node = stored(members.groupBy("doc").agg(F.when(one, F.min("rep")).otherwise(F.col("doc")).alias("rep")), "nodes")
 
     kind, place = F.shiftright("c", 32), F.col("c").bitwiseAND((1 << 32) - 1)
     order = [F.when(kind > 0, F.col("n")).otherwise(place), F.xxhash64("doc", F.pmod("key", F.lit(PIVOTS)))]
@@ -317,7 +318,7 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     met = _ordered(scanned.where(_may_link("n", "c", "pivot_n", "pivot_c")), "doc", "pivot")
     pairs = stored(_ordered(_to_nodes(met, node), "a", "b"), "pairs")
     known = _ordered(_to_nodes(_ordered(sure, "doc", "pivot"), node), "a", "b")
-    known = known.unionByName(_ordered(shared, "rep", "other")).unionByName(_ordered(members.join(node.withColumnRenamed("rep", "own"), "doc"), "rep", "own"))
+    known = known.unionByName(_ordered(members.join(node.withColumnRenamed("rep", "own"), "doc"), "rep", "own"))
     edges = stored(known.unionByName(_verified(pairs, docs)), "links")
     label = stored(components(edges), "components")
 
