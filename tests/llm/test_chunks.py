@@ -132,3 +132,12 @@ def test_texts_without_cuts(spark):
     text = " ".join("x" * (1 + i % 3) for i in range(120))
     rows = [(1, "ab " * 70 + "end"), (2, "other ab " + "ab " * 60 + "more"), (3, text), (4, "q " + text + " r"), (5, "y" * 70000 + " " + text[:40] + " z"), (6, "y" * 70000 + " " + text[:40] + " z" * 60), (7, "y" * 70000 + " " + text[:40] + " z" * 60)]
     assert removed_words(spark.createDataFrame(rows, "doc_id bigint, text string"), rows) == repeated_words(rows)
+
+
+def test_columns_of_any_name_stay(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{x} {passage} {x}", "m", i, 2.5, "d") for i, x in enumerate("abc")]
+    kind = "doc_id bigint, text string, `_mark` string, `_spans` bigint, `_Doc` double, `a.b c` string"
+    got = sorted(chunks.dedup(spark.createDataFrame(rows, kind)).collect())
+    assert [tuple(r) for r in got] == [rows[0]] + [(i, f"{x} {x}", "m", i, 2.5, "d") for i, x in ((1, "b"), (2, "c"))]
+    assert got[0].__fields__ == ["doc_id", "text", "_mark", "_spans", "_Doc", "a.b c"]

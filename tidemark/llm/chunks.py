@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.llm.joins import BROADCAST_ROWS, narrow_join, stored
 from tidemark.llm.ragged import pieces, slice_hashes
@@ -221,6 +222,9 @@ def grown(own: np.ndarray, other: np.ndarray, stretches: list[tuple[int, int]])
             # Begin and end between words of both texts.
             while left < start and not (blank(raw, left - 1) and blank(hay, left - 1 + move)) and not blank(raw, left):
                 left += 1
+            # Blanks before the passage stay, unless the text begins with them: they part what is left.
+            while 0 < left < start and blank(raw, left):
+                left += 1
             while right > end and not (blank(raw, right) and blank(hay, right + move)) and not blank(raw, right - 1):
                 right -= 1
             covered = int(np.searchsorted(ends, right, side="right"))
@@ -307,22 +311,34 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:-1])
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    marked = docs.withColumn("_mark", F.crc32(F.col("text").cast("binary")))
-    held = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_m"), F.col("spans").alias("_spans"))
+def _free(name: str, columns: list[str]) -> str:
+    """The name, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> tuple[DataFrame, str]:
+    """All columns of the documents and the spans of each, under a name that no column has."""
+    doc, mark, name = (_free(n, docs.columns) for n in ("_doc", "_mark", "_spans"))
+    held = spans.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("spans").alias(name))
     total = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
-    on = (marked["doc_id"] == held["_doc"]) & (marked["_mark"] == held["_m"])
-    return marked.join(F.broadcast(held) if total <= BROADCAST_ROWS else held, on, how)
+    on = (F.col("doc_id") == F.col(doc)) & (F.crc32(F.col("text").cast("binary")) == F.col(mark))
+    return docs.join(F.broadcast(held) if total <= BROADCAST_ROWS else held, on, how).drop(doc, mark), name
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents, all columns and rows, with repeated passages cut out of ``text``.
 
     ``n_chars``, where there is such a column, becomes the length of the text left. A text
-    that is all repeated becomes empty, not null.
+    that is all repeated becomes empty, not null. Other columns may have any names.
     """
-    joined = _with_spans(docs, repeated_passages(docs), "left").select(*[docs[c] for c in docs.columns], "_spans")
-    out = joined.mapInArrow(_cut, docs.schema)
+    # Plain names on the way through Python, which takes no name with a dot.
+    names = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    kind = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema, strict=True)])
+    joined = _with_spans(docs, repeated_passages(docs), "left")[0].toDF(*names, "spans")
+    out = joined.mapInArrow(_cut, kind).toDF(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
@@ -332,11 +348,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     ``removed`` has (start, size) in bytes, ``kept_in`` the documents that keep a copy.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    joined = _with_spans(plain, repeated_passages(plain), "inner").select("doc_id", "text", "_spans")
-    removed = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size"))))
+    joined, name = _with_spans(plain, repeated_passages(plain), "inner")
+    removed = F.array_sort(F.transform(name, lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size"))))
     rows = joined.select(
-        "doc_id", F.array_sort(F.array_distinct(F.col("_spans.keeper"))).alias("kept_in"), removed.alias("removed"),
-        F.col("text"), "_spans",
+        "doc_id", F.array_sort(F.array_distinct(F.col(f"{name}.keeper"))).alias("kept_in"), removed.alias("removed"),
+        F.col("text"), name,
     )
     kind = "doc_id bigint, kept_in array<bigint>, removed array<struct<start:bigint,size:bigint>>, text string"
     return rows.mapInArrow(_cut, kind)
