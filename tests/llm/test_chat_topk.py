@@ -176,6 +176,31 @@ def test_few_and_huge_and_uneven_vectors(spark):
     assert topk.top_k(vectors(spark, rows[1:3]), F.col("id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("lists", [1, 2, 3])
+def test_components_and_products_beyond_a_long(spark, lists):
+    rng = np.random.default_rng(70 + lists)
+    size = [1.0, 1e5, 1e9, 8e12]
+    rows = [(i, [float(size[rng.integers(4)] * s) for s in rng.choice([-1.0, 0.0, 0.5, 1.0], 6)], 1) for i in range(160)]
+    rows = [(i, [float(np.float32(x)) for x in v], s) for i, v, s in rows]
+    extra = [(200, [1e30] + [0.0] * 5, 1), (201, [0.0] * 5 + [-3e38], 1)]
+    kept = {i: [int(np.floor(1024 * x)) for x in v] for i, v, _ in rows}
+    want = []
+    for q in [i for i in kept if i % 10 == 0]:
+        scored = [(-sum(x * y for x, y in zip(kept[q], v, strict=True)), i) for i, v in kept.items() if i != q]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(x for x in scored if abs(x[0]) < 1 << 63)[:10])]
+    got = topk.top_k(vectors(spark, rows + extra).repartition(3), F.col("id") % 10 == 0, lists=lists).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_blocks_by_bytes_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BYTES_AT_ONCE", 400)
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 5)], 1) for i in range(150)]
+    got = topk.top_k(vectors(spark, rows).repartition(2), F.col("id") % 10 == 0).collect()
+    assert sorted(map(tuple, got)) == best(rows)
+
+
 def test_top_k_query_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
     count, problem = compare(catalog.QUERIES["op10_topk"](spark, sf), connect(sf), catalog.ORACLES["op10_topk"])

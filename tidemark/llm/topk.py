@@ -11,6 +11,9 @@ vectors themselves.
 
 Queries travel in blocks of bounded size to the tasks that hold the vectors; further
 blocks are further passes.
+
+Parts and totals are exact at any size: a part beyond a long is sent as the largest long
+of its sign, which only says that the pair has to be resolved from the vectors.
 """
 
 from __future__ import annotations
@@ -28,17 +31,20 @@ SCALE = 1024
 LISTS = 2
 QUERY_BLOCK = 1024
 # Query blocks that are sent to all tasks in one pass: at most this many, of QUERY_BLOCK vectors each.
+# They are fewer where vectors are so wide that these would be over BYTES_AT_ONCE.
 BLOCKS_AT_ONCE = 16
+BYTES_AT_ONCE = 64 << 20
 _EXACT = 2.0**53
+_LIMIT = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """Integer vectors; rows without one, or with a component that is no finite number, go.
+    """Integer vectors; rows without one, or with a component that is no number below 2^53 / SCALE, go.
 
     Rows that repeat both id and vector count once.
     """
     value = F.col(vector)
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < _EXACT / SCALE)
     return (
         vectors.where(value.isNotNull() & F.forall(value, finite) & F.col(key).isNotNull())
         .select(
@@ -66,8 +72,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
     if bound < _EXACT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    # Beyond a long only where a query meets itself, which is no result.
-    return np.clip(a.astype(object) @ b.astype(object).T, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return np.clip(a.astype(object) @ b.astype(object).T, -_LIMIT, _LIMIT).astype(np.int64)
 
 
 def _query_blocks(queries: DataFrame, width: int, path: str) -> None:
@@ -86,7 +91,7 @@ def _query_blocks(queries: DataFrame, width: int, path: str) -> None:
     blocks.withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
 
 
-_NO_CUTOFF = np.int64(-(1 << 62))
+_NO_CUTOFF = np.int64(-(1 << 63))
 
 
 def _scan(vectors: DataFrame, path: str, width: int, lists: int, k: int, phase: int) -> DataFrame:
@@ -114,18 +119,20 @@ def _scan(vectors: DataFrame, path: str, width: int, lists: int, k: int, phase:
                 if phase == 1:
                     for j, scores in enumerate(parts):
                         scores = np.where(apart, scores, _NO_CUTOFF)
-                        top = np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k]
+                        top = np.argpartition(~scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k]
                         value = np.take_along_axis(scores, top, axis=1)
                         for i, query in enumerate(own.tolist()):
                             found, score = there[top[i]], value[i]
                             if (query, j) in best:
                                 found, score = (np.concatenate(x) for x in zip(best[query, j], (found, score), strict=True))
-                                keep = np.argsort(-score, kind="stable")[:k]
+                                keep = np.argsort(~score, kind="stable")[:k]
                                 found, score = found[keep], score[keep]
                             best[query, j] = found, score
                     continue
                 reach = np.zeros(apart.shape, dtype=bool)
-                sent = [apart & ((cutoff[:, None] == _NO_CUTOFF) | (scores * lists >= cutoff[:, None])) for scores in parts]
+                # What reaches cutoff / lists, rounded up, or is beyond a long.
+                least = -(-cutoff[:, None] // lists)
+                sent = [apart & ((cutoff[:, None] == _NO_CUTOFF) | (scores >= least) | (scores == -_LIMIT)) for scores in parts]
                 for mask in sent:
                     reach |= mask
                 i, at = np.nonzero(reach)
@@ -144,9 +151,10 @@ def _scan(vectors: DataFrame, path: str, width: int, lists: int, k: int, phase:
     blocks = spark.read.parquet(path)
     numbers = sorted(r["block"] for r in blocks.select("block").collect())
     out = None
-    for start in range(0, max(len(numbers), 1), BLOCKS_AT_ONCE):
-        some = blocks.where(F.col("block").isin(numbers[start : start + BLOCKS_AT_ONCE])) if numbers else blocks
-        # Bounded by BLOCKS_AT_ONCE blocks; the stated queries meet all rows block by block.
+    step = max(1, min(BLOCKS_AT_ONCE, BYTES_AT_ONCE // (8 * QUERY_BLOCK * max(width, 1))))
+    for start in range(0, max(len(numbers), 1), step):
+        some = blocks.where(F.col("block").isin(numbers[start : start + step])) if numbers else blocks
+        # Bounded in blocks and bytes; the stated queries meet all rows block by block.
         met = packed.withColumn("all", F.lit(0)).join(F.broadcast(some.withColumn("all", F.lit(0))), "all")
         part = met.select("ids", "matrix", "cutoff", "items").mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
@@ -163,17 +171,25 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exact(pairs: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """Totals of (query, id) pairs from the vectors, over the components both have."""
+    """Totals of (query, id) pairs from the vectors, over the components both have.
+
+    In longs while these hold every sum, else in decimals; null where no long holds the total.
+    """
     shared = F.least(F.size("v"), F.size("qv"))
-    total = F.aggregate(
-        F.zip_with(F.slice("v", F.lit(1), shared), F.slice("qv", F.lit(1), shared), lambda a, b: a * b), F.lit(0).cast("bigint"), lambda s, x: s + x
+    both = F.slice("v", F.lit(1), shared), F.slice("qv", F.lit(1), shared)
+    total = F.aggregate(F.zip_with(*both, F.try_multiply), F.lit(0).cast("bigint"), F.try_add)
+    wide = F.aggregate(
+        F.zip_with(*both, lambda a, b: (a.cast("decimal(17,0)") * b.cast("decimal(17,0)")).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"),
+        lambda s, x: (s + x).cast("decimal(38,0)"),
     )
     near = queries.select(F.col("id").alias("query"), F.col("v").alias("qv"))
-    return pairs.join(vectors, "id").join(near, "query").select("query", "id", total.alias("total"))
+    fits = F.when(F.abs(wide) <= F.lit(_LIMIT), wide.cast("bigint"))
+    return pairs.join(vectors, "id").join(near, "query").select("query", "id", F.coalesce(total, fits).alias("total"))
 
 
 def _kth(totals: DataFrame, k: int) -> DataFrame:
     """The k-th best total per query, for queries that have so many."""
+    totals = totals.where("total IS NOT NULL")
     order = Window.partitionBy("query").orderBy(F.desc("total"), "id")
     return totals.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select("query", F.col("total").alias("cutoff"))
 
@@ -181,11 +197,11 @@ def _kth(totals: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", lists: int = LISTS) -> DataFrame:
     """The k best other vectors of every query: query_id, rank, vec_id, score.
 
-    Vectors are null-free and finite or take no part; ties go to the smaller id. A query
-    is not its own result; rows that repeat id and vector count once. Vectors of unequal
-    length meet on the components both have; an inner product has to fit a long. Queries
-    with fewer others return all of
-    them; an empty table returns no row.
+    Vectors are null-free and finite, with components below 2^53 / SCALE in size (8.8e12),
+    or take no part; ties go to the smaller id. A query is not its own result; rows that
+    repeat id and vector count once. Vectors of unequal length meet on the components both
+    have. A pair whose inner product is 2^63 or more in size, which no long holds, is no
+    result. Queries with fewer others return all of them; an empty table returns no row.
     """
     spark = vectors.sparkSession
     home = scratch_path(spark, "topk")
@@ -215,22 +231,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
     _scan(points, f"{home}/blocks2", width, lists, k, 2).write.parquet(f"{home}/second")
     second = spark.read.parquet(f"{home}/second")
     parts = [F.col(f"p{j}") for j in range(lists)]
-    whole = parts[0].isNotNull()
-    known = F.coalesce(parts[0], F.lit(0))
+    whole, known, beyond = parts[0].isNotNull(), F.coalesce(parts[0], F.lit(0)), F.abs(F.coalesce(parts[0], F.lit(0))) == _LIMIT
     missing = parts[0].isNull().cast("int")
     for p in parts[1:]:
-        whole, known, missing = whole & p.isNotNull(), known + F.coalesce(p, F.lit(0)), missing + p.isNull().cast("int")
-    complete = second.where(whole).select("query", "id", known.alias("total"))
+        sent = F.coalesce(p, F.lit(0))
+        whole, known, beyond, missing = whole & p.isNotNull(), F.try_add(known, sent), beyond | (F.abs(sent) == _LIMIT), missing + p.isNull().cast("int")
+    # Sums that pass the limits of a long on the way are resolved from the vectors too.
+    beyond = beyond | known.isNull()
+    complete = second.where(whole & ~beyond).select("query", "id", known.alias("total"))
     better = _kth(first.unionByName(complete).distinct(), k).withColumnRenamed("cutoff", "better")
+    exactly = lambda x: F.col(x).cast("decimal(20,0)")
     rest = (
-        second.where(~whole).withColumn("known", known).withColumn("missing", missing)
+        second.where(~whole | beyond).withColumn("known", known).withColumn("missing", missing).withColumn("beyond", beyond)
         .join(cut, "query", "left").join(better, "query", "left")
         # A missing part is below cutoff / lists.
-        .where(F.col("better").isNull() | F.col("cutoff").isNull()
-               | (F.col("known") * lists + F.col("missing") * F.col("cutoff") >= F.col("better") * lists))
+        .where(F.col("beyond") | F.col("better").isNull() | F.col("cutoff").isNull()
+               | (exactly("known") * lists + exactly("cutoff") * F.col("missing") >= exactly("better") * lists))
         .select("query", "id").join(first, ["query", "id"], "left_anti")
     )
-    totals = first.unionByName(complete).unionByName(_exact(rest, points, queries)).distinct()
+    totals = first.unionByName(complete).unionByName(_exact(rest, points, queries)).where("total IS NOT NULL").distinct()
     order = Window.partitionBy("query").orderBy(F.desc("total"), "id")
     return (
         totals.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
