@@ -1,13 +1,14 @@
 """Toxicity of documents: a recurrent network over all overlapping windows of every text.
 
-The network (`gru`) is fitted on the driver, on windows of a bounded sample of labelled
-documents; SAMPLE and WINDOWS bound it. A second part of that sample, scored whole, fits
+The network (`gru`) is fitted by one task, on windows of a bounded sample of labelled
+documents; SAMPLE and WINDOWS bound it, and the driver gets the fitted network only. A second part of that sample, scored whole, fits
 how the scores of all windows of a document make its score: by the best window, the
 share of windows over the line, and their number. Every text is scored whole.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -74,6 +75,16 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.string()), strict=True)], ["doc", "label", "text"])
 
 
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The network of all windows (doc, label, text), in whatever order they come; none if they lack a label."""
+    seen = sorted(row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in (0, 2, 1)), strict=True))
+    labels = np.array([s[2] for s in seen])
+    if len(set(labels.tolist())) == 2:
+        mixed = np.random.default_rng(5).permutation(len(seen))
+        network = gru.train([seen[i][1] for i in mixed], labels[mixed], np.array([s[0] for s in seen])[mixed])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> Model | None:
     """A model from labels that are not held out; none if these lack a label.
 
@@ -88,12 +99,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     # At most 2 * SAMPLE rows.
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc")
     windows = rows.where("teach").select("doc", "label", "text").mapInArrow(_sample_windows, "doc bigint, label int, text string")
-    seen = sorted((r["doc"], r["text"], r["label"]) for r in windows.collect())
-    labels_seen = np.array([s[2] for s in seen])
-    if len(set(labels_seen.tolist())) < 2:
+    # One task: the sample is bounded, and a lost executor only repeats it.
+    fitted = windows.repartition(1).mapInArrow(_train, "network binary").collect()
+    if not fitted:
         return None
-    mixed = np.random.default_rng(5).permutation(len(seen))
-    network = gru.train([seen[i][1] for i in mixed], labels_seen[mixed], np.array([s[0] for s in seen])[mixed])
+    network = pickle.loads(fitted[0]["network"])
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,6 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
                 yield pa.RecordBatch.from_arrays([part.column(1), *(pa.array(c) for c in features(shared.value, data, offsets).T)], ["label", "f0", "f1", "f2"])
 
     scored = rows.where("NOT teach").select("doc", "label", "text").mapInArrow(run, "label int, f0 double, f1 double, f2 double").collect()
+    shared.destroy()
     points = sorted((r["f0"], r["f1"], r["f2"], r["label"]) for r in scored)
     if len({p[3] for p in points}) < 2:
         return Model(network, (0.0, 1.0, 0.0, 0.0))
