@@ -2,7 +2,7 @@
 
 A passage is repeated where every window of LEAST_WORDS words in it, compared byte by
 byte, stands in a document with a smaller id. Windows are found in two steps. Texts are
-cut into chunks where a gear hash of the bytes before a word says so, some five words on
+cut into chunks where a gear hash of the bytes before a word says so, some ten words on
 average, so equal windows are cut alike but for their ends. Chunks meet by digest; only
 windows all of whose inner chunks are in several documents can be repeated. The digests
 of these windows meet next. They are keys that no shorter repeat can divert: whichever
@@ -11,8 +11,11 @@ up in that document's text and grown, word by word, to the whole passage both ha
 copy always stays, in the document with the smallest id, and copies within one document
 are left alone.
 
-Digests are aggregated to their smallest and largest document before they are joined to
-their occurrences, so one that very many documents share is one row on one side of a join.
+Digests are aggregated to their smallest and largest document and stored before they are
+joined to their occurrences, so one that very many documents share is one row on one side
+of a join, whose other side is split at run time. Chunks of ten words make the fewest keys:
+shorter ones are more and are shared by chance, with longer ones more windows have no inner
+chunk and need a key of their own.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from tidemark.llm.joins import BROADCAST_ROWS, narrow_join, stored
 from tidemark.llm.ragged import pieces, slice_hashes
 from tidemark.llm.words import BLANKS, word_places
 
-MEAN_WORDS = 5
+MEAN_WORDS = 10
 GEAR_WINDOW = 16
 LEAST_WORDS = 50
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -249,8 +252,12 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _several(keys: DataFrame) -> DataFrame:
-    """Digests that several documents have, with the smallest of these."""
-    return keys.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).where("keeper < last").select("digest", "keeper")
+    """Digests that several documents have, with the smallest of these, as a stored table.
+
+    Straight from the aggregate the join would take over its partitions, which are not split.
+    """
+    found = keys.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
+    return stored(found.where("keeper < last").select("digest", "keeper"), "shared")
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
