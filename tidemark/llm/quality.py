@@ -2,11 +2,15 @@
 
 Documents of one language and source make a group; those of a group with too few usable
 documents are judged by the estimate of all documents of their language, and if these are
-too few as well, of all documents. A group's centre and covariance are its
-minimum-covariance-determinant estimate: from medians and median deviations, steps each
-keep the three quarters of the documents with the least Mahalanobis distance and
-estimate anew from these; at last all documents within the usual distance count once
-more. Documents beyond a fixed distance are rejected. All documents take part: quantiles
+too few as well, of all documents. Every statistic is a rate; its deviation from the median
+of the whole table is divided by the pooled robust spread and the noise of counting, as a
+rate of few words or lines varies by chance. So a unit is what chance explains, in short
+texts and long, and no variance counts below one unit. A group's centre and covariance are
+its minimum-covariance-determinant estimate: from three starts, steps each keep the three
+quarters of the documents with the least Mahalanobis distance and estimate anew from
+these; the start that came to the least determinant is taken, and all documents within the
+usual distance count once more. Documents beyond a quantile of the chi-square law are
+rejected. All documents take part: quantiles
 and moments are aggregates that combine before their shuffle, so a group may hold any
 share of the rows.
 """
@@ -33,11 +37,16 @@ MOST_REPEATED = 30
 SUPPORT = 0.75
 STEPS = 3
 LEAST_ROWS = 100
-# The transformed statistics, and the least standard deviation that counts in each.
-FLOORS = {"word_length": 0.10, "symbols": 0.05, "dup_lines": 0.20, "repeats": 0.16, "capitals": 0.06, "marks": 0.08}
-CUTOFF = 4.6
+# The transformed statistics, and what counts as one draw of each: so many words or lines.
+# Characters of a word go together, and a repeat covers two windows at least.
+DRAWS = {
+    "word_length": ("n_words", 1), "symbols": ("n_words", 1), "dup_lines": ("n_lines", 1),
+    "repeats": ("n_words", 2 * WINDOW), "capitals": ("n_words", 1), "marks": ("n_words", 1),
+}
+# The share of documents, were they spread normally, that stays.
+CONFIDENCE = 0.999
 ACCURACY = 2000
-# Groups whose estimates are sent to all tasks: some 600 bytes each, 30 MB at most.
+# Estimates that are sent to all tasks: some 600 bytes each, 30 MB at most.
 BROADCAST_GROUPS = 50_000
 SALTS = 64
 
@@ -98,7 +107,10 @@ def _lines(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[
 
 
 def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Counts and transformed vector ``x`` of every row, with its language and source."""
+    """Counts, transformed vector ``x`` and its ``noise`` of every row, with its language and source.
+
+    The square root of a rate of n draws has a variance of about 1 / 4n by chance.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +133,20 @@ def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: s
         F.sqrt(rate("n_marks", "word_chars")),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return counted.withColumn("x", vector).withColumn("base_failed", failed)
+    noise = F.array(*[F.lit(size / 4) / F.greatest(F.col(count), F.lit(1)) for count, size in DRAWS.values()])
+    return counted.withColumn("x", vector).withColumn("noise", noise).withColumn("base_failed", failed)
+
+
+def _middle(value: Column) -> Column:
+    return F.percentile_approx(value, 0.5, ACCURACY)
+
+
+def in_units(rows: DataFrame) -> DataFrame:
+    """Turns ``x`` into deviations from the median of all usable rows, in units of spread and noise."""
+    size, usable = len(DRAWS), rows.where(~F.col("base_failed"))
+    centre = [v or 0.0 for v in usable.agg(*[_middle(F.col("x")[i]) for i in range(size)]).first()]
+    spread = [1.4826 * (v or 0.0) for v in usable.agg(*[_middle(F.abs(F.col("x")[i] - centre[i])) for i in range(size)]).first()]
+    return rows.withColumn("x", F.array(*[(F.col("x")[i] - centre[i]) / F.sqrt(F.col("noise")[i] + spread[i] ** 2) for i in range(size)])).drop("noise")
 
 
 def chi_square(probability: float, degrees: int) -> float:
@@ -153,13 +178,13 @@ def _with_groups(rows: DataFrame) -> DataFrame:
     return _join_groups(rows, names, "pair").drop("pair", "own")
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """Left join of rows to one row per group: sent to all tasks if few, else by salted key."""
+def _join_groups(rows: DataFrame, groups: DataFrame, *key: str) -> DataFrame:
+    """Left join of rows to the few rows of their group: sent to all tasks if few, else by salted key."""
     if groups.count() <= BROADCAST_GROUPS:
-        return rows.join(F.broadcast(groups), key, "left")
+        return rows.join(F.broadcast(groups), [*key], "left")
     salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, [key, "salt"], "left").drop("salt")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "x"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [*key, "salt"], "left").drop("salt")
 
 
 def _distance(size: int) -> Column:
@@ -173,11 +198,11 @@ def _distance(size: int) -> Column:
 
 
 def _moments(rows: DataFrame, size: int) -> DataFrame:
-    """New centre and inverse covariance of each group, from the rows given."""
+    """New centre, inverse covariance and logarithm of its determinant of each group and start."""
     off = [F.col("x")[i] - F.col("m")[i] for i in range(size)]
     sums = [F.avg(off[i]).alias(f"a{i}") for i in range(size)]
     sums += [F.avg(off[i] * off[j]).alias(f"a{i}_{j}") for i in range(size) for j in range(i, size)]
-    floors = np.array(list(FLOORS.values()))[:size]
+    kind = pa.schema([("g", pa.string()), ("start", pa.int32()), ("m", pa.list_(pa.float64())), ("w", pa.list_(pa.float64())), ("det", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,16 +211,35 @@ def _moments(rows: DataFrame, size: int) -> DataFrame:
                 mean = np.array([r[f"a{i}"] for i in range(size)])
                 second = np.array([[r[f"a{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)])
                 cover = second - np.outer(mean, mean)
-                cover[np.diag_indices(size)] = np.maximum(np.diag(cover), 0) + floors**2
-                out.append({"g": r["g"], "m": (np.array(r["m"]) + mean).tolist(), "w": np.linalg.inv(cover).ravel().tolist()})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("g", pa.string()), ("m", pa.list_(pa.float64())), ("w", pa.list_(pa.float64()))]))
+                # The thousandth keeps it regular where statistics depend on each other.
+                cover[np.diag_indices(size)] = 1.001 * np.maximum(np.diag(cover), 1)
+                det = float(np.linalg.slogdet(cover)[1])
+                out.append({"g": r["g"], "start": r["start"], "m": (np.array(r["m"]) + mean).tolist(), "w": np.linalg.inv(cover).ravel().tolist(), "det": det})
+            yield pa.RecordBatch.from_pylist(out, schema=kind)
+
+    return rows.groupBy("g", "start").agg(F.first("m").alias("m"), *sums).mapInArrow(run, "g string, start int, m array<double>, w array<double>, det double")
+
 
-    return rows.groupBy("g").agg(F.first("m").alias("m"), *sums).mapInArrow(run, "g string, m array<double>, w array<double>")
+def _starts(used: DataFrame, spread: DataFrame, size: int) -> DataFrame:
+    """Three first estimates of every group, around its medians ``m``.
+
+    From median deviations ``s`` alone, from deviations bent by tanh, and from their
+    directions, so that rows far away have little weight in each.
+    """
+    z = [(F.col("x")[i] - F.col("m")[i]) / F.col("s")[i] for i in range(size)]
+    length = F.greatest(F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0])), F.lit(1e-9))
+    bent = F.array(*[F.col("m")[i] + F.col("s")[i] * F.tanh(z[i]) for i in range(size)])
+    turned = F.array(*[F.col("m")[i] + F.col("s")[i] * z[i] * math.sqrt(size) / length for i in range(size)])
+    both = F.array(F.struct(F.lit(1).alias("start"), bent.alias("x")), F.struct(F.lit(2).alias("start"), turned.alias("x")))
+    moved = _join_groups(used, spread, "g").select("g", "m", F.explode(both).alias("v")).select("g", "m", "v.start", "v.x")
+    diagonal = F.array(*[F.lit(1.0) / (F.col("s")[i] * F.col("s")[i]) if i == j else F.lit(0.0) for i in range(size) for j in range(size)])
+    first = spread.select("g", F.lit(0).alias("start"), "m", diagonal.alias("w"), F.lit(None).cast("double").alias("det"))
+    return first.unionByName(_moments(moved, size))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Centre ``m`` and inverse covariance ``w`` of every group ``g`` of usable rows."""
-    spark, size = rows.sparkSession, len(FLOORS)
+    """Centre ``m`` and inverse covariance ``w`` of every group ``g`` of usable rows, whose ``x`` is in units."""
+    spark, size = rows.sparkSession, len(DRAWS)
     home, made = scratch_path(spark, "mcd"), 0
 
     def kept(frame: DataFrame) -> DataFrame:
@@ -205,24 +249,24 @@ def estimates(rows: DataFrame) -> DataFrame:
         return spark.read.parquet(f"{home}/{made}")
 
     used = rows.where(~F.col("base_failed") & F.col("g").isNotNull()).select("doc_id", "g", "x")
-    middle = lambda value: F.percentile_approx(value, 0.5, ACCURACY)
-    centre = kept(used.groupBy("g").agg(F.array(*[middle(F.col("x")[i]) for i in range(size)]).alias("m")))
-    spread = [1.4826 * middle(F.abs(F.col("x")[i] - F.col("m")[i])) for i in range(size)]
-    scale = [F.lit(1.0) / (spread[i] * spread[i] + F.lit(f * f)) for i, f in enumerate(FLOORS.values())]
-    diagonal = F.array(*[scale[i] if i == j else F.lit(0.0) for i in range(size) for j in range(size)])
-    now = kept(_join_groups(used, centre, "g").groupBy("g").agg(F.first("m").alias("m"), diagonal.alias("w")))
+    centre = kept(used.groupBy("g").agg(F.array(*[_middle(F.col("x")[i]) for i in range(size)]).alias("m")))
+    off = [F.abs(F.col("x")[i] - F.col("m")[i]) for i in range(size)]
+    spread = F.array(*[F.greatest(1.4826 * _middle(off[i]), F.lit(1.0)) for i in range(size)])
+    now = kept(_starts(used, kept(_join_groups(used, centre, "g").groupBy("g").agg(F.first("m").alias("m"), spread.alias("s"))), size))
     for _ in range(STEPS):
-        far = _join_groups(used, now, "g").withColumn("d", _distance(size))
-        bound = kept(far.groupBy("g").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("bound")))
-        now = kept(_moments(_join_groups(far, bound, "g").where(F.col("d") <= F.col("bound")), size))
+        far = _join_groups(used, now.drop("det"), "g").withColumn("d", _distance(size))
+        bound = kept(far.groupBy("g", "start").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("bound")))
+        now = kept(_moments(_join_groups(far, bound, "g", "start").where(F.col("d") <= F.col("bound")), size))
+    least = now.groupBy("g").agg(F.min_by(F.struct("start", "m", "w"), F.struct("det", "start")).alias("e"))
+    now = kept(least.select("g", "e.start", "e.m", "e.w"))
     far = _join_groups(used, now, "g").withColumn("d", _distance(size))
     # The half nearest to the centre is nearer than in a whole sample; widen to what is usual.
     wide = kept(far.groupBy("g").agg((F.percentile_approx("d", 0.5, ACCURACY) / chi_square(0.5, size)).alias("wide")))
     usual = F.col("d") <= chi_square(0.975, size) * F.greatest(F.lit(1.0), "wide")
-    return kept(_moments(_join_groups(far, wide, "g").where(usual), size))
+    return kept(_moments(_join_groups(far, wide, "g").where(usual), size).select("g", "m", "w"))
 
 
-def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source", confidence: float = CONFIDENCE) -> DataFrame:
     """Counts, base rule, distance and verdict ``kept`` of every row.
 
     ``mark`` is the CRC-32 of the text, which tells rows apart that share an id.
@@ -236,11 +280,11 @@ def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str =
     home = scratch_path(spark, "quality")
     _statistics = statistics(docs, text, key, lang, source)
     _statistics.write.parquet(home)
-    rows = _with_groups(spark.read.parquet(home))
+    rows = _with_groups(in_units(spark.read.parquet(home)))
     fed = rows.where(~F.col("base_failed")).select("doc_id", "base_failed", "x", F.explode("feeds").alias("g"))
     judged = _join_groups(rows.drop("feeds"), estimates(fed), "g")
-    distance = F.when(F.col("m").isNotNull(), F.sqrt(F.greatest(_distance(len(FLOORS)), F.lit(0.0))))
+    distance = F.when(F.col("m").isNotNull(), F.sqrt(F.greatest(_distance(len(DRAWS)), F.lit(0.0))))
     return judged.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"), "distance", "lang", "source", "mark",
+        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= math.sqrt(chi_square(confidence, len(DRAWS))))).alias("kept"), "distance", "lang", "source", "mark",
     )
