@@ -21,7 +21,7 @@ from tidemark.schema import RAW, RAW_COLUMNS, relaxed
 from tidemark.session import scratch_path
 from tidemark.sinks import files, landing, staging
 from tidemark.sources import commits
-from tidemark.sources.pages import read_pages
+from tidemark.sources.pages import page_items, read_pages
 from tidemark.spec import PRODUCTS
 from tidemark.streaming.mart_stream import APPLIED, drop_rereads, read_staged, start_mart_stream
 
@@ -410,6 +410,24 @@ def test_pages_are_parsed_once(spark, monkeypatch):
     assert {r.page_number for r in scan.rows.collect()} == {2, 3}
 
 
+def test_shape_of_a_page_is_tested_once_per_page(spark):
+    docs = documents(spark, page(1, ("a", hour(0, 1), "x"), ("b", hour(0, 1), "y")), page(2))
+    text = plan(page_items(docs))
+    # Below the step that takes the records apart.
+    assert text.index("Generate") < text.index("records_not_a_list")
+    assert [(r.page_number, r.position) for r in page_items(docs).orderBy("page_number", "position").collect()] == [(1, 0), (1, 1), (2, None)]
+
+
+def test_rows_of_a_range_of_pages_meet(spark, monkeypatch):
+    from tidemark.plans import page_load
+
+    monkeypatch.setattr(page_load, "PAGES_PER_RANGE", 8)
+    docs = documents(spark, *[page(n, (f"c{n}", hour(0, 1), "x")) for n in range(32)]).repartition(16)
+    parsed = parse_pages(docs, PRODUCTS)
+    # Not one file of every task for every range.
+    assert parsed.count() == 32 and len(parsed.inputFiles()) == 4
+
+
 def test_page_load_query_takes_every_day(spark):
     folder = scratch_path(spark, "events")
     days = [(n, datetime(2024, 1, 1, 5) + timedelta(days=n // 2), 1 + n, "view", 1.0, "{}") for n in range(80)]

@@ -51,7 +51,8 @@ def parse_pages(documents: DataFrame, spec: FeedSpec, schema: T.StructType = RAW
     typed = conform.conform_records(tested, "record", schema)
     path = scratch_path(documents.sparkSession, "records")
     placed = typed.withColumn(_RANGE, F.floor(F.coalesce("page_number", F.lit(0)) / PAGES_PER_RANGE))
-    placed.write.partitionBy(_RANGE).parquet(path)
+    # Rows of a range meet first, or every task would write a file for every range.
+    placed.hint("rebalance", _RANGE).write.partitionBy(_RANGE).parquet(path)
     return documents.sparkSession.read.schema(placed.schema).parquet(path)
 
 

@@ -47,12 +47,13 @@ def page_items(pages: DataFrame, items: str = "products") -> DataFrame:
     """Page columns with ``problem`` (see ``page_shape``), ``position`` and ``record``.
 
     Unlike ``page_records`` it keeps a row, without position, for a page without records.
+    The shape is tested before the records are taken apart: next to them it would be
+    tested, on the whole document, once per record.
     """
-    return pages.select(
-        "page_number",
-        "declared_count",
-        page_shape("doc", items).alias("problem"),
-        F.posexplode_outer(F.try_variant_get("doc", f"$.{items}", "array<variant>")).alias("position", "record"),
+    listed = F.try_variant_get("doc", f"$.{items}", "array<variant>")
+    tested = pages.select("page_number", "declared_count", page_shape("doc", items).alias("problem"), listed.alias("_items"))
+    return tested.select(
+        "page_number", "declared_count", "problem", F.posexplode_outer("_items").alias("position", "record")
     )
 
 
