@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ranking
 from tidemark.operators.joins import fits, hot_keys, skew_join
+from tidemark.session import scratch_path
 from tidemark.spec import FeedSpec
 
 SPEC = FeedSpec("k", "t", ("v",), ("id",))
@@ -48,6 +49,23 @@ def test_hot_key_is_spread_over_salts(spark):
     assert joined.count() == left.filter("k = 'hot'").count()
 
 
+def test_hot_keys_take_no_shuffle_of_the_rows(spark):
+    path, other = scratch_path(spark, "left"), scratch_path(spark, "right")
+    skewed(spark)[0].write.parquet(path)
+    spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, r int").write.parquet(other)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.read.parquet(path)
+        joined = skew_join(left, spark.read.parquet(other), ["k"], "left", ["id"], hot_rows=100, small=False)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        # Only the join itself sorts and shuffles: the hot keys come to both sides as they are.
+        assert (text.count("SortMergeJoin"), text.count("BroadcastHashJoin")) == (1, 2)
+        assert joined.count() == left.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_size_check(spark):
     assert fits(spark.range(10), 10) and not fits(spark.range(11), 10) and not fits(spark.range(0), 0)
 

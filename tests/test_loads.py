@@ -265,6 +265,22 @@ def test_rows_of_an_unlisted_object_fail_the_staging_gate(store, root, feed):
     assert store.read("staging").count() == 7 and store.read("dq_metrics").count() == 0
 
 
+def test_one_batch_is_staged_without_a_sort_by_folder(spark, store, root, feed):
+    load_raw(store, root, SOURCE, end(1), feed)
+    inserted = load_staging(store, root, SOURCE, end(1).date())
+    (folders,) = store.snapshot().slots["staging"].values()
+    assert all("_part=" not in f for f in folders) and store.read("staging").count() == inserted > 0
+
+
+def test_large_dimension_leaves_the_settings_as_they_were(spark, store):
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+    rows = staged_rows(spark, [(0, product("a", hour(0, 1))), (0, product("a", hour(0, 2))), (0, product("b", hour(0, 1)))])
+    for _ in range(2):
+        merge_batch(store, rows, "one", PRODUCTS, "src", hot_rows=1, broadcast_rows=0)
+    assert len(facts(store)) == 3 and spark.conf.get(name) == before
+
+
 def test_listed_but_empty_object_disappears(spark):
     rows = [(date(2026, 8, 2), k, c) for k, c in [("k1", "a"), ("k2", "b"), ("k3", "c")]]
     frame = spark.createDataFrame(rows, "batch_date date, raw_object_key string, code string")

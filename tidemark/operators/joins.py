@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import materialise
+
 # A side with at most this many rows is broadcast; callers select the columns they need.
 BROADCAST_ROWS = 100_000
 # A key with more rows than this is split over several tasks.
@@ -36,6 +38,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
+def stored_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``hot_keys`` as a written table, so that joins to it know its size beforehand."""
+    return materialise(hot_keys(df, keys, hot_rows), "hot")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -45,6 +52,7 @@ def skew_join(
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for an inner or left join with hot left keys.
 
@@ -54,14 +62,18 @@ def skew_join(
     the ``spread`` columns, and the matching right rows are repeated once per split;
     all other keys join as usual. Left rows with a null key match nothing and are
     spread as well. ``hot_from`` may be a cheaper frame than ``left`` to count keys on,
-    such as its base table. No row is dropped and none is added.
+    such as its base table, and ``hot`` the ``stored_hot_keys`` found on it before. They
+    are broadcast unless there are very many, so that only the join itself shuffles.
+    No row is dropped and none is added.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join does inner and left joins only")
     keys = list(keys)
     if fits(right) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
-    hot = hot_keys(hot_from if hot_from is not None else left, keys, hot_rows)
+    if hot is None:
+        hot = stored_hot_keys(hot_from if hot_from is not None else left, keys, hot_rows)
+    hot = F.broadcast(hot) if fits(hot) else hot
     place = F.xxhash64(*[F.col(name) for name in spread])
     null_key = F.lit(False)
     for name in keys:

@@ -108,6 +108,7 @@ def lookup_surrogates(
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate key of each event's business key."""
     return skew_join(
@@ -119,6 +120,7 @@ def lookup_surrogates(
         hot_from,
         hot_rows,
         small,
+        hot,
     )
 
 

@@ -140,12 +140,14 @@ def mart_counts(
     spec: FeedSpec,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Per batch: staging rows without a dimension row, and staging events without a
     fact row.
 
     Staging shrinks to one row per batch, key and event time before the joins.
-    ``small`` tells whether the dimension can be broadcast (see ``skew_join``).
+    ``small`` tells whether the dimension can be broadcast, ``hot`` the hot keys of
+    staging if these are known (see ``skew_join``).
     """
     key, time = spec.key, spec.event_time
     events = staged.groupBy("batch_date", key, time).agg(F.count(F.lit(1)).alias("_rows"))
@@ -158,6 +160,7 @@ def mart_counts(
         staged,
         hot_rows,
         small,
+        hot,
     )
     # Surrogates are positive: rows without one get a negative stand-in, which matches
     # nothing and spreads them over the tasks of the join.
@@ -189,9 +192,10 @@ def mart_gate(
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
     batches: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Metrics per batch; with ``batches`` (batch_date) an empty one has metrics too."""
-    counts = mart_counts(staged, dimension, facts, spec, hot_rows, small)
+    counts = mart_counts(staged, dimension, facts, spec, hot_rows, small, hot)
     if batches is not None:
         counts = batches.join(counts, "batch_date", "left").na.fill(0)
     return metric_rows(

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.errors import GateError
 from tidemark.functions.times import DAY_SECONDS
 from tidemark.operators import merge, quality
-from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS
+from tidemark.operators.joins import BROADCAST_ROWS, HOT_ROWS, stored_hot_keys
 from tidemark.operators.ranking import latest_per_key, materialise, surrogate_keys
 from tidemark.operators.windows import LATE_COUNTS, late_counts
 from tidemark.plans.staging_load import slot_of, write_metrics
-from tidemark.session import releases_scratch
+from tidemark.session import releases_scratch, setting
 from tidemark.schema import required_columns, unique_keys
 from tidemark.sinks.tables import BUCKETS, DAY, Snapshot, TableStore, bucket_of, day_of
 from tidemark.spec import FeedSpec
@@ -23,6 +23,11 @@ from tidemark.spec import FeedSpec
 # Event days of a batch that are broadcast at most: one number each.
 DAYS_MOST = 100_000
 
+# Joins of facts whose shuffled partitions are all at most this large are by hash, others
+# by sorting: rows in the order of two columns are sorted by comparison.
+HASHED_BYTES = "64m"
+HASHED = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
 # Store properties holding the highest keys handed out, so that a load need not look
 # through the whole tables for them.
 DIMENSION_HIGH = "highest-key:dimension"
@@ -47,16 +52,17 @@ def insert_facts(
     small: bool | None = None,
     by_batch: bool = False,
     days: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> tuple[dict[str, list[str]], int, int]:
     """Write the facts a batch adds to a new folder, or to one of each batch.
 
     ``between`` are the least and greatest event time of the batch, ``days`` its event
-    days (see ``known_facts``). Returns the folders by
+    days (see ``known_facts``), ``hot`` its hot keys (see ``skew_join``). Returns the folders by
     batch (or under ""), the number of facts and the highest key handed out so far.
     """
     known = known_facts(store, base, spec, between, days)
     events = merge.lookup_surrogates(
-        merge.distinct_events(staged, spec), dimension, spec, "inner", staged, hot_rows, small
+        merge.distinct_events(staged, spec), dimension, spec, "inner", staged, hot_rows, small, hot
     )
     fresh = merge.new_facts(events, known, spec, between)
     # Unique and increasing, with gaps: the write computes each number once per row, and
@@ -169,13 +175,16 @@ def merge_batch(
         F.coalesce(F.max(spec.surrogate), F.lit(0)),
     ).first()
     small_dimension = size <= broadcast_rows
+    # Found once for the facts and the gate.
+    hot = None if small_dimension else stored_hot_keys(staged, [spec.key], hot_rows)
 
     bounds = staged.agg(F.min(spec.event_time), F.max(spec.event_time)).first()
     between = None if bounds[0] is None else tuple(bounds)
     days = event_days(staged, spec) if base.slots.get("fact") else None
-    parts, inserted, highest_fact = insert_facts(
-        store, base, staged, written, spec, now, between, hot_rows, small_dimension, label is None, days
-    )
+    with setting(store.spark, HASHED, HASHED_BYTES):
+        parts, inserted, highest_fact = insert_facts(
+            store, base, staged, written, spec, now, between, hot_rows, small_dimension, label is None, days, hot
+        )
     fresh_facts = store.open("fact", folders_of(parts))
     fact_slots = {}
     for batch, folders in parts.items() if inserted else ():
@@ -183,9 +192,9 @@ def merge_batch(
         fact_slots[slot] = store.joined("fact", [*base.slots.get("fact", {}).get(slot, []), *folders])
     # Facts outside the batch's days cannot match; the scan skips them.
     all_facts = known_facts(store, base, spec, between, days).unionByName(fresh_facts)
-    rows = quality.enforce(
-        quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches)
-    )
+    gate = quality.mart_gate(staged, written, all_facts, spec, source, hot_rows, small_dimension, batches, hot)
+    with setting(store.spark, HASHED, HASHED_BYTES):
+        rows = quality.enforce(gate)
     check_mart(store, written, fresh_facts, spec)
     metrics = write_metrics(store, base, "mart", source, rows, now)
     if account is not None:

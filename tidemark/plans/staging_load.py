@@ -75,7 +75,9 @@ def reload_staging(store: TableStore, raw_root: str, source: Source, batch_dates
     # Of the attempts' folders, the objects that the manifests list, under their date.
     fresh = staging.with_lineage(raw, F.lit(None).cast("date"), now, raw_root).drop("batch_date").join(listed, "raw_object_key")
     stored = store.read("staging", slots.values(), base)
-    parts = store.write_parts("staging", staging.replace_objects(stored, fresh, listed), "batch_date", len(dates) > 1)
+    rows = staging.replace_objects(stored, fresh, listed)
+    # The rows of one batch are written as they come; rows of several are sorted by their folder.
+    parts = {str(dates[0]): [store.write("staging", rows)]} if len(dates) == 1 else store.write_parts("staging", rows, "batch_date", True)
 
     written = store.open("staging", [path for paths in parts.values() for path in paths])
     wanted = spark.createDataFrame(list(expected.items()), "batch_date date, expected_rows bigint")

@@ -81,6 +81,17 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         _open.paths = outer
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session inside the block, put back when it ends."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def releases_scratch(load: Callable) -> Callable:
     """For loads whose results are all in the store they get as first argument."""
 
