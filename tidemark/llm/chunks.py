@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.llm.joins import BROADCAST_ROWS, narrow_join, stored
-from tidemark.llm.ragged import pieces, slice_hashes
+from tidemark.llm.ragged import LEAN, pieces, slice_hashes
 from tidemark.llm.words import BLANKS, word_places
 
 MEAN_WORDS = 10
@@ -115,7 +115,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in pieces(batch):
+            for rows, data, offsets in pieces(batch, size=LEAN):
                 digests, owner, place, reach = keys_of(data, offsets)
                 ids = rows.column(0).take(pa.array(owner))
                 raw = memoryview(data.tobytes())
@@ -164,7 +164,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(digest, doc, mark, at) of the windows that may be repeated; ``at`` is the first word."""
     for batch in batches:
-        for rows, data, offsets in pieces(batch):
+        for rows, data, offsets in pieces(batch, size=LEAN):
             starts, lengths, owner = word_places(data, offsets)
             base, ends = (np.searchsorted(owner, np.arange(rows.num_rows), side=s) for s in ("left", "right"))
             row, (first, last) = _lists(rows.column(2))

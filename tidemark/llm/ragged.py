@@ -12,6 +12,9 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_KEYS = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 
+# Bytes of text at a time where many numbers are held for every byte; a worker rarely gives back what its largest piece took.
+LEAN = 1 << 18
+
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values whose every output bit depends on all input bits."""
@@ -35,7 +38,7 @@ def flat_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse, modulo 2^64."""
     if len(_powers.get("up", ())) < count:
-        size = max(count, 1 << 21)
+        size = 1 << max(16, (count - 1).bit_length())
         for name, base in (("up", _ODD), ("down", _INVERSE)):
             factors = np.full(size, base, dtype=np.uint64)
             factors[0] = 1
