@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import catalog
+from tidemark.llm import catalog, gru, jaccard, ragged
 from tests.llm.test_jaccard import brute
 from tests.llm.test_toxicity import RUDE
 
@@ -101,3 +104,24 @@ def test_rows_that_share_an_id_or_lack_one(spark, home):
     assert corpus_pipeline.drop_outliers(spark, docs, home).where("text IS NULL").count() == 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), home).count() == 0
+
+
+def most_mb(run):
+    """Most MB that numpy's and Python's objects took at once."""
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return most
+
+
+def test_memory_of_the_workers_that_stages_share():
+    rng = np.random.default_rng(3)
+    projected, tokens = rng.standard_normal((1000, 6 * gru.STATE)).astype(np.float32), rng.integers(0, 1000, (gru.WINDOW, 4096))
+    model = gru.initial(np.zeros(4, np.int32), np.zeros(4, np.int32))
+    assert most_mb(lambda: gru.forward(model, projected, tokens, np.ones(tokens.shape, bool))) < 40
+    text = " ".join("abcdefghi"[: 1 + i % 9] + str(i * i % 10) for i in range(4000))
+    count = 2_000_000 // len(text)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(count)), pa.array([f"{i} {text}" for i in range(count)])], ["doc_id", "text"])
+    ragged._powers.clear()
+    assert most_mb(lambda: list(jaccard._scan_sets(iter([batch])))) < 85

@@ -115,7 +115,8 @@ def _run(steps: np.ndarray, u: np.ndarray, mask: np.ndarray, keep: list | None)
 def forward(model: dict, projected: np.ndarray, tokens: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Logits of windows; tokens (time, window) index the projected distinct words."""
     there = mask[:, :, None]
-    ahead, behind = projected[tokens][:, :, : 3 * STATE], projected[tokens][:, :, 3 * STATE :]
+    both = projected[tokens]
+    ahead, behind = both[:, :, : 3 * STATE], both[:, :, 3 * STATE :]
     caches = ([], []) if keep is not None else (None, None)
     states = np.concatenate([_run(ahead, model["uf"], there, caches[0]), _run(behind[::-1], model["ub"], there[::-1], caches[1])[::-1]], axis=2)
     hidden = np.tanh(states @ model["att"] + model["att_b"])

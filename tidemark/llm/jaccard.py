@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.joins import components, narrow_join, stored
-from tidemark.llm.ragged import mix, pieces, slice_hashes, text_bytes
+from tidemark.llm.ragged import LEAN, mix, pieces, slice_hashes, text_bytes
 from tidemark.llm.words import lower_ascii, window_hashes, window_places, word_places
 
 SHINGLE = 5
@@ -120,7 +120,7 @@ def _scan_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n", "k1", "k2", "block", "cells"]
     counts, seen = np.zeros(1 << SKETCH_BITS, dtype=np.int32), set()
     for batch in batches:
-        for rows, data, offsets in pieces(batch):
+        for rows, data, offsets in pieces(batch, size=LEAN):
             sets = shingle_sets(data, offsets)
             keys = [_set_keys(s) for s in sets]
             new = []
@@ -175,7 +175,7 @@ def _entries(docs: DataFrame, levels: bytes, boundary: int) -> DataFrame:
         level = np.frombuffer(shared.value, dtype=np.uint8)
         seen = set()
         for batch in batches:
-            for rows, data, offsets in pieces(batch):
+            for rows, data, offsets in pieces(batch, size=LEAN):
                 keys, owners, kinds = [], [], []
                 for document, one in zip(rows.column(0).to_pylist(), shingle_sets(data, offsets), strict=True):
                     n = len(one)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidemark.llm.bytebpe import TokenizerFile
-from tidemark.llm.ragged import pieces
+from tidemark.llm.ragged import LEAN, pieces
 from tidemark.llm.tokenize import key_type, two_columns
 
 TASK_BITS = 36
@@ -131,7 +131,7 @@ def pack(docs: DataFrame, tokenizer: TokenizerFile, capacity: int = 1024, end_id
         kinds: list = [pa.int64()]
         for batch in batches:
             kinds = [batch.schema.field(0).type]
-            for part, data, offsets in pieces(batch):
+            for part, data, offsets in pieces(batch, size=LEAN):
                 ids, counts = encoder.encode(data, offsets)
                 at = 0
                 for document, count in zip(part.column(0).to_pylist(), counts.tolist(), strict=True):

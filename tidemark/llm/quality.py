@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.ragged import mix, pieces, slice_hashes
+from tidemark.llm.ragged import LEAN, mix, pieces, slice_hashes
 from tidemark.llm.tokenize import key_type
 from tidemark.llm.words import per_text, window_hashes, window_places, word_places
 from tidemark.session import scratch_path
@@ -114,7 +114,7 @@ def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in pieces(batch):
+            for rows, data, offsets in pieces(batch, size=LEAN):
                 counts = text_statistics(data, offsets)
                 arrays = [rows.column(0), rows.column(2), rows.column(3), rows.column(4), *(pa.array(counts[c].astype(np.int64)) for c in _COUNTS)]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "source", "mark", *_COUNTS])
